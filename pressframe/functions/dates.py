@@ -3,11 +3,18 @@ meta values that do not fit go through an Arrow-batched dateutil call."""
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 from pressframe.functions.text import strip
 
+# Ship the code of this module inside the task, so executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The three text shapes, in the order they are tried.
 DATE_PATTERNS = [
     r"\d{4}-\d{2}-\d{2}",
@@ -72,8 +79,7 @@ def has_text_date(text: Column) -> Column:
     return text.rlike("|".join(DATE_PATTERNS))
 
 
-@F.pandas_udf("string")
-def _free_form(text: pd.Series, as_of: pd.Series) -> pd.Series:
+def _read_free_form(text: pd.Series, as_of: pd.Series) -> pd.Series:
     """dateutil on the few values the ISO rule left over; null in, null out."""
     from dateutil import parser
 
@@ -91,6 +97,10 @@ def _free_form(text: pd.Series, as_of: pd.Series) -> pd.Series:
     return pd.Series([read(v, pd.Timestamp(d)) for v, d in zip(text, as_of)], dtype=object)
 
 
+def _free_form(text: Column, as_of: Column) -> Column:
+    return F.pandas_udf(_read_free_form, StringType())(text, as_of)
+
+
 def published_text(value: Column, as_of: Column) -> Column:
     """Canonical ``yyyy-MM-dd HH:mm:ss[.ffffff][+hh:mm]`` text of a free-form date, null if unreadable."""
     value = strip(value)

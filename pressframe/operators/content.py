@@ -5,7 +5,7 @@ One exchange by page, one sort by position; every rule below is a window over th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from pressframe.functions.boilerplate import bold_test_breaks, boilerplate
 from pressframe.functions.text import attr, strip
@@ -20,7 +20,9 @@ TARGET_TAGS = ["p", "h2", "h3", "h4", "ul", "ol", "blockquote"]
 CELL_TAGS = ["th", "td"]
 MIN_CONTENT = 200
 
-_PAGE = Window.partitionBy("page_id")
+
+def _page() -> WindowSpec:
+    return Window.partitionBy("page_id")
 
 
 def class_rank(css_class: Column) -> Column:
@@ -31,8 +33,8 @@ def class_rank(css_class: Column) -> Column:
 def content_roots(nodes: DataFrame) -> DataFrame:
     """``(page_id, root_pos, root_end, root_method)``: article, classed div, or largest block."""
     rows = _root_rows(nodes.where((F.col("kind") == "E") & F.col("tag").isin("article", *BLOCK_TAGS, *UNWANTED_TAGS)))
-    root = _root(lambda value: F.min(value))
-    return (rows.groupBy("page_id").agg(root.alias("root")).where("root is not null")
+    best = rows.groupBy("page_id").agg(*[F.min(c).alias(name) for name, c in _root_options().items()])
+    return (best.select("page_id", _choose_root().alias("root")).where("root is not null")
             .select("page_id", F.col("root.pos").alias("root_pos"), F.col("root.end_pos").alias("root_end"),
                     F.col("root.method").alias("root_method")))
 
@@ -43,18 +45,23 @@ def _root_rows(nodes: DataFrame) -> DataFrame:
             .withColumn("unwanted", inside((F.col("kind") == "E") & F.col("tag").isin(UNWANTED_TAGS))))
 
 
-def _root(least) -> Column:
-    """Root struct from per-page minima; ``least`` aggregates, or aggregates over a window."""
+def _root_options() -> dict[str, Column]:
+    """What each element offers to the three root methods; the least offer per page wins."""
     element, tag = F.col("kind") == "E", F.col("tag")
     span = [F.col("pos"), F.col("end_pos")]
-    article = least(F.when(element & (tag == "article"), F.struct(*span)))
-    classed = least(F.when(F.col("class_rank").isNotNull() & (F.col("text_len") > MIN_CONTENT),
-                           F.struct("class_rank", *span)))
-    largest = least(F.when(element & tag.isin(BLOCK_TAGS) & ~F.col("unwanted"),
-                           F.struct((-F.col("text_len")).alias("rank"), *span)))
-    picks = [(1, article), (2, classed), (3, largest)]
-    return F.coalesce(*[F.when(p.isNotNull(), F.struct(p["pos"].alias("pos"), p["end_pos"].alias("end_pos"),
-                                                       F.lit(i).alias("method"))) for i, p in picks])
+    return {
+        "by_article": F.when(element & (tag == "article"), F.struct(*span)),
+        "by_class": F.when(F.col("class_rank").isNotNull() & (F.col("text_len") > MIN_CONTENT),
+                           F.struct("class_rank", *span)),
+        "by_size": F.when(element & tag.isin(BLOCK_TAGS) & ~F.col("unwanted"),
+                          F.struct((-F.col("text_len")).alias("rank"), *span)),
+    }
+
+
+def _choose_root() -> Column:
+    return F.coalesce(*[
+        F.when(F.col(name).isNotNull(), F.struct(F.col(f"{name}.pos"), F.col(f"{name}.end_pos"), F.lit(i).alias("method")))
+        for i, name in enumerate(_root_options(), 1)])
 
 
 def content_rows(nodes: DataFrame) -> DataFrame:
@@ -73,16 +80,17 @@ def content_rows(nodes: DataFrame) -> DataFrame:
     is_table = element & (F.col("tag") == "table")
     rows = (_root_rows(narrow)
             .withColumn("in_table", inside(is_table))
-            .withColumn("root", _root(lambda value: F.min(value).over(_PAGE)))
+            .withColumns({name: F.min(c).over(_page()) for name, c in _root_options().items()})
+            .withColumn("root", _choose_root())
             .withColumn("in_root", F.coalesce((F.col("pos") > F.col("root.pos"))
                                               & (F.col("pos") <= F.col("root.end_pos")), F.lit(False))))
     target = element & F.col("tag").isin(TARGET_TAGS) & F.col("in_root") & ~F.col("in_table")
-    read = text & ~F.col("in_table")
+    read = F.col("text").isNotNull() & ~F.col("in_table")
     rows = rows.withColumn("is_read", read & inside(target))
     rows = (rows.withColumn("is_basic", F.col("is_read") & basic)
             .withColumn("is_header", F.col("is_read") & header)
             .withColumn("breaks", F.col("is_read") & breaks)
-            .withColumn("stop", F.min(F.when(F.col("is_header"), F.col("pos"))).over(_PAGE))
+            .withColumn("stop", F.min(F.when(F.col("is_header"), F.col("pos"))).over(_page()))
             .withColumn("skipped", F.coalesce(F.col("pos") >= F.col("stop"), F.lit(False))))
     live_table = is_table & F.col("in_root") & ~F.col("skipped")
     full_cell = element & F.col("tag").isin(CELL_TAGS) & (F.col("text_len") > 0)

@@ -6,7 +6,7 @@ the ranking windows all ask for a clustering that ``page_id`` satisfies.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from pressframe.functions import urls
 from pressframe.functions.text import attr
@@ -16,7 +16,9 @@ URL_FLAGS = ["has_protocol", "has_subdomain", "has_port", "has_query", "has_frag
              "has_file_extension", "is_relative_url", "multi_level_path"]
 CLIENT_SIDE_SHARE = 0.6
 
-_PAGE = Window.partitionBy("page_id")
+
+def _page() -> WindowSpec:
+    return Window.partitionBy("page_id")
 
 
 def anchors(nodes: DataFrame) -> DataFrame:
@@ -70,7 +72,7 @@ def link_groups(links: DataFrame) -> DataFrame:
     n = F.col("url_count")
     same_set = Window.partitionBy("page_id", "url_set")
     return (groups
-            .withColumn("group_id", F.row_number().over(_PAGE.orderBy("first_pos")) - 1)
+            .withColumn("group_id", F.row_number().over(_page().orderBy("first_pos")) - 1)
             .withColumn("urls", F.col("links.href"))
             .withColumn("url_set", F.array_sort("urls"))
             .withColumn("twin_group", F.count("*").over(same_set) > 1)
@@ -95,18 +97,18 @@ def candidates(groups: DataFrame) -> DataFrame:
 def prefer_verbs(groups: DataFrame, share: float = 20.0) -> DataFrame:
     """Keep groups with many verbs, but only where there is a choice and one of them passes."""
     passes = F.col("verb_percentage") > share
-    choice = (F.count("*").over(_PAGE) > 1) & F.bool_or(passes).over(_PAGE)
+    choice = (F.count("*").over(_page()) > 1) & F.bool_or(passes).over(_page())
     return groups.withColumn("keep", ~choice | passes).where("keep").drop("keep")
 
 
 def keep_largest(groups: DataFrame, measure: str) -> DataFrame:
     """Groups with the largest value on their page; ties stay."""
-    return (groups.withColumn("top", F.max(measure).over(_PAGE))
+    return (groups.withColumn("top", F.max(measure).over(_page()))
             .where(F.col(measure) == F.col("top")).drop("top"))
 
 
 def only_one(groups: DataFrame) -> DataFrame:
-    return groups.withColumn("left", F.count("*").over(_PAGE)).where("left = 1").drop("left")
+    return groups.withColumn("left", F.count("*").over(_page())).where("left = 1").drop("left")
 
 
 def news_groups(groups: DataFrame) -> DataFrame:

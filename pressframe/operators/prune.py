@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from pressframe.operators.tree import holds, inside, is_structural
 from pressframe.sources.dom import VOID_TAGS
 
-_PAGE = Window.partitionBy("page_id")
+
+def _page() -> WindowSpec:
+    return Window.partitionBy("page_id")
 _SPECIAL = {"C": ("<!--", "-->"), "D": ("<!DOCTYPE ", ">\n"), "X": ("", "")}
 
 
@@ -27,7 +29,7 @@ def prune(nodes: DataFrame) -> DataFrame:
     """
     labelled = F.col("label_types").isNotNull()
     solid = (F.col("kind") == "E") | F.col("seq").isNotNull()
-    body = F.min(F.when((F.col("kind") == "E") & (F.col("tag") == "body"), F.struct("pos", "end_pos"))).over(_PAGE)
+    body = F.min(F.when((F.col("kind") == "E") & (F.col("tag") == "body"), F.struct("pos", "end_pos"))).over(_page())
     rows = (nodes.withColumn("body", body)
             .withColumn("in_body", F.coalesce(F.col("pos").between(F.col("body.pos"), F.col("body.end_pos")), F.lit(False)))
             .withColumn("below", inside(labelled & F.col("in_body")))

@@ -7,14 +7,21 @@ already, so a window partition is bounded by one input row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from pressframe.functions.text import attr, strip
 
-EARLIER = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-# Later rows are read as "earlier in reverse order": a frame that runs to the end of the
-# partition would be recomputed for every row.
-LATER = Window.partitionBy("page_id").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+
+def earlier() -> WindowSpec:
+    """All nodes of the page before the current one."""
+    return Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def later() -> WindowSpec:
+    """All nodes after it, read in reverse order: a frame that runs on to the end of the
+    partition would be recomputed for every row."""
+    return Window.partitionBy("page_id").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+
 
 # Tags that keep a page rendering and are never cleared.
 STRUCTURAL_TAGS = ("html head body main article style script link meta nav header footer button form").split()
@@ -24,13 +31,13 @@ _CELL = 256
 
 def inside(condition: Column) -> Column:
     """Has the node an ancestor that meets the condition?"""
-    reach = F.max(F.when(condition, F.col("end_pos"))).over(EARLIER)
+    reach = F.max(F.when(condition, F.col("end_pos"))).over(earlier())
     return F.coalesce(reach >= F.col("pos"), F.lit(False))
 
 
 def holds(condition: Column) -> Column:
     """Has the node a descendant that meets the condition?"""
-    following = F.min(F.when(condition, F.col("pos"))).over(LATER)
+    following = F.min(F.when(condition, F.col("pos"))).over(later())
     return F.coalesce(following <= F.col("end_pos"), F.lit(False))
 
 
