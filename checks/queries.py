@@ -188,7 +188,7 @@ FEATURES = (["url_count", "num_unique_strict_ancestry", "num_typical_url", "last
 
 
 def template_groups(spark, sf):
-    return links.link_groups(build.rows(spark, sf, t.ANCHORS))
+    return links.link_groups(build.rows(spark, sf, t.ANCHORS).repartition("page_id"))
 
 
 def features(frame):

@@ -5,7 +5,7 @@ them again through the operators; the oracle works on the same parts directly.
 most 40 orders (or one customer, one part), so pages grow in number, not in size.
 """
 
-PAGE_OF_ORDER = "CAST(FLOOR(o_orderkey / 40.0) AS BIGINT)"
+PAGE_OF_ORDER = "CAST((o_orderkey - o_orderkey % 40) / 40 AS BIGINT)"
 
 # Links of listing pages: page variant v = page_id % 10 decides which rule of the ranking bites.
 ANCHORS = f"""
@@ -145,10 +145,10 @@ FROM part
 
 # Crawls: six listing pages per site, three years with two pages each.
 CRAWL = """
-SELECT CAST(FLOOR(o_orderkey / 6.0) AS BIGINT) AS site_id,
-  'https://c' || CAST(CAST(FLOOR(o_orderkey / 6.0) AS BIGINT) AS STRING) || '.example.com/news/' AS base_url,
+SELECT CAST((o_orderkey - o_orderkey % 6) / 6 AS BIGINT) AS site_id,
+  'https://c' || CAST(CAST((o_orderkey - o_orderkey % 6) / 6 AS BIGINT) AS STRING) || '.example.com/news/' AS base_url,
   CAST(2021 + CAST(FLOOR((o_orderkey % 6) / 2.0) AS INT) AS STRING) AS year, CAST(o_orderkey % 2 AS INT) AS page_no,
-  CAST(FLOOR(o_orderkey / 6.0) AS BIGINT) % 4 = 1 AND o_orderkey % 6 = 2 AS client_side,
-  CAST(FLOOR(o_orderkey / 6.0) AS BIGINT) % 4 = 2 AND o_orderkey % 2 = 1 AS is_empty
+  CAST((o_orderkey - o_orderkey % 6) / 6 AS BIGINT) % 4 = 1 AND o_orderkey % 6 = 2 AS client_side,
+  CAST((o_orderkey - o_orderkey % 6) / 6 AS BIGINT) % 4 = 2 AND o_orderkey % 2 = 1 AS is_empty
 FROM orders
 """

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressframe.functions.text import END, WS
+from pressframe.functions.text import END, SPACES, WS
 
 # Social networks, each followed by ".com".
 SOCIAL = "facebook twitter instagram linkedin youtube tiktok pinterest reddit whatsapp".split()
@@ -68,8 +68,8 @@ def is_typical(href: Column, text: Column | None = None, mode: str = "full") ->
     if mode == "path":
         return path.rlike("(?iu)^/(?:" + "|".join(LEGACY_PATHS) + rf")(?:/|{END})")
     exact = path.isin([f"/{s}{tail}" for s in SECTION_PATHS for tail in ("", "/")])
-    words = F.split(F.lower(text), f"[{WS}-]+", _SPLIT_LIMIT)
-    short = (F.size(words) <= 4) & F.arrays_overlap(words, F.array(*map(F.lit, SECTION_WORDS)))
+    words = F.split(F.regexp_replace(F.lower(text), f"[{WS}-]+", "-"), "-", _SPLIT_LIMIT)
+    short = (F.size(words) <= 4) & F.exists(words, lambda w: w.isin(SECTION_WORDS))
     return exact | F.coalesce((text != "") & short, F.lit(False))
 
 
@@ -78,7 +78,7 @@ def url_flags(url: Column) -> dict[str, Column]:
     rest = F.regexp_replace(url, r"^https?://", "")
     host = F.substring_index(rest, "/", 1)
     path = F.substring_index(F.substring_index(rest, "?", 1), "#", 1)
-    segments = F.filter(F.split(path, "/", _SPLIT_LIMIT), lambda s: s != "")
+    segments = F.array_remove(F.split(path, "/", _SPLIT_LIMIT), "")
     relative = url.startswith("/")
     return {
         "has_protocol": url.rlike(r"^https?://"),
@@ -105,8 +105,9 @@ def slug_length(url: Column) -> Column:
 
 
 def slug_words(url: Column) -> Column:
-    words = F.filter(F.split(slug(url), f"[-_{WS}.]", _SPLIT_LIMIT), lambda w: w != "")
-    return F.transform(words, F.lower)
+    # One delimiter, so the split needs no regex.
+    dashed = F.translate(F.lower(slug(url)), f"_.{SPACES}", "-" * (2 + len(SPACES)))
+    return F.array_remove(F.split(dashed, "-", _SPLIT_LIMIT), "")
 
 
 def verb_table(spark: SparkSession) -> DataFrame:
@@ -134,7 +135,8 @@ def verb_forms() -> list[str]:
 def has_verb(url: Column) -> Column:
     """Does the slug hold at least two words, one of them a verb form?"""
     words = slug_words(url)
-    hit = F.arrays_overlap(words, F.array(*map(F.lit, verb_forms())))
+    # A membership test per word is one hash look-up; arrays_overlap would walk all forms per row.
+    hit = F.exists(words, lambda w: w.isin(verb_forms()))
     return F.coalesce((F.size(words) > 1) & hit, F.lit(False))
 
 

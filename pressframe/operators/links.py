@@ -54,7 +54,7 @@ def link_groups(links: DataFrame) -> DataFrame:
     facts = unique.select(
         "page_id", "pos", "anc_flex", "anc_strict", "href", hidden.alias("hidden"), shared.alias("shared"),
         urls.slug_length(href).alias("slug_len"), urls.has_verb(href).alias("verb"),
-        urls.is_typical(href, F.col("text")).alias("typical"), urls.is_social(href).alias("social"),
+        urls.is_typical(href, F.col("text")).alias("typical"),
         *[flags[name].alias(name) for name in URL_FLAGS])
     counts = [F.count_if(F.col(name)).alias(f"{name}_count") for name in URL_FLAGS]
     groups = facts.groupBy("page_id", F.col("anc_flex").alias("ancestry")).agg(
@@ -62,7 +62,6 @@ def link_groups(links: DataFrame) -> DataFrame:
         F.size(F.collect_set("anc_strict")).cast("long").alias("num_unique_strict_ancestry"),
         F.array_sort(F.collect_list(F.struct("pos", "href", "hidden"))).alias("links"),
         F.count("*").alias("url_count"),
-        F.count_if(F.col("social")).alias("is_social_media_num"),
         F.bool_or("shared").alias("non_excl_url"),
         F.count_if(F.col("typical")).alias("num_typical_url"),
         F.avg("slug_len").alias("last_path_mean_length"),
@@ -76,7 +75,9 @@ def link_groups(links: DataFrame) -> DataFrame:
             .withColumn("urls", F.col("links.href"))
             .withColumn("url_set", F.array_sort("urls"))
             .withColumn("twin_group", F.count("*").over(same_set) > 1)
-            .withColumn("is_social_media_pct", F.col("is_social_media_num") / n * 100)
+            # The link filter lets no social link through, so these two need no second test.
+            .withColumn("is_social_media_num", F.lit(0).cast("long"))
+            .withColumn("is_social_media_pct", F.lit(0.0))
             .withColumn("last_path_median_length", F.element_at(lengths, (n / 2).cast("int") + 1))
             .withColumn("verb_percentage", F.col("urls_with_verbs") / n * 100)
             .withColumns({f"{name}_pct": F.col(f"{name}_count") / n for name in URL_FLAGS})

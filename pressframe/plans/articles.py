@@ -9,17 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressframe.operators import content, dates, head, prune
+from pressframe.sources.pages import write_stage
 
 
 def article_parts(nodes: DataFrame, as_of: Column | None = None) -> dict[str, DataFrame]:
-    """The four branches of an article page, and the label rows they give."""
+    """The four branches of an article page.
+
+    Facts, dates and content roles are read by several consumers (labels, counts, record), so
+    each is written once: about one short row per page or per labelled node.
+    """
     as_of = F.current_timestamp() if as_of is None else as_of
-    facts = head.head_facts(nodes)
-    title = head.titles(head.title_candidates(facts))
-    date = dates.article_dates(nodes, head.head_dates(facts, as_of), as_of)
-    meta = head.metadata(facts)
-    rows = content.content_rows(nodes)
-    return {"title": title, "date": date, "metadata": meta, "rows": rows}
+    facts = write_stage(head.head_facts(nodes), "facts")
+    date = write_stage(dates.article_dates(nodes, head.head_dates(facts, as_of), as_of), "dates")
+    rows = write_stage(content.content_rows(nodes).drop("text"), "content")
+    return {"title": head.titles(head.title_candidates(facts)), "date": date,
+            "metadata": head.metadata(facts), "rows": rows}
 
 
 def labels(parts: dict[str, DataFrame]) -> DataFrame:

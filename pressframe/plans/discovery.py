@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pressframe.operators import links
+from pressframe.operators.navigation import crawl_cut
 from pressframe.sources.dom import flatten_dom, link_rows
+from pressframe.sources.pages import write_stage
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -30,8 +32,6 @@ def discover_crawl(crawl: DataFrame, max_pages: int = 0, dedup: bool = False) ->
     Years are taken newest first unless a ``year_no`` column says otherwise.  With the default
     ``max_pages`` only the first page of each year counts.
     """
-    from pressframe.operators.navigation import crawl_cut
-
     rows = crawl.where(F.col("page_no") <= max_pages)
     if "year_no" not in rows.columns:
         rows = rows.withColumn("year_no", F.coalesce(-F.expr("try_cast(year as int)"), F.lit(0)))
@@ -39,7 +39,9 @@ def discover_crawl(crawl: DataFrame, max_pages: int = 0, dedup: bool = False) ->
     pages = rows.withColumn("page_id", F.xxhash64(key))
     found = discover_groups(pages).select("page_id", "urls", links.is_client_side().alias("client_side"))
     lists = pages.select("page_id", "site_id", "base_url", "year", "year_no", "page_no").join(found, "page_id", "left")
-    kept = crawl_cut(lists.withColumn("client_side", F.coalesce("client_side", F.lit(False))), max_pages)
+    # Read twice below (cut and rows), so the lists are written once instead of found twice.
+    lists = write_stage(lists.withColumn("client_side", F.coalesce("client_side", F.lit(False))), "lists")
+    kept = crawl_cut(lists, max_pages)
     out = (kept.where("urls is not null")
            .select("site_id", "year", "year_no", "page_no", "base_url", F.posexplode("urls").alias("url_no", "href"))
            .withColumn("url", links.urls.absolute_url(F.col("href"), F.col("base_url"))))

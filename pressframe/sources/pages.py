@@ -13,6 +13,10 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     # Data hashed by page_id also serves joins on (page_id, more columns) without a new exchange.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Plain JVM case mapping: the same result for these rules, without loading ICU in every executor.
+    "spark.sql.icu.caseMappings.enabled": "false",
+    # HotSpot never compiles methods above this size; let Spark split such plans instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
