@@ -381,8 +381,9 @@ UNION ALL SELECT page_id, 'After text' FROM shown WHERE NOT is_cut UNION ALL SEL
 UNION ALL SELECT page_id, repeat('z ', 150) FROM shown WHERE k % 10 = 4
 UNION ALL SELECT page_id, x FROM (SELECT page_id, unnest(list_filter(regexp_split_to_array(dates_html, '<[^>]*>'), lambda v: v <> '')) AS x FROM parts)""")
 def content_text(spark, sf):
-    rows = content.content_rows(flatten_dom(build.article_pages(spark, sf)))
-    return rows.where("role = 'content' and not skipped").select("page_id", "text")
+    nodes = article_nodes(spark, sf)
+    kept = content.content_rows(nodes).where("role = 'content' and not skipped").select("page_id", "pos")
+    return nodes.join(kept, ["page_id", "pos"], "left_semi").select("page_id", "text")
 
 
 @query("article_tables", W + """, cells AS (SELECT page_id, name, is_cut, k FROM parts)

@@ -18,6 +18,7 @@ STRICT = ["^forward[S-]*looking[S-]*statements?$", "^safe[S]+harbor[S]+statement
 # the longest run of letters and blanks leaves the shortest rest.
 LENIENT = ["^.*forward[S-]*looking[S-]*statements?.*$", "^.*safe[S]+harbor[S]+statements?.*$",
            "^.*about[S][a-zS]++.*$"]
+HEADER_WORDS = "looking|harbor|about"
 LENIENT_OWNER = "^.*[a-zS]+'?s[S]+safe[S]+harbor[S]+statement.*$"
 OWNER_PHRASE = "s[S]+safe[S]+harbor[S]+statement"
 
@@ -54,11 +55,16 @@ def boilerplate(text: Column, tag: Column, css_class: Column, style: Column) ->
     """``(is_boilerplate, is_section_header)``; boilerplate wins over header."""
     basic = is_basic(text)
     header = is_strict_header(text) | (has_header_phrase(text) & is_bold(tag, css_class, style))
-    return basic, ~basic & header
+    return basic, _may_be_header(text) & ~basic & header
+
+
+def _may_be_header(text: Column) -> Column:
+    """Every header holds one of three words, so most lines are settled by this short search."""
+    return F.lower(text).rlike(f"(?iu){HEADER_WORDS}")
 
 
 def bold_test_breaks(text: Column, tag: Column, css_class: Column, style: Column) -> Column:
     """Lines on which the original's bold test raised an error instead of answering."""
     by_tag_or_style = is_bold(tag, F.lit(""), style)
-    return (~is_basic(text) & has_header_phrase(text) & ~by_tag_or_style
-            & F.coalesce(css_class != "", F.lit(False)))
+    return (_may_be_header(text) & F.coalesce(css_class != "", F.lit(False)) & ~by_tag_or_style
+            & ~is_basic(text) & has_header_phrase(text))

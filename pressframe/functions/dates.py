@@ -36,19 +36,26 @@ def _month_number() -> Column:
     return F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
 
 
-def _full_year(text: Column, as_of: Column) -> Column:
-    """Two-digit years fall within 50 years of ``as_of``; longer ones are taken as written."""
-    number, this_year = text.cast("int"), F.year(as_of)
+def _near_year(number: Column, as_of: Column) -> Column:
+    """Years below 100 fall within 50 years of ``as_of``."""
+    this_year = F.year(as_of)
     guess = number + (this_year - F.pmod(this_year, F.lit(100)))
     near = (F.when(guess >= this_year + 50, guess - 100)
             .when(guess < this_year - 50, guess + 100).otherwise(guess))
-    return F.when(F.length(text) > 2, number).otherwise(near)
+    return F.when(number < 100, near).otherwise(number)
+
+
+def _full_year(text: Column, as_of: Column) -> Column:
+    """Years of more than two digits are taken as written."""
+    number = text.cast("int")
+    return F.when(F.length(text) > 2, number).otherwise(_near_year(number, as_of))
 
 
 def _date(year: Column, month: Column, day: Column) -> Column:
     text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"),
                        F.lpad(day.cast("string"), 2, "0"))
-    return F.when(year.between(1, 9999), F.try_to_date(text, "yyyy-MM-dd"))
+    possible = year.between(1, 9999) & month.between(1, 12) & day.between(1, 31)
+    return F.when(possible, F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def _group(text: Column, regex: str, n: int) -> Column:
@@ -71,7 +78,10 @@ def text_dates(text: Column, as_of: Column) -> list[Column]:
 
     named = r"((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*) (\d{1,2}),? (\d{4})"
     month = F.try_element_at(_month_number(), _group(text, named, 1))
-    by_name = _date(_group(text, named, 3).cast("int"), month, _group(text, named, 2).cast("int"))
+    day, year = _group(text, named, 2).cast("int"), _group(text, named, 3).cast("int")
+    # With a year like 0012 nothing marks the last number as the year, so a "day" over 31 is it.
+    by_name = (F.when((day > 31) & (year <= 100), _date(_near_year(day, as_of), month, year))
+               .otherwise(_date(_near_year(year, as_of), month, day)))
     return [by_iso, by_slash, by_name]
 
 

@@ -68,15 +68,17 @@ def content_rows(nodes: DataFrame) -> DataFrame:
     """Text, tables and cells inside the content root, each with its role.
 
     Columns ``role`` (content, boilerplate, header, table, table_header, table_cell),
-    ``skipped`` (at or after the first section header) and ``ref_would_fail``.
+    ``skipped`` (at or after the first section header) and ``breaks`` (see ``failing_pages``).
+    Every line is judged before the exchange, so three flags travel instead of the text.
     """
     element, text = F.col("kind") == "E", (F.col("kind") == "T") & F.col("seq").isNotNull()
     wanted_tags = sorted({"article", "table", *BLOCK_TAGS, *UNWANTED_TAGS, *TARGET_TAGS, *CELL_TAGS})
+    place = (F.col("owner.tag"), F.col("owner.class"), F.col("owner.style"))
+    basic, header = boilerplate(F.col("text"), *place)
     narrow = nodes.where(text | (element & F.col("tag").isin(wanted_tags))).select(
-        "page_id", "pos", "end_pos", "kind", "tag", "text_len", "attrs", "owner",
-        F.when(text, F.col("text")).alias("text"))
-    basic, header = boilerplate(F.col("text"), F.col("owner.tag"), F.col("owner.class"), F.col("owner.style"))
-    breaks = bold_test_breaks(F.col("text"), F.col("owner.tag"), F.col("owner.class"), F.col("owner.style"))
+        "page_id", "pos", "end_pos", "kind", "tag", "text_len", "attrs",
+        *[F.when(text, flag).alias(name) for name, flag in
+          [("basic", basic), ("header", header), ("breaking", bold_test_breaks(F.col("text"), *place))]])
     is_table = element & (F.col("tag") == "table")
     rows = (_root_rows(narrow)
             .withColumn("in_table", inside(is_table))
@@ -85,11 +87,10 @@ def content_rows(nodes: DataFrame) -> DataFrame:
             .withColumn("in_root", F.coalesce((F.col("pos") > F.col("root.pos"))
                                               & (F.col("pos") <= F.col("root.end_pos")), F.lit(False))))
     target = element & F.col("tag").isin(TARGET_TAGS) & F.col("in_root") & ~F.col("in_table")
-    read = F.col("text").isNotNull() & ~F.col("in_table")
+    read = ~element & ~F.col("in_table")
     rows = rows.withColumn("is_read", read & inside(target))
-    rows = (rows.withColumn("is_basic", F.col("is_read") & basic)
-            .withColumn("is_header", F.col("is_read") & header)
-            .withColumn("breaks", F.col("is_read") & breaks)
+    rows = (rows.withColumns({"is_basic": F.col("is_read") & F.col("basic"), "is_header": F.col("is_read") & F.col("header"),
+                              "breaks": F.col("is_read") & F.col("breaking")})
             .withColumn("stop", F.min(F.when(F.col("is_header"), F.col("pos"))).over(_page()))
             .withColumn("skipped", F.coalesce(F.col("pos") >= F.col("stop"), F.lit(False))))
     live_table = is_table & F.col("in_root") & ~F.col("skipped")
@@ -101,7 +102,7 @@ def content_rows(nodes: DataFrame) -> DataFrame:
             .when(F.col("is_read"), "content").when(live_table & F.col("has_cells"), "table")
             .when(F.col("full_cell"), F.when(F.col("tag") == "th", "table_header").otherwise("table_cell")))
     return (rows.withColumn("role", role).where("role is not null")
-            .select("page_id", "pos", "end_pos", "role", "skipped", "text", "breaks"))
+            .select("page_id", "pos", "end_pos", "role", "skipped", F.coalesce("breaks", F.lit(False)).alias("breaks")))
 
 
 def content_labels(rows: DataFrame) -> DataFrame:

@@ -14,9 +14,14 @@ _SPECIAL = {"C": ("<!--", "-->"), "D": ("<!DOCTYPE ", ">\n"), "X": ("", "")}
 
 
 def label_nodes(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Nodes with ``label_types`` (null where there is none); labels are unique per node first."""
-    per_node = labels.groupBy("page_id", "pos").agg(F.array_sort(F.collect_set("label_type")).alias("label_types"))
-    return nodes.join(per_node, ["page_id", "pos"], "left")
+    """Nodes with ``label_types`` (null where there is none); labels are unique per node first.
+
+    Both sides are hashed by page alone: this join, the pruning windows and the rendering all
+    work on that one exchange.
+    """
+    per_node = (labels.select("page_id", "pos", "label_type").repartition("page_id").groupBy("page_id", "pos")
+                .agg(F.array_sort(F.collect_set("label_type")).alias("label_types")))
+    return nodes.repartition("page_id").join(per_node, ["page_id", "pos"], "left")
 
 
 def prune(nodes: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ def article_parts(nodes: DataFrame, as_of: Column | None = None) -> dict[str, Da
     as_of = F.current_timestamp() if as_of is None else as_of
     facts = write_stage(head.head_facts(nodes), "facts")
     date = write_stage(dates.article_dates(nodes, head.head_dates(facts, as_of), as_of), "dates")
-    rows = write_stage(content.content_rows(nodes).drop("text"), "content")
+    rows = write_stage(content.content_rows(nodes), "content")
     return {"title": head.titles(head.title_candidates(facts)), "date": date,
             "metadata": head.metadata(facts), "rows": rows}
 
