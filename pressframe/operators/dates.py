@@ -27,10 +27,16 @@ def dated_texts(nodes: DataFrame) -> DataFrame:
             .where("shows").drop("marks", "shows"))
 
 
-def text_date_candidates(nodes: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """``(page_id, pattern_no, pos, day, score)`` for every text node and pattern."""
+def text_date_candidates(nodes: DataFrame, as_of: Column | None = None, settled: DataFrame | None = None) -> DataFrame:
+    """``(page_id, pattern_no, pos, day, score)`` for every text node and pattern.
+
+    Pages in ``settled(page_id)`` are left out as soon as their few dated texts are known.
+    """
     as_of = F.current_timestamp() if as_of is None else as_of
-    found = dated_texts(nodes).withColumn("own_word", _says_published(F.col("text")))
+    found = dated_texts(nodes)
+    if settled is not None:
+        found = found.join(settled.select("page_id"), "page_id", "left_anti")
+    found = found.withColumn("own_word", _says_published(F.col("text")))
     # The parent's whole text is gathered only where the node's own text does not settle it.
     asks = F.when(~F.col("own_word"), F.col("parent"))
     parents = (found.where("not own_word").groupBy("page_id", F.col("parent").alias("t_pos"))
@@ -57,5 +63,4 @@ def best_text_dates(found: DataFrame) -> DataFrame:
 
 def article_dates(nodes: DataFrame, head: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Date per page: head dates first, page text only for the pages they leave open."""
-    open_pages = nodes.join(head.select("page_id"), "page_id", "left_anti")
-    return head.unionByName(best_text_dates(text_date_candidates(open_pages, as_of)))
+    return head.unionByName(best_text_dates(text_date_candidates(nodes, as_of, settled=head)))

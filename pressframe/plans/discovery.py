@@ -35,8 +35,8 @@ def discover_crawl(crawl: DataFrame, max_pages: int = 0, dedup: bool = False) ->
     rows = crawl.where(F.col("page_no") <= max_pages)
     if "year_no" not in rows.columns:
         rows = rows.withColumn("year_no", F.coalesce(-F.expr("try_cast(year as int)"), F.lit(0)))
-    key = F.struct("site_id", "year_no", "page_no")
-    pages = rows.withColumn("page_id", F.xxhash64(key))
+    # The written-out key cannot collide, however many pages the crawl has.
+    pages = rows.withColumn("page_id", F.concat_ws("|", "site_id", "year_no", "page_no"))
     found = discover_groups(pages).select("page_id", "urls", links.is_client_side().alias("client_side"))
     lists = pages.select("page_id", "site_id", "base_url", "year", "year_no", "page_no").join(found, "page_id", "left")
     # Read twice below (cut and rows), so the lists are written once instead of found twice.
@@ -53,9 +53,10 @@ def discover_crawl(crawl: DataFrame, max_pages: int = 0, dedup: bool = False) ->
 
 def link_errors(pages: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pages without any usable link, as data."""
+    # Distinct pages first: one short row per page reaches the join.
     usable = links.valid_links(nodes.where("kind = 'E' and tag = 'a'")
                                .select("page_id", F.try_element_at("attrs", F.lit("href")).alias("href")))
-    return (pages.select("page_id", "url").join(usable.select("page_id"), "page_id", "left_anti")
+    return (pages.select("page_id", "url").join(usable.select("page_id").distinct(), "page_id", "left_anti")
             .select("page_id", "url", F.lit("links").alias("stage"), F.lit("no usable link").alias("error")))
 
 
@@ -74,4 +75,4 @@ def fetched(found: DataFrame, pages: DataFrame) -> DataFrame:
 
 def fetch_frontier(found: DataFrame, pages: DataFrame) -> DataFrame:
     """Distinct article links that have not been fetched yet."""
-    return found.select("url").distinct().join(pages.select("url"), "url", "left_anti")
+    return found.select("url").distinct().join(pages.select("url").distinct(), "url", "left_anti")

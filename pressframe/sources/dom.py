@@ -31,8 +31,9 @@ PREFORMATTED = frozenset(["pre", "textarea"])
 TEXT_TAGS = frozenset(["a", "h1"])
 TEXT_CLASSES = ("author", "byline")
 
+# ``page_id`` keeps the type it has in the pages.
 DOM_SCHEMA = (
-    "page_id long, pos int, end_pos int, parent int, depth int, node_idx int, seq int, own_no int, "
+    "page_id {key}, pos int, end_pos int, parent int, depth int, node_idx int, seq int, own_no int, "
     "kind string, tag string, attrs map<string,string>, text string, text_len int, "
     "owner struct<tag:string,class:string,style:string,type:string,end_pos:int>, "
     "anc_flex string, anc_strict string"
@@ -134,6 +135,9 @@ class _PageReader(HTMLParser):
         if tag not in VOID_TAGS:
             self._pop()
 
+    def updatepos(self, i, j):
+        return j  # no line numbers needed
+
     def handle_data(self, data):
         self.buffer.append(data)
 
@@ -183,7 +187,7 @@ def _path(node: _Node, name: Callable[[_Node], str]) -> str:
     return " > ".join(reversed(names))
 
 
-def _to_batch(rows: list[tuple[int, _Node]]) -> pa.RecordBatch:
+def _to_batch(rows: list[tuple[object, _Node]], key: pa.DataType) -> pa.RecordBatch:
     nodes = [n for _, n in rows]
     links = [n.tag == "a" and "href" in n.attrs for n in nodes]
     strings = [n.kind not in "ER" for n in nodes]
@@ -210,7 +214,7 @@ def _to_batch(rows: list[tuple[int, _Node]]) -> pa.RecordBatch:
         return pa.array([get(n) for n in nodes], pa.string())
 
     columns = {
-        "page_id": pa.array([p for p, _ in rows], pa.int64()),
+        "page_id": pa.array([p for p, _ in rows], key),
         "pos": ints(lambda n: n.pos), "end_pos": ints(lambda n: n.end),
         "parent": ints(lambda n: n.up.pos if n.up else None), "depth": ints(lambda n: n.depth),
         "node_idx": ints(lambda n: n.idx), "seq": ints(lambda n: n.seq), "own_no": ints(lambda n: n.own_no),
@@ -241,8 +245,9 @@ def flatten_dom(pages: DataFrame, keep: Callable[[_Node], bool] | None = None) -
     """
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, rows, chars = _PageReader(), [], 0
+        reader, rows, chars, key = _PageReader(), [], 0, None
         for batch in batches:
+            key = batch.column(0).type
             for page_id, html in zip(batch.column(0).to_pylist(), batch.column(1)):
                 html = html.as_py()
                 try:
@@ -255,13 +260,14 @@ def flatten_dom(pages: DataFrame, keep: Callable[[_Node], bool] | None = None) -
                 rows.extend((page_id, n) for n in nodes if keep is None or keep(n))
                 chars += len(html or "")
                 if len(rows) >= _BATCH_ROWS or chars >= _BATCH_CHARS:
-                    yield from _in_batches(rows)
+                    yield from _in_batches(rows, key)
                     rows, chars = [], 0
-        yield from _in_batches(rows)
+        yield from _in_batches(rows, key)
 
-    return pages.select("page_id", "html").mapInArrow(stage, DOM_SCHEMA)
+    key = pages.schema["page_id"].dataType.simpleString()
+    return pages.select("page_id", "html").mapInArrow(stage, DOM_SCHEMA.format(key=key))
 
 
-def _in_batches(rows):
+def _in_batches(rows, key):
     for start in range(0, len(rows), _BATCH_ROWS):
-        yield _to_batch(rows[start:start + _BATCH_ROWS])
+        yield _to_batch(rows[start:start + _BATCH_ROWS], key)

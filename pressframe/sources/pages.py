@@ -46,8 +46,14 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
 
 
 def seed_pages(seeds: DataFrame, pages: DataFrame) -> DataFrame:
-    """Listing pages of the seeds; seeds without a landed page stay, with null ``page_id``."""
-    return seeds.join(pages, seeds.base_url == pages.url, "left").drop("url")
+    """Listing pages of the seeds; seeds without a landed page stay, with null ``page_id``.
+
+    Matches are an inner join, whose skewed keys (one listing landed many times) can be split on
+    either side; the unmatched seeds are added by an anti-join on distinct URLs.
+    """
+    matched = pages.join(seeds, seeds.base_url == pages.url).drop("url")
+    landed = pages.select(F.col("url").alias("base_url")).distinct()
+    return matched.unionByName(seeds.join(landed, "base_url", "left_anti"), allowMissingColumns=True)
 
 
 def work_folder(spark: SparkSession) -> str:

@@ -115,3 +115,18 @@ def test_bucketed_table_needs_no_exchange(spark, pages_of):
     asked = table.withColumn("in_p", tree.inside(F.col("tag") == "p")).groupBy("page_id").agg(F.count_if("in_p").alias("n"))
     assert "Exchange" not in asked._jdf.queryExecution().executedPlan().toString()
     assert {r.page_id: r.n for r in asked.collect()} == {0: 1, 1: 0}
+
+
+def test_dates_over_a_bucketed_table_move_no_page_text(spark, pages_of):
+    """On a table bucketed by page the text side of the containment join stays where it is."""
+    from pressframe.operators.dates import text_date_candidates
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = write_dom_table(flatten_dom(pages_of("<p><i>pub</i>lished 2020-01-02</p>", "<p>2019-03-04</p>")), "dom_dates", 4)
+        found = text_date_candidates(table)
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text
+        assert {(r.page_id, str(r.day), r.score) for r in found.collect()} == {(0, "2020-01-02", 5), (1, "2019-03-04", 0)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
