@@ -347,7 +347,8 @@ def head_date(spark, sf):
 @query("article_date", W + "SELECT page_id, published_text, method FROM dated WHERE method IS NOT NULL")
 def article_date(spark, sf):
     nodes = article_nodes(spark, sf)
-    first = head.head_dates(head.head_facts(nodes), F.current_timestamp())
+    facts = src.write_stage(head.head_facts(nodes), "facts")
+    first = head.head_dates(facts, F.current_timestamp())
     return dates.article_dates(nodes, first).select("page_id", "published_text", "method")
 
 

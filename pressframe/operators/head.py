@@ -59,14 +59,15 @@ def read_json_ld(text: Column) -> Column:
     item = F.from_json(F.concat(F.lit("["), text, F.lit("]")),
                        "array<struct<headline:string,datePublished:string>>", options)
     member = F.from_json(F.concat(F.lit('{"k":'), text, F.lit("}")),
-                         "k struct<headline:string,datePublished:string>, bad string",
+                         "k struct<headline:string,datePublished:variant>, bad string",
                          {**options, "columnNameOfCorruptRecord": "bad"})
     sound = (strip(text).startswith("{") & (F.size(item) == 1) & member["bad"].isNull() & member["k"].isNotNull())
     keys = F.json_object_keys(text)
+    date = member["k"]["datePublished"]  # only a text can be a date here, not a number
     return F.when(sound, F.struct(
         member["k"]["headline"].alias("headline"),
         F.coalesce(F.array_contains(keys, "headline"), F.lit(False)).alias("has_headline"),
-        member["k"]["datePublished"].alias("date_published")))
+        F.when(F.schema_of_variant(date) == "STRING", F.try_variant_get(date, "$", "string")).alias("date_published")))
 
 
 def title_candidates(facts: DataFrame) -> DataFrame:

@@ -60,10 +60,14 @@ def link_errors(pages: DataFrame, nodes: DataFrame) -> DataFrame:
             .select("page_id", "url", F.lit("links").alias("stage"), F.lit("no usable link").alias("error")))
 
 
-def write_links(found: DataFrame, path: str, buckets: int = 64) -> None:
-    """Keep article links for the second stage, in folders by a hash of the page."""
+def write_links(found: DataFrame, path: str, buckets: int = 64, slices: int = 16) -> None:
+    """Keep article links for the second stage, in folders by a hash of the page.
+
+    Each folder is written by up to ``slices`` tasks, so its size does not rest on one of them.
+    """
+    slice_no = F.pmod(F.xxhash64("page_id", "url_no"), F.lit(slices))
     (found.withColumn("bucket", F.pmod(F.xxhash64("page_id"), F.lit(buckets)))
-     .repartition("bucket").sortWithinPartitions("page_id", "url_no")
+     .repartition(F.col("bucket"), slice_no).sortWithinPartitions("page_id", "url_no")
      .write.mode("append").partitionBy("bucket").parquet(path))
 
 

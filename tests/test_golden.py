@@ -39,6 +39,7 @@ PAGES = {
                    '<meta property="og:published_time" content="2020-05-06">',
     "ld_date": ld('{"datePublished": "May 6, 2020 10:00"}') + "<p>2019-01-01</p>",
     "ld_bad_date": ld('{"datePublished": "never"}') + "<p>2019-01-01</p>",
+    "ld_number_date": ld('{"datePublished": 2020}') + "<p>2019-01-01</p>",
     "published": "<p>on 3/4/21</p><p>Published 2024-01-05</p>",
     "class_tie": '<div class="News Date"><p>5/6/2020</p></div><p>Posted 2021-01-02</p>',
     "same_pattern": "<p>Posted 1/2/2021</p><p>Posted 3/2/2021</p>",
@@ -100,7 +101,7 @@ def test_titles(golden):
 
 def test_dates(golden):
     day = lambda d: f"{d} 00:00:00"
-    want = {"meta_second": day("2020-05-06"), "ld_date": "2020-05-06 10:00:00", "ld_bad_date": day("2019-01-01"),
+    want = {"meta_second": day("2020-05-06"), "ld_date": "2020-05-06 10:00:00", "ld_bad_date": day("2019-01-01"), "ld_number_date": day("2019-01-01"),
             "published": day("2024-01-05"), "class_tie": day("2021-01-02"), "same_pattern": day("2021-01-02"), "future": None,
             "nonsense": None, "in_script": None, "split_word": day("2018-01-01"), "longest": None}
     assert {k: golden[k]["published_text"] for k in want} == want
