@@ -140,6 +140,17 @@ def test_marked_html(spark, pages_of):
                     '<i data-node="4"><span data-seq="2" data-node="5" data-label="content">y</span></i></p></article></body>')
 
 
+def test_lost_labels_are_named(spark, pages_of):
+    from pressframe.operators import prune
+    nodes = flatten_dom(pages_of("<body><p>x</p><p>y</p></body>"))
+    found = nodes.where("kind = 'T'").select("page_id", "pos", F.lit("content").alias("label_type"))
+    before = write_stage(prune.label_nodes(nodes, found), "labelled")
+    assert prune.lost_labels(before, prune.prune(before)).count() == 0
+    gap = prune.lost_labels(before, before.where("text = 'x' or kind = 'E'"))
+    assert [tuple(r) for r in gap.collect()] == [(0, 5, "content", "lost")]
+    assert [r.labels_kept for r in prune.verify_prune(before, before.where("coalesce(text, '') <> 'y'")).collect()] == [False]
+
+
 def listing(links, extra=""):
     items = "".join(f'<li{s}><a href="{h}">{t}</a></li>' for h, t, s in links)
     return f'<nav><a href="/about">About</a></nav><ul>{items}</ul><footer><a href="/privacy">P</a></footer>{extra}'
