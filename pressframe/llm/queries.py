@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import read_table
 from .host_reputation import judge_urls, path_of
+from .mixing import mix_sources
+from .secrets import scan_secrets
 from .sql import HOST_RULES, OP3_SQL
 
 
@@ -23,8 +25,35 @@ def op3_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+#: The kinds of the base scan; the operator adds others.
+BASE = ("assign", "access", "hex")
+
+
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+def _joined(spans: Column) -> Column:
+    text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(text, ",")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, spans = scan_secrets(read_table(spark, sf_dir, "documents")), F.col("secret_spans")
+    count = [F.size(F.filter(spans, _of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in BASE]
+    base = F.filter(spans, lambda s: s["kind"].isin(*BASE))
+    return found.select("doc_id", *count, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(spans).alias("spans"))
+
+
 QUERIES = {
     "op3_host_reputation": op3_host_reputation,
+    "op7_entropy_mixing": op7_entropy_mixing,
+    "op8_secret_scan": op8_secret_scan,
 }
 
 ORACLES = {
