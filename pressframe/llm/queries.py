@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import read_table
+from .common import crc_rest, read_table
 from .host_reputation import judge_urls, path_of
+from .language import identify_languages
 from .mixing import mix_sources
+from .quality import score_quality
 from .secrets import scan_secrets
 from .sql import HOST_RULES, OP3_SQL
 
 
+def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = crc_rest(F.col("doc_id"), 5)
+    scored = score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), learn=rest != 0)
+    score = F.col("quality_score")
+    return scored.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), score.alias("score"),
+                         (score >= 0.3).cast("int").alias("predicted"))
+
+
 def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``url, bad``: pages whose path ends in the number of a labelled document, bad if that is of low quality or toxic."""
     number = F.regexp_extract(path_of(F.col("url")), r"/([0-9]{1,18})[^/]*/?$", 1)
@@ -50,10 +60,24 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *count, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(spans).alias("spans"))
 
 
+def op10_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = crc_rest(F.col("doc_id"), 4)
+    found = identify_languages(read_table(spark, sf_dir, "documents"), learn=rest != 2)
+    return found.select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "lang_pred",
+                        F.col("lang_score").alias("score"), _span_text().alias("spans"))
+
+
+def _span_text() -> Column:
+    text = F.transform("lang_spans", lambda s: F.concat_ws(":", s["lang"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(text, ",")
+
+
 QUERIES = {
+    "op2_pairwise_quality": op2_pairwise_quality,
     "op3_host_reputation": op3_host_reputation,
     "op7_entropy_mixing": op7_entropy_mixing,
     "op8_secret_scan": op8_secret_scan,
+    "op10_language_spans": op10_language_spans,
 }
 
 ORACLES = {
