@@ -7,10 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .common import crc_rest, read_table
 from .host_reputation import judge_urls, path_of
 from .language import identify_languages
+from .merkle import compare_edited
 from .mixing import mix_sources
 from .quality import score_quality
 from .secrets import scan_secrets
 from .sql import HOST_RULES, OP3_SQL
+from .token_lengths import token_lengths
 
 
 def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +37,12 @@ def op3_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = compare_edited(read_table(spark, sf_dir, "documents"))
+    return compared.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
+                           "edited_fingerprint", "near_edited", "near_next")
+
+
 def op7_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
@@ -60,6 +68,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *count, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(spans).alias("spans"))
 
 
+def op9_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_lengths(read_table(spark, sf_dir, "documents"))
+
+
 def op10_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = crc_rest(F.col("doc_id"), 4)
     found = identify_languages(read_table(spark, sf_dir, "documents"), learn=rest != 2)
@@ -75,8 +87,10 @@ def _span_text() -> Column:
 QUERIES = {
     "op2_pairwise_quality": op2_pairwise_quality,
     "op3_host_reputation": op3_host_reputation,
+    "op5_merkle_fingerprint": op5_merkle_fingerprint,
     "op7_entropy_mixing": op7_entropy_mixing,
     "op8_secret_scan": op8_secret_scan,
+    "op9_token_lengths": op9_token_lengths,
     "op10_language_spans": op10_language_spans,
 }
 
