@@ -131,8 +131,10 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: flo
     sources = sizes.groupBy("cell", "source").agg(F.sum("size").alias("source_size"))
     targets = stages.write(weighted_targets(sources, weights, most, share), "targets")
     cells = targets.select("cell", F.col("source_size").cast("double").alias("tokens"), F.array("cell").alias("constraints"))
-    rates = stages.write(balance(cells, targets.select(F.col("cell").alias("constraint"), "target"), stages), "rates")
-    units = sizes.join(targets.join(rates, "cell"), "cell")
+    rates = balance(cells, targets.select(F.col("cell").alias("constraint"), "target"), stages)
+    # Written, so that its true size decides how it meets the documents.
+    rates = stages.write(targets.join(rates, "cell"), "rates")
+    units = sizes.join(rates, "cell")
     return (round_to_copies(units, stages, most)
             .select("doc_id", "source", "size", "source_size", "target", "rate", F.col("copies").cast("long").alias("copies"),
                     (F.col("size") * F.col("copies")).cast("long").alias("taken")))
