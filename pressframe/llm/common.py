@@ -64,3 +64,8 @@ def text_bytes(column: str = "text") -> Column:
 def crc_rest(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo a number; null ids give null."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)
+
+
+def row_keys() -> list[Column]:
+    """``did`` and ``th``: never-null id and text hash; rows with equal keys are the same document twice."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64("text").alias("th")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import crc_rest, read_table
+from .decontaminate import contamination
 from .host_reputation import judge_urls, path_of
 from .language import identify_languages
 from .merkle import compare_edited
@@ -15,6 +16,11 @@ from .sql import HOST_RULES, OP3_SQL
 from .token_lengths import token_lengths
 
 
+def op1_prefix_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = crc_rest(F.col("doc_id"), 5)
     scored = score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), learn=rest != 0)
@@ -85,6 +91,7 @@ def _span_text() -> Column:
 
 
 QUERIES = {
+    "op1_prefix_containment": op1_prefix_containment,
     "op2_pairwise_quality": op2_pairwise_quality,
     "op3_host_reputation": op3_host_reputation,
     "op5_merkle_fingerprint": op5_merkle_fingerprint,
