@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .chosen_path import near_duplicates
 from .common import crc_rest, read_table
 from .decontaminate import contamination
 from .host_reputation import judge_urls, path_of
@@ -43,6 +44,12 @@ def op3_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read_table(spark, sf_dir, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "class_id")
+
+
 def op5_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = compare_edited(read_table(spark, sf_dir, "documents"))
     return compared.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
@@ -94,6 +101,7 @@ QUERIES = {
     "op1_prefix_containment": op1_prefix_containment,
     "op2_pairwise_quality": op2_pairwise_quality,
     "op3_host_reputation": op3_host_reputation,
+    "op4_chosen_path": op4_chosen_path,
     "op5_merkle_fingerprint": op5_merkle_fingerprint,
     "op7_entropy_mixing": op7_entropy_mixing,
     "op8_secret_scan": op8_secret_scan,
