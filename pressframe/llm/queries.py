@@ -12,6 +12,7 @@ from .language import identify_languages
 from .merkle import compare_edited
 from .mixing import mix_sources
 from .quality import score_quality
+from .repeats import remove_repeats
 from .secrets import scan_secrets
 from .sql import HOST_RULES, OP3_SQL
 from .token_lengths import token_lengths
@@ -56,6 +57,12 @@ def op5_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "edited_fingerprint", "near_edited", "near_next")
 
 
+def op6_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
@@ -103,6 +110,7 @@ QUERIES = {
     "op3_host_reputation": op3_host_reputation,
     "op4_chosen_path": op4_chosen_path,
     "op5_merkle_fingerprint": op5_merkle_fingerprint,
+    "op6_previous_factors": op6_previous_factors,
     "op7_entropy_mixing": op7_entropy_mixing,
     "op8_secret_scan": op8_secret_scan,
     "op9_token_lengths": op9_token_lengths,
