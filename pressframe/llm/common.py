@@ -69,3 +69,21 @@ def crc_rest(doc_id: Column, modulus: int) -> Column:
 def row_keys() -> list[Column]:
     """``did`` and ``th``: never-null id and text hash; rows with equal keys are the same document twice."""
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64("text").alias("th")]
+
+
+def without(docs: DataFrame, dropped: DataFrame, once: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, whose key is not in ``dropped(did, th)``; of rows with a key in ``once`` one stays.
+
+    Only rows that a fixed-size filter cannot rule out are exchanged, the others go straight through.
+    """
+    from .filters import bit_filter, passing_rows
+
+    keys = ["did", "th"]
+    some = dropped.select(*keys) if once is None else dropped.select(*keys).union(once.select(*keys))
+    wanted = bit_filter(some.select(F.xxhash64(*keys).alias("key")), "key")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), *row_keys())
+    marked = passing_rows(keyed.withColumn("key", F.xxhash64(*keys)), "key", wanted)
+    near = marked.where("maybe").join(dropped.select(*keys).distinct(), keys, "left_anti")
+    if once is not None:
+        near = near.dropDuplicates(keys)
+    return marked.where("not maybe").select("row.*").union(near.select("row.*"))

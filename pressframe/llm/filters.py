@@ -27,3 +27,19 @@ def bit_filter(hashes, column: str, bits: int = BITS) -> np.ndarray:
 def passes(words: np.ndarray, h: np.ndarray, bits: int = BITS) -> np.ndarray:
     slot = h & np.uint64((1 << bits) - 1)
     return ((words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def passing_rows(frame, key: str, words: np.ndarray):
+    """``frame`` with a column ``maybe``: whether a row's hash in column ``key`` passes the filter."""
+    import pyarrow as pa
+    from pyspark.sql.types import BooleanType, StructType
+
+    schema = StructType([*frame.schema]).add("maybe", BooleanType())
+    at = frame.columns.index(key)
+
+    def stage(batches):
+        for batch in batches:
+            maybe = pa.array(passes(words, batch.column(at).to_numpy().view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, maybe], names=[f.name for f in schema])
+
+    return frame.mapInArrow(stage, schema)
