@@ -69,7 +69,7 @@ def _strength(level: DataFrame) -> float:
     row = level.where("n > 0").agg(F.sum(spread - unit), F.sum((F.col("n") - 1) * unit)).first()
     if not row[1] or row[1] <= 0:
         return 1.0
-    rho = min(max(row[0] / row[1], 1e-3), 0.999)
+    rho = min(max(row[0] / row[1], 1e-3), 1 / 3)  # a prior weighs two pages at least
     return 1 / rho - 1
 
 

@@ -21,7 +21,7 @@ _IS_TWO = f"{_LAST_TWO} IN ({', '.join(repr(x) for x in _TWO)})"
 
 def _level(name: str, keys: str, table: str) -> str:
     return f"""{name}_m AS (
-  SELECT CASE WHEN coalesce(b, 0) <= 0 THEN 1.0 ELSE 1 / least(greatest(a / b, 1e-3), 0.999) - 1 END AS s FROM (
+  SELECT CASE WHEN coalesce(b, 0) <= 0 THEN 1.0 ELSE 1 / least(greatest(a / b, 1e-3), 1.0 / 3) - 1 END AS s FROM (
     SELECT sum(n * (bad / n - prior) ** 2 - prior * (1 - prior)) AS a, sum((n - 1) * prior * (1 - prior)) AS b
     FROM {table} WHERE n > 0)),
 {name} AS (SELECT {keys}, (bad + s * prior) / (n + s) AS mean, n + s AS mass FROM {table}, {name}_m)"""
