@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import templates as t
-from pressframe.sources.pages import configure, read_pages
+from pressframe.sources import pages as src
 
 TABLES = ["orders", "customer", "part", "documents"]
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """The package's settings; a session on this machine that names no stage folder gets one of its own."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pressframe-checks-"))
+    return src.configure(spark)
+
+
 def tables(spark: SparkSession, sf_dir: str) -> SparkSession:
     configure(spark)
     for name in TABLES:
@@ -22,7 +31,8 @@ def rows(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 
 def given_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_pages(configure(spark), f"{sf_dir}/pages.parquet")
+    # The test sets come in one or two splits.
+    return src.read_pages(configure(spark), f"{sf_dir}/pages.parquet", spread=spark.sparkContext.defaultParallelism)
 
 
 def spread(frame: DataFrame) -> DataFrame:
@@ -121,6 +131,15 @@ def year_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(rows(spark, sf_dir, t.YEARS).selectExpr("page_id", f"{html} AS html"))
 
 
+def odd_crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years that are no numbers or null, a page landed twice, a hole in the numbering, and load-more controls."""
+    link = "concat('<li><a href=\"/', coalesce(year, 'none'), '/p', page_no, '/acme-wins-deal-', slot, '-', j, '\">Deal ', j, '</a></li>')"
+    html = f"""concat('<ul>', array_join(transform(sequence(0, 4), j -> {link}), ''), '</ul>',
+               IF(has_control, '<button>Load More</button>', ''))"""
+    frame = rows(spark, sf_dir, t.ODD_CRAWL).selectExpr("site_id", "base_url", "page_no", "year", f"{html} AS html")
+    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism)
+
+
 def crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     link = ("concat('<li', IF(client_side AND j > 0, ' class=\"hidden\"', ''), '><a href=\"/', year, '/p', page_no, "
             "'/acme-wins-deal-', j, '\">Deal ', j, '</a></li>')")

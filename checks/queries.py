@@ -494,6 +494,97 @@ def crawl_links(spark, sf):
     return found.select("site_id", "year", *long("page_no", "url_no"), "url")
 
 
+ODD = f"""WITH c AS ({t.ODD_CRAWL}), l AS (SELECT *, unnest(range(0, 5)) AS j FROM c), u AS (SELECT *,
+rtrim(base_url, '/') || '/' || coalesce(year, 'none') || '/p' || CAST(page_no AS STRING) || '/acme-wins-deal-' || CAST(slot AS STRING) || '-' || CAST(j AS STRING) AS url FROM l)
+SELECT site_id, year, CAST(page_no AS BIGINT) AS page_no, j AS url_no, url FROM u"""
+
+
+def odd_crawl(spark, sf, **how):
+    found = discovery.discover_crawl(build.odd_crawl_pages(spark, sf), **how)
+    return found.select("site_id", "year", *long("page_no", "url_no"), "url")
+
+
+@query("crawl_links_all", ODD)
+def crawl_links_all(spark, sf):
+    return odd_crawl(spark, sf)
+
+
+@query("crawl_links_capped", f"{ODD} WHERE page_no <= 0")
+def crawl_links_capped(spark, sf):
+    return odd_crawl(spark, sf, max_pages=0)
+
+
+@query("crawl_links_followed", f"""{ODD} u WHERE page_no = 0 OR slot IN (1, 2, 3) AND EXISTS (
+SELECT 1 FROM c WHERE c.site_id = u.site_id AND c.slot = 0 AND c.has_control) AND (slot <> 3 OR EXISTS (
+SELECT 1 FROM c WHERE c.site_id = u.site_id AND c.slot IN (1, 2)))""")
+def crawl_links_followed(spark, sf):
+    return odd_crawl(spark, sf, follow=True)
+
+
+@query("crawl_links_distinct", f"SELECT site_id, url, min(page_no) AS page_no FROM ({ODD}) GROUP BY site_id, url")
+def crawl_links_distinct(spark, sf):
+    twice = build.odd_crawl_pages(spark, sf)
+    return discovery.discover_crawl(twice.union(twice), dedup=True).select("site_id", "url", *long("page_no"))
+
+
+BROKEN = ("'<p>' || p_name || '</p>'", "'<p>&#55357;&#56832; ' || p_name || '</p>'", "'<p>&#xD800;' || p_name || '</p>'",
+          "'<p>&#' || repeat('9', 5000) || ';' || p_name || '</p>'", "NULL", "'<![CDATA[x' || p_name", "'<a href=\"&#xDFFF;\">' || p_name || '</a>'")
+BROKEN_PAGES = "SELECT p_partkey AS page_id, p_name, CASE p_partkey % 7 " + " ".join(f"WHEN {i} THEN {h}" for i, h in enumerate(BROKEN)) + " END AS html FROM part"
+
+
+@query("broken_pages", f"""WITH p AS (SELECT page_id, page_id % 7 AS k, p_name FROM ({BROKEN_PAGES}))
+SELECT page_id, 'R' AS kind, 'page has no html' AS text FROM p WHERE k = 4 UNION ALL
+SELECT page_id, 'T', CASE k WHEN 1 THEN chr(65533) || chr(65533) || ' ' WHEN 2 THEN chr(65533) WHEN 3 THEN chr(65533) ELSE '' END || p_name FROM p WHERE k IN (0, 1, 2, 3, 6)""")
+def broken_pages(spark, sf):
+    pages = build.spread(build.rows(spark, sf, BROKEN_PAGES))
+    return flatten_dom(pages).where("kind in ('R', 'T') and page_id % 7 <> 5").select("page_id", "kind", "text")
+
+
+SPECIAL = ("'<?xml version=\"1.0\"?><!-- ' || p_name || ' --><p>' || p_name || '</p><template>a &lt;b&gt; ' || p_name || '</template>"
+           "<ruby>x<rt>a &lt;b&gt; c</rt></ruby><![if !IE]><style>a > b {{}}</style>'").replace("{{}}", "{}")
+SPECIAL_PAGES = f"SELECT p_partkey AS page_id, {SPECIAL} AS html FROM part"
+
+
+@query("render_special", f"SELECT page_id, html FROM ({SPECIAL_PAGES})")
+def render_special(spark, sf):
+    return prune.render_html(flatten_dom(build.spread(build.rows(spark, sf, SPECIAL_PAGES)))).withColumnRenamed("clean_html", "html")
+
+
+MARKED_PAGES = "SELECT p_partkey AS page_id, '<body><h1>' || p_name || '</h1><p>out</p><table><tr><th>h</th><td>' || p_name || '</td></tr></table></body>' AS html FROM part"
+
+
+@query("clean_html_marked", """SELECT p_partkey AS page_id, '<body data-node="0"><h1 data-node="1" data-label="author title" data-author=\"A &amp; ' || CHR(39) || p_name || CHR(39) || '\" data-title="T">' ||
+'<span data-seq="1" data-node="2">' || p_name || '</span></h1><table data-node="5" data-label="table"><tr data-node="6"><th data-node="7" data-label="header" data-header="h"><span data-seq="3" data-node="8">h</span></th>' ||
+'<td data-node="9" data-label="cell"><span data-seq="4" data-node="10">' || p_name || '</span></td></tr></table></body>' AS clean_html FROM part""")
+def clean_html_marked(spark, sf):
+    pages = build.spread(build.rows(spark, sf, MARKED_PAGES))
+    nodes = src.write_stage(flatten_dom(pages), "marked")
+    name = F.col("text")
+    kinds = {"h1": F.array(F.struct(F.lit("author").alias("label_type"), F.concat(F.lit("A & '"), name, F.lit("'")).alias("label_value")), F.struct(F.lit("title").alias("label_type"), F.lit("T").alias("label_value"))),
+             "table": F.array(F.struct(F.lit("table").alias("label_type"), F.lit(None).cast("string").alias("label_value"))),
+             "th": F.array(F.struct(F.lit("header").alias("label_type"), F.lit("h").alias("label_value"))),
+             "td": F.array(F.struct(F.lit("cell").alias("label_type"), F.lit(None).cast("string").alias("label_value")))}
+    found = None
+    for tag, which in kinds.items():
+        part = nodes.where((F.col("kind") == "E") & (F.col("tag") == tag)).select("page_id", "pos", F.inline(which))
+        found = part if found is None else found.unionByName(part)
+    return articles.clean_html(nodes, found, mark=True)
+
+
+@query("prune_losses", """SELECT p_partkey AS page_id, CASE p_partkey % 3 WHEN 0 THEN 'kept' WHEN 1 THEN 'lost' ELSE 'new' END AS side,
+p_partkey % 3 = 0 AS labels_kept FROM part""")
+def prune_losses(spark, sf):
+    """Labels removed from or added to a page after labelling must be noticed."""
+    pages = build.spread(build.rows(spark, sf, MARKED_PAGES))
+    nodes = src.write_stage(flatten_dom(pages), "losses")
+    labels = nodes.where("tag in ('h1', 'th')").select("page_id", "pos", "tag", F.lit("title").alias("label_type"))
+    before = prune.label_nodes(nodes, labels.where("page_id % 3 <> 2 or tag = 'h1'").drop("tag"))
+    after = prune.label_nodes(nodes, labels.where("page_id % 3 <> 1 or tag = 'h1'").drop("tag"))
+    sides = prune.lost_labels(before, after).select("page_id", "side")
+    return (prune.verify_prune(before, after).join(sides, "page_id", "left")
+            .select("page_id", F.coalesce("side", F.lit("kept")).alias("side"), "labels_kept"))
+
+
 # --- Ends -------------------------------------------------------------------------------------------
 
 FOUND = "SELECT page_id, 'https://ir.example.com/story/' || CAST(o_custkey * 2 AS STRING) AS url FROM (SELECT o_orderkey AS page_id, o_custkey FROM orders)"

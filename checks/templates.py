@@ -144,6 +144,16 @@ FROM part
 """
 
 # Crawls: six listing pages per site, three years with two pages each.
+# Slots: three pages of 2023, the second landed twice; two pages under words; one without a year; 2022 with a hole.
+ODD_CRAWL = """
+SELECT CAST((o_orderkey - o_orderkey % 9) / 9 AS BIGINT) AS site_id,
+  'https://c' || CAST(CAST((o_orderkey - o_orderkey % 9) / 9 AS BIGINT) AS STRING) || '.example.com/news/' AS base_url,
+  CASE WHEN o_orderkey % 9 < 4 THEN '2023' WHEN o_orderkey % 9 = 4 THEN 'Older' WHEN o_orderkey % 9 = 5 THEN 'Archive' WHEN o_orderkey % 9 > 6 THEN '2022' END AS year,
+  CAST(CASE o_orderkey % 9 WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 2 WHEN 8 THEN 2 ELSE 0 END AS INT) AS page_no,
+  CAST(o_orderkey % 9 AS INT) AS slot,
+  o_orderkey % 9 = 0 AND CAST((o_orderkey - o_orderkey % 9) / 9 AS BIGINT) % 2 = 0 OR o_orderkey % 9 IN (1, 2, 7) AS has_control
+FROM orders
+"""
 CRAWL = """
 SELECT CAST((o_orderkey - o_orderkey % 6) / 6 AS BIGINT) AS site_id,
   'https://c' || CAST(CAST((o_orderkey - o_orderkey % 6) / 6 AS BIGINT) AS STRING) || '.example.com/news/' AS base_url,

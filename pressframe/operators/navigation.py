@@ -189,14 +189,14 @@ def nav_plan(pages: DataFrame, selectors: DataFrame, winners: DataFrame) -> Data
                     F.coalesce("client_side", F.lit(False)).alias("client_side")))
 
 
-def crawl_cut(lists: DataFrame, max_pages: int = 0) -> DataFrame:
+def crawl_cut(lists: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Pages of a crawl whose links count, from ``(site_id, year_no, page_no, client_side, ...)``.
 
-    ``page_no`` runs from 0 to ``max_pages``.  A client-side list on the first page of a year
+    ``max_pages``, if given, is the last ``page_no`` that counts.  A client-side list on the first page of a year
     ends that year after this page and drops all later years.  The cut is one minimum per site
     joined back, so a site of any size stays spread out.
     """
-    kept = lists.where(F.col("page_no") <= max_pages)
+    kept = lists if max_pages is None else lists.where(F.col("page_no") <= max_pages)
     cuts = (kept.where("client_side and page_no = 0").groupBy("site_id")
             .agg(F.min("year_no").alias("cut_year")))
     return (kept.join(cuts, "site_id", "left")

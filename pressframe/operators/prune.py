@@ -8,19 +8,27 @@ from pressframe.operators.tree import holds, inside, is_structural
 from pressframe.sources.dom import VOID_TAGS
 
 
+_SPECIAL = {"C": ("<!--", "-->"), "D": ("<!DOCTYPE ", ">\n"), "N": ("<!", ">"), "M": ("<![", "]>"), "P": ("<?", ">")}
+
+
 def _page() -> WindowSpec:
     return Window.partitionBy("page_id")
-_SPECIAL = {"C": ("<!--", "-->"), "D": ("<!DOCTYPE ", ">\n"), "X": ("", "")}
 
 
 def label_nodes(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Nodes with ``label_types`` (null where there is none); labels are unique per node first.
+    """Nodes with ``label_types`` and ``label_values`` (null where there is none); labels are unique per node first.
+
+    ``label_values`` holds the types that have a value with the first of their values.
 
     Both sides are hashed by page alone: this join, the pruning windows and the rendering all
     work on that one exchange.
     """
-    per_node = (labels.select("page_id", "pos", "label_type").repartition("page_id").groupBy("page_id", "pos")
-                .agg(F.array_sort(F.collect_set("label_type")).alias("label_types")))
+    if "label_value" not in labels.columns:
+        labels = labels.withColumn("label_value", F.lit(None).cast("string"))
+    valued = F.when(F.col("label_value").isNotNull(), F.struct("label_type", "label_value"))
+    per_node = (labels.select("page_id", "pos", "label_type", "label_value").repartition("page_id").groupBy("page_id", "pos")
+                .agg(F.array_sort(F.collect_set("label_type")).alias("label_types"),
+                     F.array_sort(F.collect_set(valued)).alias("label_values")))
     return nodes.repartition("page_id").join(per_node, ["page_id", "pos"], "left")
 
 
@@ -79,7 +87,8 @@ def render_html(nodes: DataFrame, mark: bool = False) -> DataFrame:
 
     Every element gives an opening and a closing chunk; sorting by (position, closing, depth)
     restores the nesting.  A closing chunk sorts after all that starts inside its interval, the
-    innermost first.  ``mark`` writes node numbers and labels as ``data-`` attributes.
+    innermost first.  ``mark`` writes node numbers and labels as ``data-`` attributes, and a
+    label's value as ``data-<label>``.
     """
     element = F.col("kind") == "E"
     void = F.col("tag").isin(sorted(VOID_TAGS))
@@ -88,7 +97,9 @@ def render_html(nodes: DataFrame, mark: bool = False) -> DataFrame:
     marks = F.lit("")
     if mark:
         marks = F.concat(F.lit(' data-node="'), F.col("node_idx").cast("string"), F.lit('"'),
-                         F.coalesce(F.concat(F.lit(' data-label="'), F.array_join("label_types", " "), F.lit('"')), F.lit("")))
+                         F.coalesce(F.concat(F.lit(' data-label="'), F.array_join("label_types", " "), F.lit('"')), F.lit("")),
+                         F.coalesce(F.array_join(F.transform("label_values", lambda v: F.concat(
+                             F.lit(" data-"), v["label_type"], F.lit("="), _escape(v["label_value"], quote=True))), ""), F.lit("")))
     open_tag = F.concat(F.lit("<"), F.col("tag"), F.array_join(entries, ""), marks,
                         F.when(void, F.lit("/>")).otherwise(F.lit(">")))
     raw = F.col("owner.tag").isin("script", "style")

@@ -80,5 +80,6 @@ def check_prune(nodes: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def write_clean_html(clean: DataFrame, path: str) -> None:
-    """One parquet row per page; tasks write their own files."""
-    clean.select("page_id", "clean_html").write.mode("append").parquet(path)
+    """One parquet row per page; tasks write their own files.  What ``path`` held before is replaced, so a
+    run that failed can be repeated."""
+    clean.select("page_id", "clean_html").write.mode("overwrite").parquet(path)

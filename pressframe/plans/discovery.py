@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressframe.operators import links
-from pressframe.operators.navigation import crawl_cut
+from pressframe.operators.navigation import crawl_cut, load_more_controls, next_controls
 from pressframe.sources.dom import flatten_dom, link_rows
 from pressframe.sources.pages import write_stage
 
@@ -26,22 +26,56 @@ def discover_links(pages: DataFrame, base_url: str = "url", mode: str = "prefix"
     return links.news_links(discover_groups(pages), base, mode)
 
 
-def discover_crawl(crawl: DataFrame, max_pages: int = 0, dedup: bool = False) -> DataFrame:
+def year_order() -> Column:
+    """Numbered years newest first, then other names in order, then pages without a year."""
+    number = F.expr("try_cast(year as int)")
+    return F.struct(F.when(number.isNotNull(), 0).when(F.col("year").isNotNull(), 1).otherwise(2).alias("kind"),
+                    F.coalesce(-number, F.lit(0)).alias("place"), F.coalesce("year", F.lit("")).alias("name"))
+
+
+def followed(lists: DataFrame) -> DataFrame:
+    """Pages a browser would have reached: those before a hole in ``page_no`` and up to the first without control.
+
+    ``lists(site_id, year_no, page_no, has_control, ...)``; a year of a site is one short list of pages.
+    """
+    pages = lists.groupBy("site_id", "year_no", "page_no").agg(F.max("has_control").alias("has_control"))
+    before = Window.partitionBy("site_id", "year_no").orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
+    open_so_far = F.coalesce(F.min(F.col("has_control").cast("int")).over(before), F.lit(1)) == 1
+    reached = pages.where("page_no >= 0").withColumn("reached", open_so_far & (F.count("*").over(before) == F.col("page_no")))
+    return lists.join(reached.where("reached").select("site_id", "year_no", "page_no"), ["site_id", "year_no", "page_no"], "left_semi")
+
+
+def discover_crawl(crawl: DataFrame, max_pages: int | None = None, dedup: bool = False, follow: bool = False,
+                   options: DataFrame | None = None) -> DataFrame:
     """Links of a whole crawl ``(site_id, base_url, page_no, year, html)``, all pages united.
 
-    Years are taken newest first unless a ``year_no`` column says otherwise.  With the default
-    ``max_pages`` only the first page of each year counts.
+    All landed pages count unless ``max_pages`` is given (then those with ``page_no`` up to it) or ``follow``
+    is set (then those a browser would have reached, see :func:`followed`).  Years run in the order of
+    ``options(site_id, option_text, pos)``, the options of the site's selector, else by a ``year_no`` column, else
+    newest first.  A page is known by site, year, number and its content, so nothing merges by accident; the
+    same page landed twice counts once, another version of it counts too.
     """
-    rows = crawl.where(F.col("page_no") <= max_pages)
-    if "year_no" not in rows.columns:
-        rows = rows.withColumn("year_no", F.coalesce(-F.expr("try_cast(year as int)"), F.lit(0)))
-    # The written-out key cannot collide, however many pages the crawl has.
-    pages = rows.withColumn("page_id", F.concat_ws("|", "site_id", "year_no", "page_no"))
+    rows = crawl if max_pages is None else crawl.where(F.col("page_no") <= max_pages)
+    if "year_no" in rows.columns:
+        rows = rows.withColumn("year_no", F.struct(F.lit(0).alias("kind"), F.col("year_no").cast("int").alias("place"), F.coalesce("year", F.lit("")).alias("name")))
+    else:
+        rows = rows.withColumn("year_no", year_order())
+    key = F.to_json(F.struct("site_id", "year_no", "year", "page_no", F.xxhash64("html").alias("version")), {"ignoreNullFields": "false"})
+    pages = rows.withColumn("page_id", key)
     found = discover_groups(pages).select("page_id", "urls", links.is_client_side().alias("client_side"))
-    lists = pages.select("page_id", "site_id", "base_url", "year", "year_no", "page_no").join(found, "page_id", "left")
+    short = pages.select("page_id", "site_id", "base_url", "year", "year_no", "page_no").dropDuplicates(["page_id"])
+    lists = short.join(found, "page_id", "left")
+    if follow:
+        nodes = flatten_dom(pages)
+        seen = load_more_controls(nodes).select("page_id").union(next_controls(nodes).select("page_id")).distinct()
+        lists = lists.join(seen.withColumn("has_control", F.lit(True)), "page_id", "left").withColumn("has_control", F.coalesce("has_control", F.lit(False)))
+    if options is not None:
+        place = options.groupBy("site_id", F.col("option_text").alias("year")).agg(F.min("pos").alias("pos"))
+        listed = F.struct(F.lit(-1).alias("kind"), F.col("pos").cast("int").alias("place"), F.coalesce("year", F.lit("")).alias("name"))
+        lists = lists.join(place, ["site_id", "year"], "left").withColumn("year_no", F.when(F.col("pos").isNotNull(), listed).otherwise(F.col("year_no"))).drop("pos")
     # Read twice below (cut and rows), so the lists are written once instead of found twice.
     lists = write_stage(lists.withColumn("client_side", F.coalesce("client_side", F.lit(False))), "lists")
-    kept = crawl_cut(lists, max_pages)
+    kept = crawl_cut(followed(lists) if follow else lists, max_pages)
     out = (kept.where("urls is not null")
            .select("site_id", "year", "year_no", "page_no", "base_url", F.posexplode("urls").alias("url_no", "href"))
            .withColumn("url", links.urls.absolute_url(F.col("href"), F.col("base_url"))))
@@ -63,18 +97,23 @@ def link_errors(pages: DataFrame, nodes: DataFrame) -> DataFrame:
 def write_links(found: DataFrame, path: str, buckets: int = 64, slices: int = 16) -> None:
     """Keep article links for the second stage, in folders by a hash of the page.
 
-    Each folder is written by up to ``slices`` tasks, so its size does not rest on one of them.
+    Each folder is written by up to ``slices`` tasks, so its size does not rest on one of them; both
+    numbers follow the size of the crawl.  What ``path`` held before is replaced, so a run that failed can be repeated; give
+    each run a folder of its own.
     """
     slice_no = F.pmod(F.xxhash64("page_id", "url_no"), F.lit(slices))
     (found.withColumn("bucket", F.pmod(F.xxhash64("page_id"), F.lit(buckets)))
      .repartition(F.col("bucket"), slice_no).sortWithinPartitions("page_id", "url_no")
-     .write.mode("append").partitionBy("bucket").parquet(path))
+     .write.mode("overwrite").partitionBy("bucket").parquet(path))
 
 
 def fetched(found: DataFrame, pages: DataFrame) -> DataFrame:
     """Article links with their landed page, where there is one."""
     target = pages.select(F.col("url").alias("page_url"), F.col("page_id").alias("article_id"))
-    return found.join(target, found.url == target.page_url, "left").drop("page_url")
+    # The inner join can split a URL landed very often on either side; links without a page are added after.
+    matched = found.join(target, found.url == target.page_url).drop("page_url")
+    landed = target.select(F.col("page_url").alias("url")).distinct()
+    return matched.unionByName(found.join(landed, "url", "left_anti"), allowMissingColumns=True)
 
 
 def fetch_frontier(found: DataFrame, pages: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 # Ship the code of this module inside the task, so executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Kinds of rows: E element, T page text, S script, Y style, X other contained strings, C comment, D doctype,
+# N declaration, M marked section, P processing instruction, R reason why a page could not be read.
 # Tags that never have content, and tags whose strings are not page text.
 VOID_TAGS = frozenset(
     "area base br col embed hr img input keygen link menuitem meta param source track wbr "
@@ -145,13 +147,15 @@ class _PageReader(HTMLParser):
         self.buffer.append(html5.get(name + ";") or "&" + name)
 
     def handle_charref(self, name):
-        code = int(name[1:], 16) if name[0] in "xX" else int(name)
         try:
-            self.buffer.append(bytes([code]).decode("windows-1252") if code < 256 else chr(code))
+            code = int(name[1:], 16) if name[0] in "xX" else int(name)
+            text = bytes([code]).decode("windows-1252") if code < 256 else chr(code)
         except UnicodeDecodeError:
-            self.buffer.append(chr(code))
-        except (ValueError, OverflowError):
-            self.buffer.append("�")
+            text = chr(code)
+        except (ValueError, OverflowError):  # also a number of thousands of digits
+            text = "�"
+        # Half of a surrogate pair is no character, as in the HTML standard.
+        self.buffer.append("�" if "\ud800" <= text <= "\udfff" else text)
 
     def _string(self, kind, data):
         self._flush()
@@ -163,14 +167,14 @@ class _PageReader(HTMLParser):
 
     def handle_decl(self, data):
         is_doctype = data[:7].lower() == "doctype"
-        self._string("D" if is_doctype else "X", data[8:] if is_doctype else data)
+        self._string("D" if is_doctype else "N", data[8:] if is_doctype else data)
 
     def unknown_decl(self, data):
         is_cdata = data.upper().startswith("CDATA[")
-        self._string("T" if is_cdata else "X", data[6:] if is_cdata else data)
+        self._string("T" if is_cdata else "M", data[6:] if is_cdata else data)
 
     def handle_pi(self, data):
-        self._string("X", data)
+        self._string("P", data)
 
 
 def _strict_name(node: _Node) -> str:
@@ -254,11 +258,11 @@ def flatten_dom(pages: DataFrame, keep: Callable[[_Node], bool] | None = None) -
                     if html is None:
                         raise ValueError("page has no html")
                     nodes = reader.read(html)
-                except (AssertionError, ValueError) as problem:
-                    nodes = [_Node(0, None, "R", text=str(problem) or type(problem).__name__)]
-                    reader = _PageReader()
-                rows.extend((page_id, n) for n in nodes if keep is None or keep(n))
-                chars += len(html or "")
+                    nodes = [n for n in nodes if keep is None or keep(n)]
+                except Exception as problem:  # noqa: BLE001 - a page never ends the job
+                    nodes, reader = [_failed(problem)], _PageReader()
+                rows.extend((page_id, n) for n in nodes)
+                chars += sum(map(_emitted, nodes))
                 if len(rows) >= _BATCH_ROWS or chars >= _BATCH_CHARS:
                     yield from _in_batches(rows, key)
                     rows, chars = [], 0
@@ -268,6 +272,32 @@ def flatten_dom(pages: DataFrame, keep: Callable[[_Node], bool] | None = None) -
     return pages.select("page_id", "html").mapInArrow(stage, DOM_SCHEMA.format(key=key))
 
 
+def _failed(problem: Exception) -> _Node:
+    return _Node(0, None, "R", text=str(problem) or type(problem).__name__)
+
+
+def _emitted(node: _Node) -> int:
+    """Characters a row brings along: its text, attributes, and for links two paths."""
+    size = len(node.text or "") + sum(map(len, (node.attrs or {}).values()))
+    return size + 40 * node.depth if node.tag == "a" else size
+
+
 def _in_batches(rows, key):
-    for start in range(0, len(rows), _BATCH_ROWS):
-        yield _to_batch(rows[start:start + _BATCH_ROWS], key)
+    """Batches bounded by rows and by emitted characters.
+
+    Rows that cannot be turned into a batch are tried page by page, so that only the page
+    at fault becomes an error row.
+    """
+    start, size = 0, 0
+    for end, (_, node) in enumerate(rows, 1):
+        size += _emitted(node)
+        if end - start >= _BATCH_ROWS or size >= _BATCH_CHARS or end == len(rows):
+            part, start, size = rows[start:end], end, 0
+            try:
+                yield _to_batch(part, key)
+            except Exception:  # noqa: BLE001
+                for page_id in dict.fromkeys(p for p, _ in part):
+                    try:
+                        yield _to_batch([r for r in part if r[0] == page_id], key)
+                    except Exception as problem:  # noqa: BLE001
+                        yield _to_batch([(page_id, _failed(problem))], key)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,17 +26,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, spread: int | None = None) -> DataFrame:
     """``pages(page_id, url, html)`` from parquet.
 
-    A large table brings its own splits and is left as it is.  Only when the scan has fewer
-    splits than the cluster has cores are the pages spread out, since reading HTML is CPU work.
+    Splits follow ``spark.sql.files.maxPartitionBytes``.  Reading HTML is CPU work, so a table of few
+    splits may ask to be dealt out to ``spread`` tasks first.
     """
     pages = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if pages.rdd.getNumPartitions() < cores:
-        pages = pages.repartition(cores, "page_id")
-    return pages
+    return pages if spread is None else pages.repartition(spread, "page_id")
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
@@ -59,20 +55,23 @@ def seed_pages(seeds: DataFrame, pages: DataFrame) -> DataFrame:
 def work_folder(spark: SparkSession) -> str:
     """Folder for tables between stages: the shared checkpoint folder of the cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="pressframe-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors can reach")
+    return f"{folder.rstrip('/')}/pressframe-{spark.sparkContext.applicationId}"
+
+
+def remove_stages(spark: SparkSession) -> None:
+    """Delete all stage tables of this application; frames that read them are of no use afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_stage(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame once as parquet and read it back.
 
     Several branches can then share the work, each scans only its columns, tag filters reach
-    the scan, and a lost executor costs a re-read instead of a new parse.
+    the scan, and a lost executor costs a re-read instead of a new parse.  ``remove_stages`` clears
+    them when their results have been used.
     """
     spark = frame.sparkSession
     path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
