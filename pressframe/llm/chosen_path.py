@@ -7,8 +7,8 @@ with chance s^d, so the number of trees sets the recall.  Candidates are confirm
 
 Groups of near copies never fall apart however deep a tree gets.  They are linked first, each
 block of a node to one leader and the leaders to one of theirs: as many candidates as sets, not as many as
-pairs.  The exhaustive comparison then skips nodes and pairs that are one component already, which loses no link
-between components.
+pairs.  The exhaustive comparison then skips nodes that are one component already, and within a node gives only
+links that join components, which loses none between them: pairs are looked at inside tasks and never become rows.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TREES, DEPTH, COMPARE_FROM = 20, 3, 2
 #: Nodes up to this size are compared exhaustively.
 SMALL = 64
+#: Larger ones that no depth splits are compared in blocks of about this many.
+BLOCK = 256
 #: Of TREES * DEPTH minwise tokens, pairs with fewer in common are not confirmed: at similarity 0.75 one pair in 10^5.
 LEAST_EQUAL = 30
 _SEEDS = np.random.default_rng(4242).integers(1, 1 << 63, (TREES * DEPTH, 2), dtype=np.uint64) | np.uint64(1)
@@ -117,38 +119,121 @@ def leader_pairs(nodes: DataFrame, small: int) -> DataFrame:
     return to_leader.union(leaders.select(F.col("top").alias("a"), F.col("leader").alias("b"))).where("a < b").distinct()
 
 
-def node_pairs(nodes: DataFrame, stages: Stages, small: int) -> DataFrame:
-    """``a, b``: all pairs of different components that share a node, from ``nodes(cid, comp, node_2, ..)``.
+def meetings(nodes: DataFrame, stages: Stages, small: int) -> DataFrame:
+    """``meet, cid, comp``: who is to be compared with whom, from ``nodes(cid, comp, node_2, ..)``.
 
-    A node with one component is done.  A node of at most ``small`` members is compared exhaustively, a larger one
-    by its children; what is still larger at the last depth is compared in blocks, each member outside the largest
-    component against all members of other components.
+    A node with one component is done.  A node of at most ``small`` members is one meeting; a larger one branches into its
+    children.  What is still larger at the last depth meets in blocks: each block of the members outside the largest
+    component with each block of all members.  So a meeting has a few hundred members at most.
     """
-    found = []
-    rest = nodes
+    found, rest = [], nodes
     for depth in range(COMPARE_FROM, DEPTH + 1):
         node = f"node_{depth}"
         sizes = rest.groupBy(node).agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
         sizes = sizes.where("low < high").select(node, "n")
         rest = stages.write(rest.join(sizes, node), f"nodes-{depth}")
-        inside = rest.where(F.col("n") <= small).select(node, "cid", "comp")
-        other = inside.select(node, F.col("cid").alias("b"), F.col("comp").alias("comp_b"))
-        found.append(inside.withColumnRenamed("cid", "a").join(other, node).where("a < b and comp != comp_b").select("a", "b"))
+        found.append(rest.where(F.col("n") <= small).select(F.xxhash64(F.lit(depth), node).alias("meet"), "cid", "comp"))
         rest = rest.where(F.col("n") > small).drop("n")
     node = f"node_{DEPTH}"
     shares = rest.groupBy(node, "comp").agg(F.count("*").alias("n"))
     largest = shares.groupBy(node).agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.sum("n").alias("members"),
                                        (F.sum("n") - F.max("n")).alias("others"))
-    placed = rest.join(largest, node).withColumn("blocks", F.ceil(F.col("others") / small))
-    # The others are cut into blocks; every member meets each of these blocks.
-    few = placed.where("comp != largest").select(node, F.pmod(F.xxhash64("cid"), "blocks").alias("block"), F.col("cid").alias("x"), F.col("comp").alias("comp_x"))
-    every = placed.select(node, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("cid").alias("y"), F.col("comp").alias("comp_y"))
-    wide = few.join(every, [node, "block"]).where("comp_x != comp_y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    found.append(wide)
-    pairs = found[0]
+    placed = (rest.join(largest, node).withColumn("rows", F.ceil(F.col("others") / BLOCK)).withColumn("columns", F.ceil(F.col("members") / BLOCK))
+              .withColumn("at", F.xxhash64("cid")))
+
+    def side(members: DataFrame, own: str, met: str, order: list[str]) -> DataFrame:
+        block = {own: F.pmod("at", own), met: F.explode(F.sequence(F.lit(0).cast("long"), F.col(met) - 1))}
+        cells = members.withColumn("own", block[own]).withColumn("met", block[met])
+        return cells.select(F.xxhash64(F.lit(-1), node, *order).alias("meet"), "cid", "comp")
+
+    found.append(side(placed.where("comp != largest"), "rows", "columns", ["own", "met"]))
+    found.append(side(placed, "columns", "rows", ["met", "own"]))
+    every = found[0]
     for more in found[1:]:
-        pairs = pairs.union(more)
-    return pairs.distinct()
+        every = every.union(more)
+    return every
+
+
+def _by_meeting(judge):
+    """A stage over rows sorted by their first column that calls ``judge`` with whole groups, a few thousand rows at a time."""
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < 4096:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            meet = table.column(0).to_numpy()
+            cut = int(np.searchsorted(meet, meet[-1], "left"))
+            if cut:
+                yield judge(table.slice(0, cut))
+            held, rows = table.slice(cut).to_batches(), table.num_rows - cut
+        if held and rows:
+            yield judge(pa.Table.from_batches(held).combine_chunks())
+
+    return stage
+
+
+def _groups_of(meet: np.ndarray) -> Iterator[tuple[int, int]]:
+    cuts = np.flatnonzero(np.concatenate([[True], meet[1:] != meet[:-1], [True]]))
+    yield from zip(cuts[:-1].tolist(), cuts[1:].tolist())
+
+
+def with_partners(rows: DataFrame, percent: int) -> DataFrame:
+    """``meet, cid, comp`` of those that meet somebody of another component with a like size and enough equal tokens."""
+    def judge(table: pa.Table) -> pa.RecordBatch:
+        meet, cid, comp, size = (table.column(i).to_numpy() for i in range(4))
+        tokens = np.frombuffer(b"".join(table.column(4).to_pylist()), "<u4").reshape(len(meet), -1)
+        keep = np.zeros(len(meet), bool)
+        for a, b in _groups_of(meet):
+            apart = comp[a:b, None] != comp[None, a:b]
+            apart &= 100 * np.minimum(size[a:b, None], size[None, a:b]) >= percent * np.maximum(size[a:b, None], size[None, a:b])
+            if apart.any():
+                equal = np.zeros((b - a, b - a), np.uint8)
+                for k in range(tokens.shape[1]):
+                    equal += tokens[a:b, k, None] == tokens[None, a:b, k]
+                keep[a:b] = (apart & (equal >= LEAST_EQUAL)).any(1)
+        return table.select([0, 1, 2]).filter(pa.array(keep)).combine_chunks().to_batches()[0] if keep.any() else pa.RecordBatch.from_arrays(
+            [pa.array([], pa.int64())] * 3, names=["meet", "cid", "comp"])
+
+    placed = rows.select("meet", "cid", "comp", "n_shingles", "tokens").repartition("meet").sortWithinPartitions("meet", "cid")
+    return placed.mapInArrow(_by_meeting(judge), "meet long, cid long, comp long")
+
+
+def links_of_meetings(rows: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: links between different components in each meeting, from full sets in ``rows(meet, cid, comp, shingles)``.
+
+    A meeting gives as many links as join its components, not all pairs: two members that are joined already need no more.
+    """
+    def judge(table: pa.Table) -> pa.RecordBatch:
+        meet, cid, comp = (table.column(i).to_numpy() for i in range(3))
+        sets = [np.frombuffer(x, "<u8") for x in table.column(3).to_pylist()]
+        links = [(int(cid[a + i]), int(cid[a + j])) for a, b in _groups_of(meet) for i, j in _forest(sets[a:b], comp[a:b], percent)]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    placed = rows.select("meet", "cid", "comp", "shingles").repartition("meet").sortWithinPartitions("meet", "cid")
+    return placed.mapInArrow(_by_meeting(judge), "a long, b long")
+
+
+def _forest(sets: list[np.ndarray], comp: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    size = np.array([len(s) for s in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], np.repeat(np.arange(len(sets)), size)[order]
+    root = np.unique(comp, return_inverse=True)[1]
+    for i, own in enumerate(sets):
+        if (root == root[0]).all():
+            return
+        low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+        n = high - low
+        at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        both = np.bincount(owner[at], minlength=len(sets))
+        linked = (100 * both >= percent * (size + size[i] - both)) & (root != root[i]) & (both > 0)
+        for j in np.flatnonzero(linked):
+            if root[j] != root[i]:
+                yield i, int(j)
+                root[root == root[j]] = root[i]
 
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -165,10 +250,9 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return near.select("a", "b", "tokens_a", "tokens_b").mapInArrow(stage, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stages: Stages, name: str, percent: int, q: int = 5) -> DataFrame:
-    """The pairs with ``100 * intersection >= percent * union`` on the full sets of their texts."""
-    members = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-    needed = stages.write(members.join(classes.select("cid", "did", "th"), "cid"), f"{name}-needed")
+def texts_of(members: DataFrame, classes: DataFrame, docs: DataFrame, stages: Stages, name: str) -> DataFrame:
+    """``cid, bytes``: the text of each class in ``members(cid)``; other documents are not exchanged."""
+    needed = stages.write(members.distinct().join(classes.select("cid", "did", "th"), "cid"), f"{name}-needed")
     wanted = bit_filter(needed.select(F.xxhash64("did", "th").alias("key")), "key")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +264,13 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stages: Sta
     chosen = docs.select(*row_keys(), "text").select("did", "th", F.xxhash64("did", "th").alias("key"), text_bytes().alias("bytes"))
     texts = (chosen.mapInArrow(pick, "did long, th long, bytes binary").join(needed, ["did", "th"])
              .select("cid", "bytes").dropDuplicates(["cid"]))
-    texts = stages.write(texts, f"{name}-texts")
+    return stages.write(texts, f"{name}-texts")
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stages: Stages, name: str, percent: int, q: int = 5) -> DataFrame:
+    """The pairs with ``100 * intersection >= percent * union`` on the full sets of their texts."""
+    members = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid")))
+    texts = texts_of(members, classes, docs, stages, name)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,6 +288,23 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, stages: Sta
     return held
 
 
+def compared(met: DataFrame, classes: DataFrame, docs: DataFrame, stages: Stages, name: str, percent: int, q: int = 5) -> DataFrame:
+    """Links between components of :func:`meetings`: by tokens first, then on the full sets of those that have a partner."""
+    near = met.join(classes.select("cid", "n_shingles", "tokens"), "cid")
+    near = stages.write(with_partners(near, percent), f"{name}-near")
+    texts = texts_of(near.select("cid"), classes, docs, stages, name)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [s.astype("<u8").tobytes() for s in _sets(batch.column(1), q)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["cid", "shingles"])
+
+    full = texts.mapInArrow(sets, "cid long, shingles binary")
+    links = stages.write(links_of_meetings(near.join(full, "cid"), percent).distinct(), f"{name}-links")
+    stages.drop(f"{name}-near", f"{name}-needed", f"{name}-texts")
+    return links
+
+
 def _sets(column, q: int) -> Iterator[np.ndarray]:
     for row, end, data, offsets in slices(column):
         doc, h = distinct_shingles(data, offsets, q)
@@ -250,13 +357,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, q: int = 5, trees: int =
     stages.drop("few", "first")
     parts = stages.write(components(links, stages, "led"), "parts")
     nodes = tree_nodes(classes, range(trees)).join(parts, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    rest = likely(node_pairs(stages.write(nodes, "all"), stages, small), classes, percent)
-    rest = stages.write(rest, "rest")
+    more = compared(meetings(stages.write(nodes, "all"), stages, small), classes, docs, stages, "rest", percent, q)
     stages.drop("all", *(f"nodes-{d}" for d in range(COMPARE_FROM, DEPTH + 1)))
-    more = confirmed(rest, classes, docs, stages, "rest-of", percent, q)
     linked = links.union(more)
     joined = stages.write(components(linked, stages, "all-links"), "components")
-    stages.drop("rest", "parts", "leaders-links", "rest-of-links")
+    stages.drop("parts", "leaders-links", "rest-links")
     of_class = classes.select("cid", "did", "th", "least").join(joined, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     tops = of_class.groupBy("comp").agg(F.min("least").alias("component_id"), F.min(F.struct("did", "th")).alias("first"))
     of_class = stages.write(of_class.select("cid", "comp").join(tops, "comp").select("cid", "component_id", "first"), "result")
