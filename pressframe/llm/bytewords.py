@@ -1,6 +1,6 @@
 """Words of Arrow text batches as numpy arrays: no Python object per word.
 
-A batch is cut into slices of a few megabytes (a longer document is a slice of its own), so
+A batch is cut into slices of about a megabyte (a longer document is a slice of its own), so
 memory follows the slice and not the batch.  Words get 64-bit polynomial hashes over a
 random byte table; windows of any length follow from one running sum.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _BASE = 6364136223846793005
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -26,9 +26,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIZE, GRAM = 100, 32
 #: Segments of one anchor that a task lines up at once; anchors with more take the other way.
-GROUP = 50_000
+GROUP = 10_000
 _PART = 1 << 24  # a longer text is sampled in parts that overlap by a string less one byte
-_BATCH_ROWS = 20_000
+_BATCH_ROWS = 5_000
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, size: int = SIZE, gram: int = GRAM):
@@ -91,15 +91,17 @@ def repeated_anchors(found: DataFrame) -> DataFrame:
     return counted.groupBy("did", "th").agg(F.collect_set(F.struct("h", "at", "before", "after", "n")).alias("seen"))
 
 
-def passing(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """``did, th, bytes`` of documents that pass the filter on ``xxhash64(did, th)``."""
+def passing(docs: DataFrame, wanted: np.ndarray, *more: str) -> DataFrame:
+    """``did, th, bytes`` and ``more`` columns of documents that pass the filter on ``xxhash64(did, th)``."""
+    names = ["did", "th", "bytes", *more]
+
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = pa.array(passes(wanted, batch.column(2).to_numpy().view(np.uint64)))
-            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in (batch.column(0), batch.column(1), batch.column(3))], names=["did", "th", "bytes"])
+            keep = pa.array(passes(wanted, batch.column(0).to_numpy().view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[1:]], names=names)
 
-    keyed = docs.select(*row_keys(), "text").select("did", "th", F.xxhash64("did", "th").alias("key"), text_bytes().alias("bytes"))
-    return keyed.mapInArrow(stage, "did long, th long, bytes binary")
+    keyed = docs.select(*row_keys(), "text", *more).select(F.xxhash64("did", "th").alias("key"), "did", "th", text_bytes().alias("bytes"), *more)
+    return keyed.mapInArrow(stage, ", ".join(f"`{c}` {t}" for c, t in keyed.dtypes[1:]))
 
 
 def cut_segments(texts: DataFrame, size: int) -> DataFrame:
@@ -225,7 +227,7 @@ def repeats_in_groups(segments: DataFrame, size: int, gram: int) -> DataFrame:
     return placed.mapInArrow(stage, "did long, th long, begin long, `end` long")
 
 
-def repeats_by_hash(segments: DataFrame, size: int) -> DataFrame:
+def repeats_by_hash(segments: DataFrame, size: int, stages: Stages) -> DataFrame:
     """The same for anchors with very many segments: the smallest position of each string is an aggregate."""
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,7 +243,7 @@ def repeats_by_hash(segments: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(signed(one)), pa.array(signed(two)), batch.column(1).take(picked), batch.column(2).take(picked),
                                                   pa.array(begin)], names=["one", "two", "did", "th", "begin"])
 
-    every = segments.mapInArrow(strings, "one long, two long, did long, th long, begin long")
+    every = stages.write(segments.mapInArrow(strings, "one long, two long, did long, th long, begin long"), "strings")
     first = every.groupBy("one", "two").agg(F.min(F.struct("did", "th", "begin")).alias("first"))
     later = every.join(first, ["one", "two"]).where(F.struct("did", "th", "begin") > F.col("first"))
     return later.select("did", "th", "begin", (F.col("begin") + size).alias("end"))
@@ -262,45 +264,54 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, group: i
     seen = stages.write(repeated_anchors(anchor_rows(docs, size, gram)), "seen")
     key = F.xxhash64(*keys).alias("key")
     texts = passing(docs, bit_filter(seen.select(key), "key"))
-    segments = cut_segments(texts.join(seen, keys), size)
-    most = seen.agg(F.max(F.array_max(F.transform("seen", lambda s: s["n"])))).first()[0] or 0
-    found = repeats_in_groups(segments.where(F.col("n") <= group), size, gram)
-    if most > group:
-        found = found.union(repeats_by_hash(segments.where(F.col("n") > group), size))
+
+    def segments(of: DataFrame, anchors_of) -> DataFrame:
+        some = seen.withColumn("seen", F.filter("seen", anchors_of)).where("size(seen) > 0")
+        return cut_segments(of.join(some, keys), size)
+
+    found = repeats_in_groups(segments(texts, lambda s: s["n"] <= group), size, gram)
+    many = seen.where(F.exists("seen", lambda s: s["n"] > group))
+    if many.limit(1).count():
+        few = passing(docs, bit_filter(many.select(key), "key"))
+        found = found.union(repeats_by_hash(segments(few, lambda s: s["n"] > group), size, stages))
     spans = stages.write(found.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("found")), "spans")
-    stages.drop("seen")
+    stages.drop("seen", "strings")
     wanted = bit_filter(spans.select(key), "key")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    kept_rows = "did long, th long, doc_id {}, bytes binary, whole boolean".format(kind)
+    span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+
+    def cut(ids, texts, found) -> Iterator[pa.RecordBatch]:
+        """Result rows in batches of about a megabyte of text."""
+        rows, first, held = [], 0, 0
+        for row in range(len(texts)):
+            text, merged = texts[row].as_py(), []
+            for s in (found[row].as_py() or ()) if found is not None else ():
+                if merged and s["begin"] <= merged[-1]["end"]:
+                    merged[-1]["end"] = max(merged[-1]["end"], s["end"])
+                else:
+                    merged.append(dict(s))
+            bounds = [0, *(x for s in merged for x in (s["begin"], s["end"])), len(text)]
+            kept = b"".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2])) if merged else text
+            rows.append((len(text), sum(s["end"] - s["begin"] for s in merged), merged, kept))
+            held += len(text)
+            if held >= 1 << 20 or row + 1 == len(texts):
+                columns = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(first, len(rows)), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), span, pa.binary())))],
+                    names=["doc_id", "n_bytes", "n_removed", "spans", "kept_text"])
+                rows, first, held = [], row + 1, 0
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole = ~passes(wanted, batch.column(3).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], batch.column(4), pa.array(whole)], names=["did", "th", "doc_id", "bytes", "whole"])
+            clean = pa.array(~passes(wanted, batch.column(1).to_numpy().view(np.uint64)))
+            yield from cut(batch.column(0).filter(clean), batch.column(2).filter(clean), None)
 
-    every = (docs.select(*row_keys(), "doc_id", "text").select("did", "th", "doc_id", key, text_bytes().alias("bytes"))
-             .mapInArrow(mark, kept_rows))
-    # Texts that cannot have spans are not exchanged.
-    touched = every.where("not whole").join(spans, keys, "left").select("doc_id", "bytes", "found")
-    clean = every.where("whole").select("doc_id", "bytes", F.lit(None).cast("array<struct<begin:long,`end`:long>>").alias("found"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, removed, runs, kept = [], [], [], []
-            for text, found_in in zip(batch.column(1), batch.column(2)):
-                text, merged = text.as_py(), []
-                for s in found_in.as_py() or ():
-                    if merged and s["begin"] <= merged[-1]["end"]:
-                        merged[-1]["end"] = max(merged[-1]["end"], s["end"])
-                    else:
-                        merged.append(dict(s))
-                bounds = [0, *(x for s in merged for x in (s["begin"], s["end"])), len(text)]
-                sizes.append(len(text))
-                removed.append(sum(s["end"] - s["begin"] for s in merged))
-                runs.append(merged)
-                kept.append(b"".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2])) if merged else text)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, span), pa.array(kept, pa.binary())],
-                                             names=["doc_id", "n_bytes", "n_removed", "spans", "kept_text"])
-
-    return touched.union(clean).mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<begin:long,`end`:long>>, kept_text binary")
+            yield from cut(*batch.columns)
+
+    schema = f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<begin:long,`end`:long>>, kept_text binary"
+    keyed = docs.select(*row_keys(), "doc_id", "text").select("doc_id", key, text_bytes().alias("bytes"))
+    # Texts that cannot have spans are not exchanged.
+    rest = passing(docs, wanted, "doc_id").join(spans, keys, "left").select("doc_id", "bytes", "found")
+    return rest.mapInArrow(touched, schema).union(keyed.mapInArrow(untouched, schema))
