@@ -28,6 +28,7 @@ def odd_docs(spark, given):
             (1003, None, None, None), (1004, long, "en", "src0"), (1005, long + " more words at the end", "en", "src0"),
             (1006, base[5], None, "src2"), (1006, base[5], None, "src2"), (1007, base[5], "de", None), (1008, "one two", "en", "src3"),
             (1009, "One  TWO", "en", "src3"), (1010, "\x00 ÄÖ é 漢字 token = \"0123456789abcdef0123456789abcdef\"", "de", "src3"), (1011, "a" * 5000, None, "src3"), (1012, "x\n" * 3000, "fr", "src4")]
+    rows += [(2000 + i, " ".join(reversed(base[i].split(" "))) + ' token = "0123456789abcdef0123456789abcde%d" and' % i, "en", "src1") for i in range(6, 10)]
     odd = spark.createDataFrame([(*r, None if r[1] is None else len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
     frame = given.union(odd)
     for name in ("did", "th", "row", "features", "spans", "copies", "key", "maybe", "cid", "score", "rate", "size", "bytes"):
