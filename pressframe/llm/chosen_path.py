@@ -194,8 +194,7 @@ def with_partners(rows: DataFrame, percent: int) -> DataFrame:
                 for k in range(tokens.shape[1]):
                     equal += tokens[a:b, k, None] == tokens[None, a:b, k]
                 keep[a:b] = (apart & (equal >= LEAST_EQUAL)).any(1)
-        return table.select([0, 1, 2]).filter(pa.array(keep)).combine_chunks().to_batches()[0] if keep.any() else pa.RecordBatch.from_arrays(
-            [pa.array([], pa.int64())] * 3, names=["meet", "cid", "comp"])
+        return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (meet, cid, comp)], names=["meet", "cid", "comp"])
 
     placed = rows.select("meet", "cid", "comp", "n_shingles", "tokens").repartition("meet").sortWithinPartitions("meet", "cid")
     return placed.mapInArrow(_by_meeting(judge), "meet long, cid long, comp long")
