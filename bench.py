@@ -19,7 +19,9 @@ HEADLINE = [
 
 def main() -> None:
     from pyspark.sql import SparkSession
+    from checks import build
     from checks.queries import QUERIES
+    from pressframe.sources.pages import remove_stages
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -28,17 +30,23 @@ def main() -> None:
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
     QUERIES["page_titles"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # start the workers
-    times = {}
+    first, times = {}, {}
     for name in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(","):
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - start, 3)
+        took = []
+        for _ in range(3):
+            start = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            took.append(round(time.perf_counter() - start, 3))
+            remove_stages(build.configure(spark))
+        first[name], times[name] = took[0], sorted(took)[1]
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").count()
+    size = sum(os.path.getsize(f"{sf_dir}/{t}.parquet") for t in ("pages",) if os.path.isfile(f"{sf_dir}/{t}.parquet"))
     discovery = times.get("news_link_discovery")
     print(json.dumps({
         "metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
-        "pages_per_sec": round(pages / discovery, 1) if discovery else None}))
+        "first_run": first, "pages_per_sec": round(pages / discovery, 1) if discovery else None,
+        "page_bytes_per_sec": round(size / discovery) if discovery else None}))
 
 
 if __name__ == "__main__":

@@ -46,7 +46,9 @@ def difference(spark, con, function, oracle, sf_dir) -> tuple[int, str | None]:
 
 def main() -> None:
     from pyspark.sql import SparkSession
+    from checks import build
     from checks.queries import ORACLES, QUERIES
+    from pressframe.sources.pages import remove_stages
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:] or list(QUERIES)
@@ -60,6 +62,7 @@ def main() -> None:
             rows, found = difference(spark, con, QUERIES[name], ORACLES[name], sf_dir)
         except Exception as problem:  # noqa: BLE001 - a report, not a rescue
             rows, found = -1, f"{type(problem).__name__}: {str(problem)[:500]}"
+        remove_stages(build.configure(spark))
         print(f"{'ok  ' if found is None else 'FAIL'} {name} {rows} rows {time.time() - start:.1f}s {found or ''}", flush=True)
 
 

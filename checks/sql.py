@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from checks import templates as t
 
+# Hosts, sections, keywords and verbs of the link rules.
 SOCIAL_HOSTS = "facebook|twitter|instagram|linkedin|youtube|tiktok|pinterest|reddit|whatsapp"
 SECTIONS = ("legal terms privacy contact careers support blog events about faq investors search "
             "sitemap login register help company").split()
@@ -123,6 +124,7 @@ largest AS (SELECT * FROM (SELECT *, max(url_count) OVER (PARTITION BY page_id)
 winner AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY page_id) AS k1 FROM largest) WHERE k1 = 1)"""
 
 
+# Boilerplate words and header patterns.
 BASIC = "copyright|all rights reserved|terms of (use|service)|privacy policy|contact us|share this|follow us|subscribe to"
 
 

@@ -64,7 +64,7 @@ def _may_be_header(text: Column) -> Column:
 
 
 def bold_test_breaks(text: Column, tag: Column, css_class: Column, style: Column) -> Column:
-    """Lines on which the original's bold test raised an error instead of answering."""
+    """Lines on which the test for bold classes finds no single class to look at."""
     by_tag_or_style = is_bold(tag, F.lit(""), style)
     return (_may_be_header(text) & F.coalesce(css_class != "", F.lit(False)) & ~by_tag_or_style
             & ~is_basic(text) & has_header_phrase(text))

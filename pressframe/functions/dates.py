@@ -36,6 +36,11 @@ def _month_number() -> Column:
     return F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
 
 
+_DAY_MONTH = (r"^(?:(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),? )?(\d{1,2}) ([A-Z][a-z]{2,8}) (\d{4})"
+              r"(?: (\d{2}:\d{2}:\d{2})(?: (GMT|UTC|[+-]\d{4}))?)?\z")
+_MONTH_DAY = r"^([A-Z][a-z]{2,8}) (\d{1,2}),? (\d{4})\z"
+
+
 def _near_year(number: Column, as_of: Column) -> Column:
     """Years below 100 fall within 50 years of ``as_of``."""
     this_year = F.year(as_of)
@@ -95,20 +100,40 @@ def _read_free_form(text: pd.Series, as_of: pd.Series) -> pd.Series:
     """dateutil on the few values the ISO rule left over; null in, null out."""
     from dateutil import parser
 
+    readers = {}  # one for each day of reference, as a rule one in all
+
     def read(value, day):
         if value is None:
             return None
-        info = parser.parserinfo()
-        info._year, info._century = day.year, day.year // 100 * 100
-        midnight = day.to_pydatetime().replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None)
+        if day not in readers:
+            info = parser.parserinfo()
+            info._year, info._century = day.year, day.year // 100 * 100
+            readers[day] = parser.parser(info), day.to_pydatetime().replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None)
+        reader, midnight = readers[day]
         try:
-            return str(parser.parser(info).parse(value, default=midnight))
+            return str(reader.parse(value, default=midnight))
         except (ValueError, OverflowError, TypeError):
             return None
 
     return pd.Series([read(v, pd.Timestamp(d)) for v, d in zip(text, as_of)], dtype=object)
 
 
+def _named_month(value: Column) -> Column:
+    """Mail dates (RFC 2822) and dates with a named month, as canonical text; null for other shapes."""
+    months = _month_number()
+
+    def day(number: int, month: int, year: int, shape: str) -> Column:
+        return _date(_group(value, shape, year).cast("int"), F.try_element_at(months, _group(value, shape, month)),
+                     _group(value, shape, number).cast("int"))
+
+    clock, zone = _group(value, _DAY_MONTH, 4), _group(value, _DAY_MONTH, 5)
+    zone = F.when(zone.isin("GMT", "UTC"), F.lit("+00:00")).otherwise(
+        F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2)))
+    mail = F.concat(day(1, 2, 3, _DAY_MONTH).cast("string"), F.lit(" "), F.coalesce(clock, F.lit("00:00:00")), F.coalesce(zone, F.lit("")))
+    plain = F.concat(day(2, 1, 3, _MONTH_DAY).cast("string"), F.lit(" 00:00:00"))
+    return F.coalesce(F.when(F.try_to_timestamp(mail).isNotNull(), mail), plain)
+
+
 def _free_form(text: Column, as_of: Column) -> Column:
     return F.pandas_udf(_read_free_form, StringType())(text, as_of)
 
@@ -124,6 +149,7 @@ def published_text(value: Column, as_of: Column) -> Column:
     text = F.concat(day, F.lit(" "), F.coalesce(minute, F.lit("00:00")), F.lit(":"), F.coalesce(second, F.lit("00")),
                     F.coalesce(fraction, F.lit("")), F.coalesce(zone, F.lit("")))
     fast = F.when((F.substring(day, 1, 4) != "0000") & F.try_to_timestamp(text).isNotNull(), text)
+    fast = F.coalesce(fast, _named_month(value))
     return F.coalesce(fast, _free_form(F.when(fast.isNull(), value), as_of))
 
 

@@ -112,7 +112,7 @@ def content_labels(rows: DataFrame) -> DataFrame:
 
 
 def failing_pages(rows: DataFrame) -> DataFrame:
-    """Pages on which the original's bold test raised an error before the section cut."""
+    """Pages on which the test for bold classes finds no single class to look at before the section cut."""
     return rows.groupBy("page_id").agg(
         F.bool_or(F.col("breaks") & (~F.col("skipped") | (F.col("role") == "header"))).alias("ref_would_fail"))
 

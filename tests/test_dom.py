@@ -32,7 +32,7 @@ def test_string_kinds_numbers_and_lengths(spark, pages_of):
             "<?pi?> x&amp;y&#151;&nope; </div>")
     got = rows(spark, pages_of, html)
     assert [(r.kind, r.text) for r in got if r.kind != "E"] == [
-        ("D", "html"), ("T", " "), ("C", "c"), ("S", "s<b>"), ("Y", "y"), ("X", "t"), ("X", "pi?"), ("T", " x&y—&nope ")]
+        ("D", "html"), ("T", " "), ("C", "c"), ("S", "s<b>"), ("Y", "y"), ("X", "t"), ("P", "pi?"), ("T", " x&y—&nope ")]
     assert [r.seq for r in got if r.kind != "E"] == [1, None, 2, 3, 4, 5, 6, 7]
     div = next(r for r in got if r.tag == "div")
     assert div.text_len == len("x&y—&nope") and div.node_idx == 1

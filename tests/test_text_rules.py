@@ -40,6 +40,7 @@ def test_boilerplate_rules(spark):
 def test_lenient_headers_equal_the_plain_patterns(spark):
     """The possessive and guarded forms decide like the patterns they stand for."""
     import re
+    # The four header patterns.
     plain = [r"^.*forward[\s-]*looking[\s-]*statements?.*$", r"^.*safe\s+harbor\s+statements?.*$",
              r"^.*about\s+[a-z\s]+.*$", r"^.*[a-z\s]+[']?s\s+safe\s+harbor\s+statement.*$"]
     rng = random.Random(5)
@@ -85,7 +86,9 @@ def test_text_dates_agree_with_dateutil(spark):
 def test_published_text_agrees_with_dateutil(spark):
     texts = ["2024-01-05T10:00:00Z", "2024-01-05", "2024-01-05 10:30", "2024-01-05T10:00:00.120+02:00", "2024-01-05T10:00:00-0530",
              "soon", "", "March 5, 2021", "Fri, 05 Jan 2024 10:00:00 GMT", "5 Jan", "2024-13-01", "2024-02-30T00:00:00", "20240105",
-             "2024-01-05T25:00:00Z", "0000-01-01", " 2024-01-05 ", "2024-01-05T10:00:00.000Z", "10:30"]
+             "2024-01-05T25:00:00Z", "0000-01-01", " 2024-01-05 ", "2024-01-05T10:00:00.000Z", "10:30",
+             "05 Mar 2024 10:11:12 +0530", "Tue, 05 Mar 2024 10:11:12 UTC", "5 March 2024", "Sept 7 2023", "31 February 2024", "Foo 5, 2024",
+             "5 Mar 2024 25:00:00", "7 Decemberr 2020", "5 Mar 0000"]
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i int, v string").orderBy("i")
     got = [r[0] for r in frame.select(dates.published_text(F.col("v"), F.lit(AS_OF))).collect()]
     assert got == [str(d) if (d := by_dateutil(v)) else None for v in texts]
