@@ -18,15 +18,15 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .bytewords import _INVERSE, _powers, mix, running, signed, slices
+from .bytewords import _BASE, _BYTES, _INVERSE, _powers, mix, running, signed, slices
 from .common import Stages, row_keys, text_bytes
 from .filters import bit_filter, passes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIZE, GRAM = 100, 32
-#: Segments of one anchor that a task lines up at once; anchors with more take the other way.
-GROUP = 10_000
+#: Segments of one anchor that a task lines up at once, some 100 MB; anchors with more take the other way.
+GROUP = 200_000
 _PART = 1 << 24  # a longer text is sampled in parts that overlap by a string less one byte
 _BATCH_ROWS = 5_000
 
@@ -148,24 +148,30 @@ def earlier_matches(group: np.ndarray, before: np.ndarray, lengths: np.ndarray,
     """
     rows, lead = len(group), size - gram
     width = lead + size
-    table = np.zeros(rows * width, np.uint8)
+    columns = np.zeros((width, rows), np.uint8)
     shift = lead - before.astype(np.int64)
     ends = np.cumsum(lengths)
-    place = np.arange(len(flat)) + np.repeat(np.arange(rows) * width + shift - (ends - lengths), lengths)
-    table[place] = flat
-    sums = running(table)
-    inverse = _powers(_INVERSE, len(table) + 1)
-    columns = np.ascontiguousarray(table.reshape(rows, width).T)
-    at, order = np.arange(rows) * width, np.arange(rows)
+    for a in range(0, rows, 8192):
+        b = min(a + 8192, rows)
+        table, first = np.zeros((b - a) * width, np.uint8), ends[a] - lengths[a]
+        place = np.arange(ends[b - 1] - first) + np.repeat(np.arange(b - a) * width + shift[a:b] - (ends[a:b] - lengths[a:b] - first), lengths[a:b])
+        table[place] = flat[first:ends[b - 1]]
+        columns[:, a:b] = table.reshape(b - a, width).T
+    order = np.arange(rows)
     groups = (group % 65536).astype(np.uint16)
     out = np.zeros((rows, lead + 1), bool)
+    # Polynomial hash of the `size` bytes from column c on, carried from column to column.
+    base, ahead, leaves = np.uint64(_BASE), np.zeros(rows, np.uint64), np.uint64(pow(_BASE, size, 1 << 64))
     for c in range(width - 1, -1, -1):
+        ahead = ahead * base + _BYTES[columns[c]]
+        if c + size < width:
+            ahead -= leaves * _BYTES[columns[c + size]]
         order = order[np.argsort(columns[c][order], kind="stable")]  # suffixes from column c, by bytes
         if c > lead:
             continue
         suffix = order[np.argsort(groups[order], kind="stable")]
         valid = (shift <= c) & (c + size <= shift + lengths)
-        prefix = mix((sums[at + c + size] - sums[at + c]) * inverse[at + c]) ^ valid
+        prefix = mix(ahead) ^ valid
         now, same = prefix[suffix], groups[suffix]
         # Neighbours with a common prefix of `size` bytes form one run of the suffix order.
         run = np.cumsum(np.concatenate([[0], (now[1:] != now[:-1]) | (same[1:] != same[:-1])]))
