@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-SF = "/root/testdata/sf0.001"
+from brute import SF
 
 
 @pytest.fixture(scope="session")

@@ -6,7 +6,7 @@ import pytest
 
 import brute
 import corpus_pipeline
-from conftest import SF
+from brute import SF
 
 KEY = ("doc_id", "text", "lang", "source", "n_chars")
 
