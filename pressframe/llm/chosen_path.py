@@ -312,21 +312,28 @@ def _sets(column, q: int) -> Iterator[np.ndarray]:
             yield h[cuts[i]:cuts[i + 1]]
 
 
-def components(links: DataFrame, stages: Stages, name: str, steps: int = 100) -> DataFrame:
+def components(links: DataFrame, stages: Stages, name: str) -> DataFrame:
     """``cid, comp``: the smallest id reachable over ``links(a, b)``, for every id in them.
 
-    Each step takes the smallest label of the neighbours and then the label of that label, and is written, so a
-    path is halved at each step and no lineage grows.
+    Labels form trees that point to smaller ids.  In each step a node takes the smallest of the labels its own and its
+    neighbours' labels have, and the node it pointed to takes the smallest found by those that point to it.  So whole
+    trees are joined while paths are halved, and the steps grow with the logarithm of a chain whatever the order of its ids.
+    Labels only get smaller and it goes on until a step changes nothing, which is when both ends of every link agree.  Each
+    step is written, so no lineage grows.
     """
     both = stages.write(links.union(links.select("b", "a")).distinct(), f"{name}-both")
     labels = stages.write(both.groupBy(F.col("a").alias("cid")).agg(F.least(F.min("b"), F.min("a")).alias("comp")), f"{name}-0")
-    for step in range(1, steps + 1):
-        near = (both.join(labels.select(F.col("cid").alias("b"), F.col("comp").alias("near")), "b").groupBy(F.col("a").alias("cid"))
+    step = 0
+    while True:
+        step += 1
+        up = labels.join(labels.select(F.col("cid").alias("comp"), F.col("comp").alias("further")), "comp")
+        near = (both.join(up.select(F.col("cid").alias("b"), F.col("further").alias("near")), "b").groupBy(F.col("a").alias("cid"))
                 .agg(F.min("near").alias("near")))
-        least = labels.join(near, "cid").select("cid", F.col("comp").alias("before"), F.least("comp", "near").alias("comp"))
-        jump = labels.select(F.col("cid").alias("comp"), F.col("comp").alias("further"))
-        moved = stages.write(least.join(jump, "comp", "left").select("cid", "before", F.least("comp", F.coalesce("further", "comp")).alias("comp")), f"{name}-{step}")
-        stages.drop(f"{name}-{step - 1}")
+        least = stages.write(up.join(near, "cid").select("cid", "comp", F.least("further", "near").alias("least")), f"{name}-least-{step}")
+        hooked = least.groupBy(F.col("comp").alias("cid")).agg(F.min("least").alias("hooked"))
+        moved = stages.write(least.join(hooked, "cid", "left").select(
+            "cid", F.col("comp").alias("before"), F.least("least", F.coalesce("hooked", "least")).alias("comp")), f"{name}-{step}")
+        stages.drop(f"{name}-{step - 1}", f"{name}-least-{step}")
         labels = moved.select("cid", "comp")
         if not moved.where("comp < before").limit(1).count():
             break
