@@ -13,6 +13,7 @@ links that join components, which loses none between them: pairs are looked at i
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 
@@ -32,9 +33,30 @@ TREES, DEPTH, COMPARE_FROM = 20, 3, 2
 SMALL = 64
 #: Larger ones that no depth splits are compared in blocks of about this many.
 BLOCK = 256
-#: Of TREES * DEPTH minwise tokens, pairs with fewer in common are not confirmed: at similarity 0.75 one pair in 10^5.
-LEAST_EQUAL = 30
-_SEEDS = np.random.default_rng(4242).integers(1, 1 << 63, (TREES * DEPTH, 2), dtype=np.uint64) | np.uint64(1)
+#: A pair at the least similarity may miss all trees with one chance, and have too few equal tokens to be confirmed with the other.
+MISS_TREES, MISS_TOKENS = 2e-5, 1e-5
+#: Below this similarity a text would need many hundred tokens.
+LEAST_PERCENT = 50
+
+
+def trees_for(percent: int) -> int:
+    """Trees that a pair of this similarity misses altogether with a chance of at most ``MISS_TREES``; ``TREES`` at least."""
+    shared = (percent / 100) ** DEPTH
+    return TREES if shared >= 1 else max(TREES, math.ceil(math.log(MISS_TREES) / math.log1p(-shared)))
+
+
+def least_equal(percent: int, tokens: int) -> int:
+    """Of so many minwise tokens, how many a pair of this similarity shares but for a chance of at most ``MISS_TOKENS``."""
+    same, below = percent / 100, 0.0
+    for k in range(tokens + 1):
+        below += math.comb(tokens, k) * same ** k * (1 - same) ** (tokens - k)
+        if below > MISS_TOKENS:
+            return k
+    return tokens
+
+
+def _seeds(tokens: int) -> np.ndarray:
+    return np.random.default_rng(4242).integers(1, 1 << 63, (tokens, 2), dtype=np.uint64) | np.uint64(1)
 
 
 def distinct_shingles(data: np.ndarray, offsets: np.ndarray, q: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -53,11 +75,13 @@ def distinct_shingles(data: np.ndarray, offsets: np.ndarray, q: int = 5) -> tupl
     return doc[new], h[new]
 
 
-def signatures(docs: DataFrame, q: int = 5) -> DataFrame:
+def signatures(docs: DataFrame, q: int = 5, trees: int = TREES) -> DataFrame:
     """``did, th, doc_id, n_shingles, set_one, set_two, tokens``: set size, set hash and minwise tokens of each text.
 
     ``tokens`` holds one 32-bit minimum for each level of each tree, and is null without words.
     """
+    seeds = _seeds(trees * DEPTH)
+
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in slices(batch.column(3)):
@@ -65,15 +89,15 @@ def signatures(docs: DataFrame, q: int = 5) -> DataFrame:
                 doc, h = distinct_shingles(data, offsets, q)
                 size = np.bincount(doc, minlength=n)
                 has = np.flatnonzero(size)
-                tokens, sums = np.zeros((n, TREES * DEPTH), np.uint32), np.zeros((2, n), np.uint64)
+                tokens, sums = np.zeros((n, len(seeds)), np.uint32), np.zeros((2, n), np.uint64)
                 if len(has):
                     first = np.searchsorted(doc, has)
-                    for k, (a, b) in enumerate(_SEEDS):
+                    for k, (a, b) in enumerate(seeds):
                         tokens[has, k] = np.minimum.reduceat(((h ^ a) * b) >> np.uint64(32), first)
                     sums[0, has] = np.add.reduceat(mix(h), first)
                     sums[1, has] = np.add.reduceat(mix(h + np.uint64(1)), first)
                 flat = tokens.astype("<u4").tobytes()
-                width = 4 * TREES * DEPTH
+                width = 4 * len(seeds)
                 part = batch.slice(row, n)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:3], pa.array(size.astype(np.int64)), pa.array(signed(sums[0])), pa.array(signed(sums[1])),
@@ -95,7 +119,7 @@ def tree_nodes(classes: DataFrame, trees: range) -> DataFrame:
             n = batch.num_rows
             if not n:
                 continue
-            tokens = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(n, TREES, DEPTH).astype(np.uint64)
+            tokens = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(n, -1, DEPTH).astype(np.uint64)
             ids = batch.column(0).to_numpy()
             for t in trees:
                 node, columns = np.full(n, t + 1, np.uint64), [pa.array(ids)]
@@ -185,15 +209,15 @@ def with_partners(rows: DataFrame, percent: int) -> DataFrame:
     def judge(table: pa.Table) -> pa.RecordBatch:
         meet, cid, comp, size = (table.column(i).to_numpy() for i in range(4))
         tokens = np.frombuffer(b"".join(table.column(4).to_pylist()), "<u4").reshape(len(meet), -1)
-        keep = np.zeros(len(meet), bool)
+        keep, least = np.zeros(len(meet), bool), least_equal(percent, tokens.shape[1])
         for a, b in _groups_of(meet):
             apart = comp[a:b, None] != comp[None, a:b]
             apart &= 100 * np.minimum(size[a:b, None], size[None, a:b]) >= percent * np.maximum(size[a:b, None], size[None, a:b])
             if apart.any():
-                equal = np.zeros((b - a, b - a), np.uint8)
+                equal = np.zeros((b - a, b - a), np.uint16)
                 for k in range(tokens.shape[1]):
                     equal += tokens[a:b, k, None] == tokens[None, a:b, k]
-                keep[a:b] = (apart & (equal >= LEAST_EQUAL)).any(1)
+                keep[a:b] = (apart & (equal >= least)).any(1)
         return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (meet, cid, comp)], names=["meet", "cid", "comp"])
 
     placed = rows.select("meet", "cid", "comp", "n_shingles", "tokens").repartition("meet").sortWithinPartitions("meet", "cid")
@@ -241,7 +265,7 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             n = batch.num_rows
             one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(n, -1) for i in (2, 3))
-            equal = np.flatnonzero((one == two).sum(1) >= LEAST_EQUAL)
+            equal = np.flatnonzero((one == two).sum(1) >= least_equal(percent, one.shape[1]))
             yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(equal)) for i in (0, 1)], names=["a", "b"])
 
     side = {k: classes.select(F.col("cid").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("tokens").alias(f"tokens_{k}")) for k in "ab"}
@@ -341,18 +365,24 @@ def components(links: DataFrame, stages: Stages, name: str) -> DataFrame:
     return labels
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, q: int = 5, trees: int = TREES, small: int = SMALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, q: int = 5, trees: int | None = None, small: int = SMALL) -> DataFrame:
     """``did, th, doc_id, n_shingles, class_id, component_id, is_first`` for every row of ``docs(doc_id, text)``.
 
     Words are runs without white space, A-Z lower-cased; sets hold distinct shingles of ``q`` words (all words when
     there are fewer).  Sets with ``100 * intersection >= percent * union`` are linked; ``component_id`` is the smallest
     doc_id reachable.  ``is_first`` holds for one (did, th) of each component, the one to stay.
+    The number of trees follows from ``percent``, which may be from ``LEAST_PERCENT`` to 100; fewer trees than it needs are refused.
     Defined cases: null, empty and blank texts have no shingles, are linked with nothing and form components of their own;
     equal texts are linked; rows with equal ids and texts are one document, those with equal ids and other texts are
     different; rows without id can be linked but give no component id of their own (null if nobody else does); empty tables give no rows; other columns are not read.
     """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be from {LEAST_PERCENT} to 100, not {percent}")
+    trees = trees_for(percent) if trees is None else trees
+    if trees < trees_for(percent):
+        raise ValueError(f"{trees} trees lose pairs of {percent} percent, which need {trees_for(percent)}")
     stages = Stages(docs.sparkSession, "near-duplicates")
-    marked = signatures(docs, q).withColumn("cid", F.when(F.col("n_shingles") > 0, F.xxhash64("set_one", "set_two", "n_shingles")))
+    marked = signatures(docs, q, trees).withColumn("cid", F.when(F.col("n_shingles") > 0, F.xxhash64("set_one", "set_two", "n_shingles")))
     marked = stages.write(marked, "signatures")
     classes = stages.write(marked.where("cid is not null").groupBy("cid").agg(
         F.min("n_shingles").alias("n_shingles"), F.min(F.struct("did", "th")).alias("key"), F.min("doc_id").alias("least"),

@@ -1,8 +1,9 @@
 """Cases a fixed bound once cut short."""
 
 import numpy as np
+import pytest
 
-from pressframe.llm.chosen_path import components
+from pressframe.llm.chosen_path import LEAST_PERCENT, TREES, components, least_equal, near_duplicates, trees_for
 from pressframe.llm.common import Stages
 
 
@@ -14,3 +15,17 @@ def test_components_of_a_long_chain(spark):
     found = components(spark.createDataFrame(links, "a long, b long"), stages, "chain").collect()
     want = {int(i): int(ids.min()) for ids in chains for i in ids}
     assert len(found) == len(want) and {r.cid: r.comp for r in found} == want
+
+
+def test_recall_holds_at_lower_percent(spark):
+    assert (trees_for(75), least_equal(75, 3 * trees_for(75))) == (TREES, 30)
+    rng, rows = np.random.default_rng(8), []
+    for i in range(60):
+        words = [f"w{x}" for x in rng.integers(0, 10**9, 300)]
+        rows += [(2 * i, " ".join(words[:200])), (2 * i + 1, " ".join(words[66:266]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_duplicates(docs, percent=50, q=1).collect()}
+    assert found == {i: i - i % 2 for i in range(120)}
+    for refused in ({"percent": LEAST_PERCENT - 1}, {"percent": 60, "trees": TREES}):
+        with pytest.raises(ValueError):
+            near_duplicates(docs, **refused)
