@@ -134,8 +134,8 @@ def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
 def label_words(scores: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float) -> tuple[np.ndarray, np.ndarray]:
     """Language of every word and total score of every text in each language.
 
-    A text keeps one language when no stretch of words gains more than the penalty by
-    another: each stretch of a path costs at least one change.  Only other texts need the full search.
+    A text keeps one language when no stretch of words gains half the penalty by another: ``k`` stretches of
+    others cost at least ``k - 1`` changes, and a single one beside the best language one.  Only other texts need the full search.
     """
     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
     row = np.cumsum(np.concatenate([[0], doc[1:] != doc[:-1]]))
@@ -149,7 +149,7 @@ def label_words(scores: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float
     sums -= (sums[first] - gain[first])[row]
     apart = row[:, None] * 1e9  # starts the running minimum anew in each text
     rise = sums - apart - np.minimum.accumulate(sums - gain - apart, axis=0)
-    for d in np.flatnonzero(np.maximum.reduceat(rise.max(1), first) > penalty):
+    for d in np.flatnonzero(np.maximum.reduceat(rise.max(1), first) >= penalty / 2):
         stop = first[d + 1] if d + 1 < len(first) else len(doc)
         path[first[d]:stop] = best_path(scores[first[d]:stop], penalty)
     return path, totals

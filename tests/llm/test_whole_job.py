@@ -5,6 +5,7 @@ import pytest
 
 from pressframe.llm.chosen_path import LEAST_PERCENT, TREES, components, least_equal, near_duplicates, trees_for
 from pressframe.llm.common import Stages
+from pressframe.llm.language import best_path, label_words
 
 
 def test_components_of_a_long_chain(spark):
@@ -29,3 +30,9 @@ def test_recall_holds_at_lower_percent(spark):
     for refused in ({"percent": LEAST_PERCENT - 1}, {"percent": 60, "trees": TREES}):
         with pytest.raises(ValueError):
             near_duplicates(docs, **refused)
+
+
+def test_short_cut_sees_two_small_gains():
+    scores = np.array([[0, 7, -20], [0, 7, -20], [0, -20, 7], [0, -20, 7]], float)
+    path, _ = label_words(scores, np.zeros(4, int), 1, 20.0)
+    assert path.tolist() == best_path(scores, 20.0).tolist() == [1, 1, 2, 2]
