@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .chosen_path import near_duplicates
 from .common import crc_rest, read_table
 from .decontaminate import contamination
+from .filter_audit import audit_filters
 from .host_reputation import judge_urls, path_of
 from .language import identify_languages
 from .merkle import compare_edited
@@ -14,7 +15,7 @@ from .mixing import mix_sources
 from .quality import score_quality
 from .repeats import remove_repeats
 from .secrets import scan_secrets
-from .sql import HOST_RULES, OP3_SQL
+from .sql import HOST_RULES, OP13_SQL, OP3_SQL
 from .token_lengths import token_lengths
 
 
@@ -104,6 +105,10 @@ def _span_text() -> Column:
     return F.array_join(text, ",")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_prefix_containment": op1_prefix_containment,
     "op2_pairwise_quality": op2_pairwise_quality,
@@ -115,8 +120,10 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_token_lengths": op9_token_lengths,
     "op10_language_spans": op10_language_spans,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES = {
     "op3_host_reputation": OP3_SQL,
+    "op13_filter_audit": OP13_SQL,
 }

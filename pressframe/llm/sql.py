@@ -57,3 +57,32 @@ SELECT page_id, host, path, CASE {_cases("rule")} END AS rule,
        coalesce(CASE {_cases("verdict")} END, CASE WHEN lower > 0.3 THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts JOIN bound USING (host)
 """
+
+
+#: Filter audit: failures by plain window and list functions, orders by joining the letters with themselves.
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+f AS (
+  SELECT part,
+    (len(words) < 100)::INT + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+    + 16 * coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)::INT AS bits,
+    coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false)::INT AS good,
+    coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false)::INT AS toxic FROM d),
+c AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+l(x, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order, [p.b, q.b, r.b, s.b, t.b] AS bs
+  FROM l p, l q, l r, l s, l t WHERE p.b + q.b + r.b + s.b + t.b = 31 AND p.b | q.b | r.b | s.b | t.b = 31),
+e AS (SELECT filter_order, step, bs[step] AS own, coalesce(list_sum(bs[:step - 1]), 0)::INT AS before FROM o, range(1, 6) AS x(step))
+SELECT part, filter_order, step::INT AS step,
+  sum(CASE WHEN bits & (own | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+  sum(CASE WHEN bits & own <> 0 AND bits & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN bits & own <> 0 AND bits & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+  sum(CASE WHEN bits = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN bits & own <> 0 AND bits & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+  sum(CASE WHEN bits & own <> 0 AND bits & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost,
+  sum(sum(CASE WHEN bits & own <> 0 AND bits & before = 0 THEN n ELSE 0 END)) OVER (PARTITION BY part, own)::BIGINT AS shapley
+FROM c, e GROUP BY part, filter_order, step, own
+"""
