@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .bit_counts import similar_fingerprints
 from .chosen_path import near_duplicates
 from .common import crc_rest, read_table
 from .decontaminate import contamination
@@ -105,6 +106,10 @@ def _span_text() -> Column:
     return F.array_join(text, ",")
 
 
+def op11_bit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -120,6 +125,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_token_lengths": op9_token_lengths,
     "op10_language_spans": op10_language_spans,
+    "op11_bit_counts": op11_bit_counts,
     "op13_filter_audit": op13_filter_audit,
 }
 
