@@ -14,9 +14,10 @@ from .language import identify_languages
 from .merkle import compare_edited
 from .mixing import mix_sources
 from .quality import score_quality
+from .ranked_search import search
 from .repeats import remove_repeats
 from .secrets import scan_secrets
-from .sql import HOST_RULES, OP13_SQL, OP3_SQL
+from .sql import HOST_RULES, OP12_SQL, OP13_SQL, OP3_SQL
 from .token_lengths import token_lengths
 
 
@@ -110,6 +111,10 @@ def op11_bit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -126,10 +131,12 @@ QUERIES = {
     "op9_token_lengths": op9_token_lengths,
     "op10_language_spans": op10_language_spans,
     "op11_bit_counts": op11_bit_counts,
+    "op12_ranked_search": op12_ranked_search,
     "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES = {
     "op3_host_reputation": OP3_SQL,
+    "op12_ranked_search": OP12_SQL,
     "op13_filter_audit": OP13_SQL,
 }

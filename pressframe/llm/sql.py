@@ -86,3 +86,23 @@ SELECT part, filter_order, step::INT AS step,
   sum(sum(CASE WHEN bits & own <> 0 AND bits & before = 0 THEN n ELSE 0 END)) OVER (PARTITION BY part, own)::BIGINT AS shapley
 FROM c, e GROUP BY part, filter_order, step, own
 """
+
+#: Ranked search: terms, counts and scores in plain aggregates; integers are 64 bits wide.
+OP12_SQL = r"""
+WITH i AS (SELECT DISTINCT item_id, text FROM benchmark),
+q AS (
+  SELECT item_id, text, term, count(*) AS q FROM (
+    SELECT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i) GROUP BY ALL),
+d AS (SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+s AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d),
+f AS (SELECT nr, term, count(*) AS tf FROM (SELECT nr, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2.0 * n_docs + 2) / (2.0 * count(*) + 1)))::BIGINT AS w FROM f, s GROUP BY term, n_docs),
+m AS (SELECT nr, doc_id, 100 - 25 + ((25 * len(terms) * n_docs) // n_terms)::BIGINT AS m FROM d, s WHERE len(terms) > 0),
+p AS (
+  SELECT item_id, text, nr, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN f USING (term) JOIN m USING (nr) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM p WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
