@@ -44,7 +44,7 @@ def test_odd_rows(spark, odd_docs, labels, no_docs):
     more = spark.createDataFrame([(1006, 1, 1), (1006, 0, 0), (1007, 0, 1), (None, 1, 1), (1001, 1, None)], "doc_id long, quality int, toxic int")
     labels = labels.select("doc_id", F.col("quality").cast("int"), F.col("toxic").cast("int")).union(more).withColumn("part", F.lit("x")).withColumn("h", F.lit(1))
     copies = odd_docs.limit(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) if (v := {"doc_id": 5000, "text": "a|b", "lang": "en"}.get(f.name)) else F.col(f.name) for f in odd_docs.schema])
-    many = copies.withColumn("doc_id", F.explode(F.sequence(F.lit(5000), F.lit(5400))).cast("long"))
+    many = copies.withColumn("doc_id", F.explode(F.sequence(F.lit(5000).cast("long"), F.lit(5400).cast("long"))))
     docs = odd_docs.unionByName(many)
     marks = labels.collect()
     want = plain_audit([tuple(r) for r in docs.select("doc_id", "text", "lang").collect()],
