@@ -547,6 +547,35 @@ def broken_pages_unfinished(spark, sf):
     return flatten_dom(pages).where("page_id % 7 = 5").select("page_id", "kind", "text")
 
 
+# Pages as bytes: repaired UTF-8, marked and declared character sets, none declared, and a declaration that cannot be true.
+BYTES = ("concat(encode(concat('<meta charset=utf-8><p>', p_name, ' caf'), 'UTF-8'), X'C328', encode('</p>', 'UTF-8'))",
+         "concat(X'FFFE', encode(concat('<p>é漢 ', p_name, '</p>'), 'UTF-16LE'))",
+         "concat(encode(concat('<meta charset=\"ISO-8859-1\"><p>', p_name), 'UTF-8'), X'20E92080', encode('</p>', 'UTF-8'))",
+         "concat(encode(concat('<p>', p_name), 'UTF-8'), X'20E92093', encode('</p>', 'UTF-8'))",
+         "encode(concat('<!-- <meta charset=latin1> --><meta charset=\"x-unknown\"><p>é ', p_name, '</p>'), 'UTF-8')",
+         "encode(concat('<meta http-equiv=\"Content-Type\" content=\"text/html; charset=utf-16\"><p>é ', p_name, '</p>'), 'UTF-8')",
+         "concat(encode('<?xml version=\"1.0\" encoding=\"koi8-r\"?><p>', 'UTF-8'), X'C1C2', encode(concat(p_name, '</p>'), 'UTF-8'))", "NULL")
+BYTE_TEXT = ("p_name || ' caf' || chr(65533) || '('", "'é漢 ' || p_name", "p_name || ' é €'", "p_name || ' é “'", "'é ' || p_name", "'é ' || p_name", "'аб' || p_name")
+# The same bytes in a text column are UTF-8, whatever the page says.
+AS_TEXT = ("p_name || ' caf' || chr(65533) || '('", "NULL", "p_name || ' ' || chr(65533) || ' ' || chr(65533)", "p_name || ' ' || chr(65533) || ' ' || chr(65533)",
+           "'é ' || p_name", "'é ' || p_name", "chr(65533) || chr(65533) || p_name")
+
+
+def _of_kind(values) -> str:
+    return "CASE p_partkey % 8 " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
+
+
+@query("broken_bytes", f"""WITH t AS (SELECT p_partkey AS page_id, p_partkey % 8 AS k, 'bytes' AS read_as, {_of_kind(BYTE_TEXT)} AS text FROM part
+UNION ALL SELECT p_partkey, p_partkey % 8, 'text', {_of_kind(AS_TEXT)} FROM part WHERE p_partkey % 8 <> 1)
+SELECT page_id, read_as, CASE WHEN k = 7 THEN 'R' ELSE 'T' END AS kind, CASE WHEN k = 7 THEN 'page has no html' ELSE text END AS text FROM t""")
+def broken_bytes(spark, sf):
+    pages = build.spread(build.rows(spark, sf, f"SELECT p_partkey AS page_id, {_of_kind(BYTES)} AS html FROM part"))
+    as_text = pages.where("page_id % 8 <> 1").select("page_id", F.col("html").cast("string").alias("html"))
+    found = [flatten_dom(p).where("kind in ('R', 'T')").select("page_id", F.lit(name).alias("read_as"), "kind", "text")
+             for name, p in (("bytes", pages), ("text", as_text))]
+    return found[0].unionByName(found[1])
+
+
 SPECIAL = ("'<?xml version=\"1.0\"?><!-- ' || p_name || ' --><p>' || p_name || '</p><template>a &lt;b&gt; ' || p_name || '</template>"
            "<ruby>x<rt>a &lt;b&gt; c</rt></ruby><![if !IE]><style>a > b {{}}</style>'").replace("{{}}", "{}")
 SPECIAL_PAGES = f"SELECT p_partkey AS page_id, {SPECIAL} AS html FROM part"

@@ -4,18 +4,27 @@
 subtree.  With that numbering "is inside" is a comparison, so all later work is filters,
 windows, aggregates and joins on DataFrames.  Reading tag soup needs a stack, hence this one
 Arrow stage; nothing else in the package walks a tree.
+
+Time and output grow in proportion to the page, whatever it holds: the reader passes over it once, a path is its parent's
+path and one name more, a text is a stretch of the page's text, and what a row repeats of them has a bounded length.
 """
 
 from __future__ import annotations
 
+import codecs
+import re
 import sys
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 from html.entities import html5
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+
+from pressframe.functions.text import WS
 
 # Ship the code of this module inside the task, so executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -43,17 +52,32 @@ DOM_SCHEMA = (
 _BATCH_ROWS = 8192
 _BATCH_CHARS = 8_000_000
 
+# A path of more characters is its beginning and a digest of the whole: still equal only for equal paths.
+PATH_LIMIT, PATH_SHOWN = 1000, 200
+# An element's text of more characters is cut at the end of a word, or amid one of over WORD_LIMIT more, and
+# MORE_WORDS words that follow are added, likewise cut: its length and its number of words still tell it from short ones.
+TEXT_LIMIT, WORD_LIMIT, MORE_WORDS = 1000, 100, 5
+# Strings repeat the class, style and type of their element up to this length.
+OWNER_LIMIT = 2000
+_WORD = re.compile(f"[^{WS}-]+")
+
+# Text and the plain tag after it, as most pages write them; everything else goes by the standard parser.
+_PLAIN = re.compile(r'([^<&]*+)<(?:/([a-z][a-z0-9]*+)>|([a-z][a-z0-9]*+)((?: [a-z][a-z-]*+="[^"&<>]*+")*+) ?(/?)>)')
+_PLAIN_ATTRIBUTE = re.compile(r' ([a-z-]+)="([^"]*)"')
+_REFERENCE = re.compile(r"&([a-zA-Z][a-zA-Z0-9]*);")
+_RAW_TAGS = ("script", "style")
+
 
 class _Node:
     __slots__ = ("pos", "end", "up", "depth", "idx", "seq", "own_no", "kind", "tag", "attrs", "text",
-                 "length", "strings", "first_piece")
+                 "length", "strings", "text_at", "path", "size")
 
     def __init__(self, pos, up, kind, tag=None, attrs=None, text=None):
         self.pos = self.end = pos
         self.up, self.depth = up, (up.depth + 1 if up else 0)
         self.kind, self.tag, self.attrs, self.text = kind, tag, attrs, text
-        self.idx = self.seq = self.own_no = None
-        self.length = self.strings = self.first_piece = 0
+        self.idx = self.seq = self.own_no = self.text_at = self.path = None
+        self.length = self.strings = 0
 
 
 class _PageReader(HTMLParser):
@@ -67,16 +91,128 @@ class _PageReader(HTMLParser):
         self.nodes, self.pieces, self.buffer = [], [], []
         self.stack = [_Node(0, None, "E", "[document]", {})]
         self.open_names: dict[str, int] = {}
+        self.special: list[_Node] = []
+        self.shown: list[_Node] = []
         self.next_idx = self.chars = 0
         self.next_seq = 1
-        self.feed(html)
-        self.close()
+        self._walk(html)
         self._flush()
         while len(self.stack) > 1:
             self._pop()
         self.stack[0].end = len(self.nodes)
+        self._fill_texts()
         return self.nodes
 
+    def _walk(self, html: str) -> None:
+        """Hand the page's tokens to the handlers, in one pass.
+
+        Like the standard parser's loop, which is run twice over a page: a construct without an end stops the first
+        run, and in the second (``last_run``) it is text; a half reference stops either, and what is left then is text.
+        What has no end after one place has none after a later one, so no search is made twice.
+        """
+        self.rawdata = html
+        at, size, last_run = 0, len(html), False
+        last_close, unended = html.rfind(">"), set()
+        while at < size:
+            if self.cdata_elem is None:
+                at = self._plain_tags(html, at)
+            found = self.interesting.search(html, at)
+            if found is None and self.cdata_elem is not None:
+                stopped = at
+            else:
+                start = found.start() if found else size
+                if start > at:
+                    self.handle_data(html[at:start])
+                at, stopped = start, None
+                if at == size:
+                    break
+                if html[at] == "<":
+                    at, stopped = self._markup(html, at, last_run, last_close, unended)
+                else:
+                    at, stopped = self._reference(html, at, last_run)
+            if stopped is not None:
+                if last_run:
+                    if stopped < size and self.cdata_elem is None:
+                        self.handle_data(html[stopped:])
+                    return
+                at, last_run = stopped, True
+
+    def _plain_tags(self, html: str, at: int) -> int:
+        while True:
+            found = _PLAIN.match(html, at)
+            if found is None:
+                return at
+            text, closed, opened, attributes, void = found.groups()
+            at = found.end()
+            if text:
+                self.buffer.append(text)
+            if closed:
+                self.handle_endtag(closed)
+                continue
+            attributes = _PLAIN_ATTRIBUTE.findall(attributes) if attributes else ()
+            if void:
+                self.handle_startendtag(opened, attributes)
+                continue
+            self.handle_starttag(opened, attributes)
+            if opened in _RAW_TAGS:
+                self.set_cdata_mode(opened)
+                return at
+
+    def _markup(self, html: str, at: int, last_run: bool, last_close: int, unended: set[str]) -> tuple[int, int | None]:
+        """Next place after what starts with ``<``, and where the run stops, if it does."""
+        letter = html[at + 1:at + 2]
+        if letter.isascii() and letter.isalpha():
+            kind, parse = "tag", self.parse_starttag
+        elif letter == "/":
+            kind, parse = "end", self.parse_endtag
+        elif letter == "?":
+            kind, parse = "pi", self.parse_pi
+        elif letter == "!":
+            kind = "comment" if html.startswith("<!--", at) else html[at:at + 9].lower() if html.startswith("<![", at) else "declaration"
+            parse = self.parse_html_declaration
+        elif letter:
+            self.handle_data("<")
+            return at + 1, None
+        else:
+            return at, at
+        after = -1
+        if at < last_close and kind not in unended:
+            after = parse(at)
+            if after < 0 and kind not in ("tag", "end"):
+                unended.add(kind)
+        if after >= 0:
+            return after, None
+        if not last_run:
+            return at, at
+        after = html.find(">", at + 1) + 1 if at < last_close else html.find("<", at + 1)
+        after = at + 1 if after < 0 else after
+        self.handle_data(html[at:after])
+        return after, None
+
+    def _reference(self, html: str, at: int, last_run: bool) -> tuple[int, int | None]:
+        found = _REFERENCE.match(html, at)
+        if found:
+            self.handle_entityref(found[1])
+            return found.end(), None
+        numeric = html.startswith("&#", at)
+        found = (_CHARACTER if numeric else _ENTITY).match(html, at)
+        if found:
+            (self.handle_charref if numeric else self.handle_entityref)(found[1])
+            return found.end() + html.startswith(";", found.end()), None
+        if numeric:
+            if html.find(";", at) >= 0:
+                self.handle_data("&#")
+                at += 2
+            return at, at
+        letter = html[at + 1:at + 2]
+        if letter.isascii() and letter.isalpha():
+            # Nothing follows the name, so the page ends in it.
+            return at, at + 1 if last_run and len(html) - at == 2 else at
+        if not letter:
+            return at, at
+        self.handle_data("&")
+        return at + 1, None
+
     def _add(self, kind, **fields):
         node = _Node(len(self.nodes) + 1, self.stack[-1], kind, **fields)
         self.nodes.append(node)
@@ -86,13 +222,12 @@ class _PageReader(HTMLParser):
         if not self.buffer:
             return
         text, self.buffer = "".join(self.buffer), []
-        if not text.strip("\t\n\x0c\r ") and not any(map(self.open_names.get, PREFORMATTED)):
+        bare = text.strip()
+        if not bare and not text.strip("\t\n\x0c\r ") and not any(map(self.open_names.get, PREFORMATTED)):
             text = "\n" if "\n" in text else " "
         if kind is None:
-            kind = "T"
-            if any(map(self.open_names.get, STRING_KINDS)):
-                kind = next(STRING_KINDS[n.tag] for n in reversed(self.stack) if n.tag in STRING_KINDS)
-        node, parent, bare = self._add(kind, text=text), self.stack[-1], text.strip()
+            kind = STRING_KINDS[self.special[-1].tag] if self.special else "T"
+        node, parent = self._add(kind, text=text), self.stack[-1]
         if kind == "T":
             node.own_no, parent.strings = parent.strings, parent.strings + 1
         if bare:
@@ -106,21 +241,45 @@ class _PageReader(HTMLParser):
     def _pop(self):
         node = self.stack.pop()
         node.end = len(self.nodes)
-        node.length = self.chars - node.length
+        node.text_at, node.length = node.length, self.chars - node.length
         self.open_names[node.tag] -= 1
+        if self.special and self.special[-1] is node:
+            self.special.pop()
         if node.tag in TEXT_TAGS or (
                 node.tag == "span" and any(c in node.attrs.get("class", "").lower() for c in TEXT_CLASSES)):
-            node.text = "".join(self.pieces[node.first_piece:])
+            self.shown.append(node)
+
+    def _fill_texts(self):
+        """The texts of elements that show theirs, as stretches of the page's text."""
+        if not self.shown:
+            return
+        text, starts, ends = "".join(self.pieces), None, None
+        for node in self.shown:
+            a, b = node.text_at, node.text_at + node.length
+            if node.length <= TEXT_LIMIT:
+                node.text = text[a:b]
+                continue
+            if starts is None:
+                spans = [found.span() for found in _WORD.finditer(text)]
+                starts, ends = [s for s, _ in spans], [e for _, e in spans]
+            word = bisect_left(ends, a + TEXT_LIMIT)
+            cut = a + TEXT_LIMIT if word == len(ends) or starts[word] >= a + TEXT_LIMIT else min(ends[word], a + TEXT_LIMIT + WORD_LIMIT)
+            cut = min(cut, b)
+            word = bisect_left(starts, cut)
+            more = [text[s:min(e, b, s + WORD_LIMIT)] for s, e in zip(starts[word:word + MORE_WORDS], ends[word:word + MORE_WORDS]) if s < b]
+            node.text = " ".join([text[a:cut], *more])
 
     def handle_starttag(self, tag, attrs):
         self._flush()
-        values = {k: v or "" for k, v in attrs}
+        values = {k: v or "" for k, v in attrs} if attrs else {}
         if "class" in values:
             values["class"] = " ".join(values["class"].split())
         node = self._add("E", tag=tag, attrs=values)
         node.idx, self.next_idx = self.next_idx, self.next_idx + 1
-        node.length, node.first_piece = self.chars, len(self.pieces)
+        node.length = self.chars
         self.stack.append(node)
+        if tag in STRING_KINDS:
+            self.special.append(node)
         self.open_names[tag] = self.open_names.get(tag, 0) + 1
         if tag in VOID_TAGS:
             self._pop()
@@ -177,24 +336,87 @@ class _PageReader(HTMLParser):
         self._string("P", data)
 
 
+#: A number or a name, and that something follows which is no part of it.
+_CHARACTER = re.compile(r"&#([0-9]++|[xX][0-9a-fA-F]++)(?=[^0-9a-fA-F])")
+_ENTITY = re.compile(r"&([a-zA-Z][-.a-zA-Z0-9]*)(?=[^a-zA-Z0-9])")
+
+#: Bytes 80 to 9F as a browser reads them: windows-1252, and control characters where that has none.
+_HIGH = {c: bytes([c]).decode("windows-1252", "ignore") or chr(c) for c in range(0x80, 0xA0)}
+_MARKS = ((b"\xef\xbb\xbf", "utf-8"), (b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be"))
+_COMMENT = re.compile(rb"<!--.*?(?:-->|\Z)", re.S)
+_DECLARED = re.compile(rb"""(?i)<meta\b[^>]*?\bcharset\s*=\s*["']?\s*([a-z0-9_:.-]+)|<\?xml\b[^>]*?\bencoding\s*=\s*["']([a-z0-9_:.-]+)""")
+#: How far into a page a declared character set is looked for, as browsers do.
+_DECLARED_WITHIN = 1024
+#: Text codecs that no page may ask for.
+_NO_CHARSETS = ("idna", "punycode", "unicode", "raw", "undefined", "utf-7", "mbcs", "oem")
+
+
+def _charset(label: str | None) -> str | None:
+    """The codec of a label; null for unknown ones.  ASCII and Latin-1 mean windows-1252."""
+    try:
+        found = codecs.lookup((label or "").strip())
+    except (LookupError, ValueError):
+        return None
+    if not found._is_text_encoding or found.name.startswith(_NO_CHARSETS):
+        return None
+    return "windows-1252" if found.name in ("ascii", "iso8859-1", "cp1252") else found.name
+
+
+def decode_page(data: bytes, sent: str | None = None) -> str:
+    """Text of a page's bytes: by byte order mark, else the charset ``sent`` with it, else the one it declares, else UTF-8 if it is
+    that, else windows-1252.  Bytes that do not fit become U+FFFD."""
+    for mark, name in _MARKS:
+        if data.startswith(mark):
+            return data[len(mark):].decode(name, "replace")
+    name = _charset(sent)
+    if name is None:
+        declared = _DECLARED.search(_COMMENT.sub(b"", data[:_DECLARED_WITHIN]))
+        name = _charset((declared[1] or declared[2]).decode("ascii")) if declared else None
+        if name and name.startswith(("utf-16", "utf-32")):  # what could be read so far was not written in that
+            name = "utf-8"
+    if name is None:
+        try:
+            return data.decode("utf-8")
+        except UnicodeDecodeError:
+            name = "windows-1252"
+    if name == "windows-1252":
+        return data.decode("latin-1").translate(_HIGH)
+    return data.decode(name, "replace")
+
+
 def _strict_name(node: _Node) -> str:
     ident, classes = node.attrs.get("id"), node.attrs.get("class")
     return (node.tag + (f"#{ident}" if ident else "")
             + ("." + classes.replace(" ", ".") if classes else ""))
 
 
-def _path(node: _Node, name: Callable[[_Node], str]) -> str:
-    names, up = [], node.up
-    while up:
-        names.append(name(up))
-        up = up.up
-    return " > ".join(reversed(names))
+def _longer(path: tuple[str, str | None] | None, name: str) -> tuple[str, str | None]:
+    """A path and one name more: its text, or the beginning of that and a digest."""
+    text, digest = path or ("", None)
+    if digest is None:
+        whole = f"{text} > {name}" if path else name
+        if len(whole) <= PATH_LIMIT:
+            return whole, None
+        text, digest = whole[:PATH_SHOWN], text
+    return text, blake2b(f"{digest} > {name}".encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+def _paths(node: _Node) -> tuple[str, str]:
+    """Paths by tag names and by tag, id and classes, from the root to the parent of a node."""
+    above, chain = node.up, []
+    while above is not None and above.path is None:
+        chain.append(above)
+        above = above.up
+    for n in reversed(chain):
+        up = n.up.path if n.up else (None, None)
+        n.path = _longer(up[0], n.tag), _longer(up[1], _strict_name(n))
+    return tuple(text if digest is None else f"{text} … {digest}" for text, digest in node.up.path)
 
 
-def _to_batch(rows: list[tuple[object, _Node]], key: pa.DataType) -> pa.RecordBatch:
+def _to_batch(rows: list[tuple[int, _Node]], pages: pa.Array) -> pa.RecordBatch:
     nodes = [n for _, n in rows]
-    links = [n.tag == "a" and "href" in n.attrs for n in nodes]
-    strings = [n.kind not in "ER" for n in nodes]
+    paths = [_paths(n) if n.tag == "a" and "href" in n.attrs else (None, None) for n in nodes]
+    owners = [None if n.kind in "ER" else n.up for n in nodes]
     offsets, keys, values = [0], [], []
     for n in nodes:
         if n.attrs:
@@ -202,32 +424,26 @@ def _to_batch(rows: list[tuple[object, _Node]], key: pa.DataType) -> pa.RecordBa
             values.extend(n.attrs.values())
         offsets.append(len(keys))
 
-    def of_owner(field):
-        return pa.array([n.up.attrs.get(field) if s else None for n, s in zip(nodes, strings)], pa.string())
+    def ints(found):
+        return pa.array(found, pa.int32())
 
-    owner = pa.StructArray.from_arrays(
-        [pa.array([n.up.tag if s else None for n, s in zip(nodes, strings)], pa.string()),
-         of_owner("class"), of_owner("style"), of_owner("type"),
-         pa.array([n.up.end if s else None for n, s in zip(nodes, strings)], pa.int32())],
-        names=["tag", "class", "style", "type", "end_pos"], mask=pa.array([not s for s in strings]))
-
-    def ints(get):
-        return pa.array([get(n) for n in nodes], pa.int32())
-
-    def texts(get):
-        return pa.array([get(n) for n in nodes], pa.string())
+    def texts(found):
+        return pa.array(found, pa.string())
 
+    owner = pa.StructArray.from_arrays(
+        [texts([o and o.tag for o in owners]),
+         *[texts([(o.attrs.get(name) or "")[:OWNER_LIMIT] if o and name in o.attrs else None for o in owners]) for name in ("class", "style", "type")],
+         ints([o and o.end for o in owners])],
+        names=["tag", "class", "style", "type", "end_pos"], mask=pa.array([o is None for o in owners]))
     columns = {
-        "page_id": pa.array([p for p, _ in rows], key),
-        "pos": ints(lambda n: n.pos), "end_pos": ints(lambda n: n.end),
-        "parent": ints(lambda n: n.up.pos if n.up else None), "depth": ints(lambda n: n.depth),
-        "node_idx": ints(lambda n: n.idx), "seq": ints(lambda n: n.seq), "own_no": ints(lambda n: n.own_no),
-        "kind": texts(lambda n: n.kind), "tag": texts(lambda n: n.tag),
-        "attrs": pa.MapArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys, pa.string()),
-                                         pa.array(values, pa.string())),
-        "text": texts(lambda n: n.text), "text_len": ints(lambda n: n.length), "owner": owner,
-        "anc_flex": pa.array([_path(n, lambda u: u.tag) if a else None for n, a in zip(nodes, links)], pa.string()),
-        "anc_strict": pa.array([_path(n, _strict_name) if a else None for n, a in zip(nodes, links)], pa.string()),
+        "page_id": pages.take(pa.array([p for p, _ in rows], pa.int32())),
+        "pos": ints([n.pos for n in nodes]), "end_pos": ints([n.end for n in nodes]),
+        "parent": ints([n.up.pos if n.up else None for n in nodes]), "depth": ints([n.depth for n in nodes]),
+        "node_idx": ints([n.idx for n in nodes]), "seq": ints([n.seq for n in nodes]), "own_no": ints([n.own_no for n in nodes]),
+        "kind": texts([n.kind for n in nodes]), "tag": texts([n.tag for n in nodes]),
+        "attrs": pa.MapArray.from_arrays(ints(offsets), texts(keys), texts(values)),
+        "text": texts([n.text for n in nodes]), "text_len": ints([n.length for n in nodes]), "owner": owner,
+        "anc_flex": texts([flex for flex, _ in paths]), "anc_strict": texts([strict for _, strict in paths]),
     }
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
@@ -241,48 +457,60 @@ def link_rows(node: _Node) -> bool:
 
 
 def flatten_dom(pages: DataFrame, keep: Callable[[_Node], bool] | None = None) -> DataFrame:
-    """``pages(page_id, html)`` to ``dom_nodes``.
+    """``pages(page_id, html[, charset])`` to ``dom_nodes``.
 
+    ``html`` is text or bytes.  Bytes are read in the character set :func:`decode_page` finds, ``charset`` being the one sent
+    with the page; a text's bytes are UTF-8.  What does not fit becomes U+FFFD.
     ``keep`` is a row filter pushed into the stage: rows it rejects are never built, while
-    positions stay those of the whole page.  A page that cannot be read gives one row of kind
+    positions stay those of the whole page.  A page that cannot be read, from its first byte on, gives one row of kind
     ``R`` with the reason in ``text``.
     """
+    binary = pages.schema["html"].dataType.simpleString() == "binary"
+    sent = F.col("charset").cast("string").cast("binary") if binary and "charset" in pages.columns else F.lit(None).cast("binary")
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, rows, chars, key = _PageReader(), [], 0, None
+        reader = _PageReader()
         for batch in batches:
-            key = batch.column(0).type
-            for page_id, html in zip(batch.column(0).to_pylist(), batch.column(1)):
-                html = html.as_py()
+            rows, chars = [], 0
+            for number in range(batch.num_rows):
                 try:
+                    html = batch.column(1)[number].as_py()
                     if html is None:
                         raise ValueError("page has no html")
-                    nodes = reader.read(html)
-                    nodes = [n for n in nodes if keep is None or keep(n)]
+                    charset = (batch.column(2)[number].as_py() or b"").decode("ascii", "ignore")
+                    nodes = reader.read(decode_page(html, charset) if binary else html.decode("utf-8", "replace"))
+                    if keep is not None:
+                        nodes = [n for n in nodes if keep(n)]
+                    for n in nodes:
+                        n.size = _emitted(n)
                 except Exception as problem:  # noqa: BLE001 - a page never ends the job
                     nodes, reader = [_failed(problem)], _PageReader()
-                rows.extend((page_id, n) for n in nodes)
-                chars += sum(map(_emitted, nodes))
+                rows.extend((number, n) for n in nodes)
+                chars += sum(n.size for n in nodes)
                 if len(rows) >= _BATCH_ROWS or chars >= _BATCH_CHARS:
-                    yield from _in_batches(rows, key)
+                    yield from _in_batches(rows, batch.column(0))
                     rows, chars = [], 0
-        yield from _in_batches(rows, key)
+            yield from _in_batches(rows, batch.column(0))
 
     key = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", "html").mapInArrow(stage, DOM_SCHEMA.format(key=key))
+    return pages.select("page_id", F.col("html").cast("binary"), sent).mapInArrow(stage, DOM_SCHEMA.format(key=key))
 
 
 def _failed(problem: Exception) -> _Node:
-    return _Node(0, None, "R", text=str(problem) or type(problem).__name__)
+    node = _Node(0, None, "R", text=str(problem) or type(problem).__name__)
+    node.size = len(node.text)
+    return node
 
 
 def _emitted(node: _Node) -> int:
     """Characters a row brings along: its text, attributes, and for links two paths."""
-    size = len(node.text or "") + sum(map(len, (node.attrs or {}).values()))
-    return size + 40 * node.depth if node.tag == "a" else size
+    size = len(node.text) if node.text else 0
+    if node.attrs:
+        size += sum(map(len, node.attrs.values()))
+    return size + 2 * min(20 * node.depth, PATH_LIMIT) if node.tag == "a" else size
 
 
-def _in_batches(rows, key):
+def _in_batches(rows: list[tuple[int, _Node]], pages: pa.Array) -> Iterator[pa.RecordBatch]:
     """Batches bounded by rows and by emitted characters.
 
     Rows that cannot be turned into a batch are tried page by page, so that only the page
@@ -290,14 +518,14 @@ def _in_batches(rows, key):
     """
     start, size = 0, 0
     for end, (_, node) in enumerate(rows, 1):
-        size += _emitted(node)
+        size += node.size
         if end - start >= _BATCH_ROWS or size >= _BATCH_CHARS or end == len(rows):
             part, start, size = rows[start:end], end, 0
             try:
-                yield _to_batch(part, key)
+                yield _to_batch(part, pages)
             except Exception:  # noqa: BLE001
-                for page_id in dict.fromkeys(p for p, _ in part):
+                for page in dict.fromkeys(p for p, _ in part):
                     try:
-                        yield _to_batch([r for r in part if r[0] == page_id], key)
+                        yield _to_batch([r for r in part if r[0] == page], pages)
                     except Exception as problem:  # noqa: BLE001
-                        yield _to_batch([(page_id, _failed(problem))], key)
+                        yield _to_batch([(page, _failed(problem))], pages)
