@@ -202,17 +202,16 @@ def fingerprint_links(points: DataFrame, stages: Stages, width: int = SEGMENT, c
     """``a, b``: links that join all fingerprints of ``points(fp)`` that differ in three bits at most, over others or directly."""
     found, cells, level = None, stages.write(grid_cells(points, width), "cells-0"), 0
     while True:
-        sizes = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-        met = stages.write(cells.join(sizes, "cell"), f"met-{level}")
-        few = stages.write(cell_links(met.where(F.col("n") <= crowded), width).distinct(), f"links-{level}")
+        full = stages.write(cells.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > crowded).select("cell"), f"full-{level}")
+        few = stages.write(cell_links(cells.join(full, "cell", "left_anti"), width).distinct(), f"links-{level}")
         found = few if found is None else found.union(few)
-        many = met.where(F.col("n") > crowded)
-        if not many.limit(1).count():
-            stages.drop(f"cells-{level}", f"met-{level}")
+        if not full.limit(1).count():
+            stages.drop(f"cells-{level}", f"full-{level}")
             return found
         level += 1
-        cells = stages.write(refined(many), f"cells-{level}")
-        stages.drop(f"cells-{level - 1}", f"met-{level - 1}")
+        finer = stages.write(refined(cells.join(full, "cell", "left_semi")), f"cells-{level}")
+        stages.drop(f"cells-{level - 1}", f"full-{level - 1}")
+        cells = finer
 
 
 def similar_fingerprints(docs: DataFrame, width: int = SEGMENT, crowded: int = CROWDED) -> DataFrame:
