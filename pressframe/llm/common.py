@@ -67,7 +67,10 @@ def crc_rest(doc_id: Column, modulus: int) -> Column:
 
 
 def row_keys() -> list[Column]:
-    """``did`` and ``th``: never-null id and text hash; rows with equal keys are the same document twice."""
+    """``did`` and ``th``: never-null id and text hash; rows with equal keys are the same document twice.
+
+    Ids are whole numbers; others end the query with CAST_INVALID_INPUT.
+    """
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64("text").alias("th")]
 
 

@@ -95,6 +95,17 @@ def _text_groups(texts: list[str | None]) -> Iterator[list[str]]:
 class LanguageModel:
     """Log shares of trigram buckets (languages by buckets) and the scripts each language uses."""
 
+    @classmethod
+    def of_parts(cls, parts: tuple) -> LanguageModel:
+        """The model again from its ``parts``, which are plain arrays that a worker can read without this package."""
+        model = cls.__new__(cls)
+        model.languages, model.table, model.ruled_out = parts
+        return model
+
+    @property
+    def parts(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        return self.languages, self.table, self.ruled_out
+
     def __init__(self, languages: list[str], grams: np.ndarray, scripts: np.ndarray):
         self.languages = languages
         total = grams.sum(1, keepdims=True)
@@ -179,7 +190,7 @@ def fit_languages(docs: DataFrame) -> LanguageModel:
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(have[used])],
                                              names=["lang", "bucket", "n"])
 
-    rows = (docs.where("text is not null and lang is not null").select("text", "lang")
+    rows = (docs.where("text is not null and lang is not null").select(F.make_valid_utf8("text"), F.make_valid_utf8("lang"))
             .mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
     languages = sorted(set(rows.column("lang").to_pylist()))
     counts = np.zeros((len(languages), BUCKETS + len(SCRIPTS)))
@@ -196,12 +207,13 @@ def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("do
     text's language is the one with most letters (ties: first by name); its score is its share of the letters times
     its posterior among the languages over the whole text.
     Defined cases: a null text, one without letters, or a model without languages gives ``und``, score 0 and no spans;
-    texts of any length are read whole; repeated rows are judged row by row; other columns are not read.
+    texts of any length are read whole; bytes that are not UTF-8 count as U+FFFD, which is no letter; repeated rows are judged row by row;
+    other columns are not read.
     """
     added = "lang_pred string, lang_score double, lang_spans array<struct<lang:string,start:int,`end`:int>>"
     schema = StructType([*docs.select(*keep).schema, *StructType.fromDDL(added)])
     kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # size: languages times BUCKETS
+    shared = docs.sparkSession.sparkContext.broadcast(model.parts)  # size: languages times BUCKETS
 
     def judged(texts: list[str], found: LanguageModel):
         names = found.languages
@@ -226,13 +238,13 @@ def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("do
         return out
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
+        found = LanguageModel.of_parts(shared.value)
         for batch in batches:
             rows = [r for group in _text_groups(batch.column(batch.num_columns - 1).to_pylist()) for r in judged(group, found)]
             columns = [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], kind)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[f.name for f in schema])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(stage, schema)
+    return docs.select(*keep, F.make_valid_utf8("text").alias("__text")).mapInArrow(stage, schema)
 
 
 def identify_languages(docs: DataFrame, learn: Column | None = None, keep: tuple[str, ...] = ("doc_id",), penalty: float = PENALTY) -> DataFrame:

@@ -53,7 +53,7 @@ def _decoded(part: bytes, url: bool = False) -> bytes | None:
 def _web_token(match: re.Match) -> bool:
     try:
         return "alg" in json.loads(_decoded(match[1], url=True) or b"")
-    except (ValueError, TypeError):
+    except (ValueError, TypeError, RecursionError):  # no JSON, no object, or nested deeper than anybody writes
         return False
 
 
@@ -71,6 +71,8 @@ DETECTORS = {
     "jwt": (("eyj",), rb"(eyJ[A-Za-z0-9_-]+)\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", _web_token),
     "pem": (("-----begin ",), rb"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----", _private_key),
 }
+#: What a pattern reads first, from any keyword in it to its end: if pattern or proof fails at one keyword, the others of that run are passed over.
+RUNS = {"jwt": rb"[A-Za-z0-9_-]+"}
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -80,6 +82,7 @@ class _Scanner:
 
         self.trie, self.hex = ahocorasick.Automaton(), "hex" in kinds
         self.patterns = {k: (re.compile(DETECTORS[k][1]), DETECTORS[k][2]) for k in kinds if k in DETECTORS}
+        self.runs = {k: re.compile(RUNS[k]) for k in kinds if k in RUNS}
         for kind in self.patterns:
             for word in DETECTORS[kind][0]:
                 self.trie.add_word(word, (kind, len(word)))
@@ -99,10 +102,13 @@ class _Scanner:
                 continue
             pattern, holds = self.patterns[kind]
             match = pattern.match(text, start)
-            if match:
+            proved = match is not None and holds(match)
+            if proved:
+                spans.append((kind, start, match.end()))
+            if kind in self.runs and not proved:
+                over[kind] = self.runs[kind].match(text, start).end()
+            elif match:
                 over[kind] = match.end()
-                if holds(match):
-                    spans.append((kind, start, match.end()))
         return spans
 
     def scan(self, column) -> Iterator[tuple[bytes, list[tuple[str, int, int]]]]:
@@ -140,7 +146,8 @@ def scan_secrets(docs: DataFrame, keep: Sequence[str] = ("doc_id",), kinds: Sequ
     also ``redacted_text``: every span (overlapping ones as one) replaced by the name of its first kind in brackets;
     null where no span was found, so clean texts are not copied.
     Defined cases: a null or empty text has no spans; any length is scanned whole; repeated rows
-    are scanned row by row; an empty table gives no rows; other columns are not read.
+    are scanned row by row; an empty table gives no rows; other columns are not read.  Bytes that are not UTF-8 belong to no secret
+    and come back as U+FFFD where a text is redacted; the time of a text grows with its length, whatever it repeats.
     """
     chosen = docs.select(*[F.col(c) for c in keep], text_bytes().alias("__bytes"))
     added = f"secret_spans {SPANS}" + ", redacted_text string" * redact

@@ -1,6 +1,6 @@
 """Token counts through an exact histogram of encoded lengths.
 
-Documents are encoded once and summed by length; sums over longer lengths then answer, for
+Documents are encoded once and summed by length, and that histogram is written; sums over longer lengths then answer, for
 every context limit, how many documents and tokens fit, are cut or lost.
 """
 
@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .common import Stages
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: A public byte-level BPE vocabulary; only the path is used, nothing is copied.
@@ -32,7 +34,7 @@ def encoder(path: str = VOCABULARY, pattern: str = PATTERN):
 
 
 def length_histogram(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
-    """``n_tokens, docs`` over all rows of ``docs(text)``; null and empty texts have length 0.
+    """``n_tokens, docs`` over all rows of ``docs(text)``; null and empty texts have length 0, bytes that are not UTF-8 count as U+FFFD.
 
     A task sums its own documents first, so at most one short row for each length leaves it.
     """
@@ -44,7 +46,7 @@ def length_histogram(docs: DataFrame, path: str = VOCABULARY, pattern: str = PAT
                 sums[n] = sums.get(n, 0) + 1
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.int64())], names=["n_tokens", "docs"])
 
-    return docs.select("text").mapInArrow(count, "n_tokens long, docs long").groupBy("n_tokens").agg(F.sum("docs").alias("docs"))
+    return docs.select(F.make_valid_utf8("text")).mapInArrow(count, "n_tokens long, docs long").groupBy("n_tokens").agg(F.sum("docs").alias("docs"))
 
 
 def limit_table(histogram: DataFrame) -> DataFrame:
@@ -89,4 +91,4 @@ def quantiles(table: DataFrame, shares: Sequence[float]) -> DataFrame:
 
 def token_lengths(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """:func:`limit_table` of the whole texts of ``docs``; an empty table gives no rows, repeated rows count each."""
-    return limit_table(length_histogram(docs, path, pattern))
+    return limit_table(Stages(docs.sparkSession, "token-lengths").write(length_histogram(docs, path, pattern), "histogram"))
