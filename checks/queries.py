@@ -313,6 +313,19 @@ def text_date(spark, sf):
     return dates.best_text_dates(dates.text_date_candidates(nodes)).select("page_id", "published_text")
 
 
+# Dates in paragraphs that are never closed, so each holds all that follow: the word comes last, before, cut in pieces, or not at all.
+NESTED_DATES = """SELECT p_partkey AS page_id, CAST(p_size % 9 + 1 AS BIGINT) AS n, CAST(p_partkey % 5 AS BIGINT) AS k, concat(
+CASE p_partkey % 5 WHEN 1 THEN '<p>posted' WHEN 4 THEN '<div><i>re</i>' ELSE '' END, repeat('<p>On 2020-03-04 ', CAST(p_size % 9 + 1 AS INT)),
+CASE p_partkey % 5 WHEN 0 THEN '<p>Released' WHEN 2 THEN '<b>P</b>u<i>b</i>l<b>ish</b>ed' WHEN 3 THEN '<p>p<br>r<hr>e<i> </i>ss' WHEN 4 THEN '<p>rel</div>ease' ELSE '' END) AS html FROM part"""
+
+
+@query("nested_dates", f"""SELECT page_id, n AS n_dates, CASE WHEN k IN (0, 2) THEN 5 * n ELSE 0 END AS points FROM ({NESTED_DATES.replace("CAST(p_size % 9 + 1 AS INT)", "CAST(p_size % 9 + 1 AS BIGINT)")})""")
+def nested_dates(spark, sf):
+    nodes = src.write_stage(flatten_dom(build.spread(build.rows(spark, sf, NESTED_DATES))), "nested")
+    found = dates.text_date_candidates(nodes)
+    return found.groupBy("page_id").agg(F.count("*").alias("n_dates"), F.sum("score").cast("bigint").alias("points"))
+
+
 # --- Articles ----------------------------------------------------------------------------------
 
 W = f"WITH {sql.ARTICLE} "

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressframe.functions.dates import PUBLICATION_WORDS, has_text_date, text_dates
 from pressframe.functions.text import attr
-from pressframe.operators.tree import inside, subtree_text
+from pressframe.operators.tree import inside
 
 POINTS = 5
 
@@ -27,6 +27,43 @@ def dated_texts(nodes: DataFrame) -> DataFrame:
             .where("shows").drop("marks", "shows"))
 
 
+def _ends_of_words(pieces: DataFrame) -> DataFrame:
+    """``ends``: for each piece of page text, where the first publication word that starts in it or after it at once ends.
+
+    A word may run over several pieces, at most one for each of its characters; so a piece is read together with the
+    beginnings of as many pieces after it.
+    """
+    longest = max(map(len, PUBLICATION_WORDS))
+    in_order = Window.partitionBy("page_id").orderBy("pos")
+    following = [(F.substring(F.lead("low", k).over(in_order), 1, longest), F.lead("pos", k).over(in_order)) for k in range(1, longest)]
+    rows = pieces.withColumns({f"{name}_{k}": c for k, pair in enumerate(following, 1) for name, c in zip(("low", "pos"), pair)})
+    words = "|".join(PUBLICATION_WORDS)
+    so_far, steps = F.substring("low", -longest, longest), []
+    for k in range(1, longest):
+        so_far = F.concat(so_far, F.coalesce(f"low_{k}", F.lit("")))
+        steps.append(F.when(so_far.rlike(words), F.col(f"pos_{k}")))
+    ends = F.when(F.col("low").rlike(words), F.col("pos")).when(so_far.rlike(words), F.coalesce(*steps))
+    return rows.select(*pieces.columns, ends.alias("ends"))
+
+
+def near_publication_words(nodes: DataFrame, asking: DataFrame) -> DataFrame:
+    """``(page_id, pos)`` of the dated texts in ``asking(page_id, pos, parent, parent_end)`` whose parent holds a publication word.
+
+    Only pages in ``asking`` are read.  Each question stands before its parent's pieces; read from the page's end, the running
+    minimum of the words' ends says whether one that starts inside the parent also ends there.  That is one
+    row for each piece and each question, however the parents nest.
+    """
+    pieces = nodes.where("kind = 'T'").select("page_id", "pos", F.lower("text").alias("low"))
+    pieces = _ends_of_words(pieces.join(asking.select("page_id").distinct(), "page_id", "left_semi"))
+    rows = pieces.drop("low").join(asking, ["page_id", "pos"], "left")
+    piece = F.struct(F.col("pos").alias("at"), F.col("ends").alias("ends"), F.lit(None).cast("int").alias("asks"))
+    question = F.struct(F.col("parent").alias("at"), F.lit(None).cast("int").alias("ends"), F.col("pos").alias("asks"))
+    events = rows.select("page_id", "parent_end", F.inline(F.when(F.col("parent").isNotNull(), F.array(piece, question)).otherwise(F.array(piece))))
+    from_the_end = Window.partitionBy("page_id").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, 0)
+    events = events.withColumn("first_end", F.min("ends").over(from_the_end))
+    return events.where("asks is not null and first_end <= parent_end").select("page_id", F.col("asks").alias("pos"))
+
+
 def text_date_candidates(nodes: DataFrame, as_of: Column | None = None, settled: DataFrame | None = None) -> DataFrame:
     """``(page_id, pattern_no, pos, day, score)`` for every text node and pattern.
 
@@ -37,13 +74,10 @@ def text_date_candidates(nodes: DataFrame, as_of: Column | None = None, settled:
     if settled is not None:
         found = found.join(settled.select("page_id"), "page_id", "left_anti")
     found = found.withColumn("own_word", _says_published(F.col("text")))
-    # The parent's whole text is gathered only where the node's own text does not settle it.
-    asks = F.when(~F.col("own_word"), F.col("parent"))
-    parents = (found.where("not own_word").groupBy("page_id", F.col("parent").alias("t_pos"))
-               .agg(F.max("owner.end_pos").alias("t_end")))
-    around = (subtree_text(nodes, parents, raw=True).where(_says_published(F.col("subtree")))
-              .select("page_id", F.col("t_pos").alias("asks"), F.lit(True).alias("near_word")))
-    scored = (found.withColumn("asks", asks).join(around, ["page_id", "asks"], "left")
+    # The parent's text is looked at only where the node's own text does not settle it.
+    asking = found.where("not own_word").select("page_id", "pos", "parent", F.col("owner.end_pos").alias("parent_end"))
+    near = near_publication_words(nodes, asking).withColumn("near_word", F.lit(True))
+    scored = (found.join(near, ["page_id", "pos"], "left")
               .withColumn("score", F.when(F.col("news_class"), POINTS).otherwise(0)
                           + F.when(F.col("own_word") | F.coalesce("near_word", F.lit(False)), POINTS).otherwise(0)))
     days = F.array(*text_dates(F.col("text"), as_of))
