@@ -634,6 +634,15 @@ def prune_losses(spark, sf):
             .select("page_id", F.coalesce("side", F.lit("kept")).alias("side"), "labels_kept"))
 
 
+@query("prune_digests", """SELECT p_partkey AS page_id, p_partkey % 4 < 2 AS labels_kept FROM part""")
+def prune_digests(spark, sf):
+    """Pages whose labels all stand on nodes that stay, and pages with a label on no node or one outside the numbering."""
+    nodes = src.write_stage(flatten_dom(build.spread(build.rows(spark, sf, MARKED_PAGES))), "digests")
+    stray = F.expr("CASE page_id % 4 WHEN 2 THEN 99 WHEN 3 THEN -1 ELSE pos END").alias("pos")
+    found = nodes.where("tag in ('h1', 'th') and page_id % 4 > 0").select("page_id", stray, F.col("tag").alias("label_type"))
+    return articles.check_prune(nodes, found)
+
+
 # --- Ends -------------------------------------------------------------------------------------------
 
 FOUND = "SELECT page_id, 'https://ir.example.com/story/' || CAST(o_custkey * 2 AS STRING) AS url FROM (SELECT o_orderkey AS page_id, o_custkey FROM orders)"

@@ -1,10 +1,15 @@
-"""Cut a page down to its labelled parts, render it, and check that no label was lost."""
+"""Cut a page down to its labelled parts, render it, and check that no label was lost.
+
+What is cut follows from positions, tags and labels alone.  Those narrow rows go through the windows and end as one short row per
+page: a flag for every position, its labels, and digests of the labels before and after the cut.  Texts and
+attributes are rendered beside that, page by page, and meet it as one row per page.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from pressframe.operators.tree import holds, inside, is_structural
+from pressframe.operators.tree import earlier, holds, inside, is_structural
 from pressframe.sources.dom import VOID_TAGS
 
 
@@ -15,25 +20,46 @@ def _page() -> WindowSpec:
     return Window.partitionBy("page_id")
 
 
+def _with_values(labels: DataFrame) -> DataFrame:
+    return labels if "label_value" in labels.columns else labels.withColumn("label_value", F.lit(None).cast("string"))
+
+
+def _valued() -> Column:
+    return F.when(F.col("label_value").isNotNull(), F.struct("label_type", "label_value"))
+
+
 def label_nodes(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """Nodes with ``label_types`` and ``label_values`` (null where there is none); labels are unique per node first.
 
     ``label_values`` holds the types that have a value with the first of their values.
-
-    Both sides are hashed by page alone: this join, the pruning windows and the rendering all
-    work on that one exchange.
     """
-    if "label_value" not in labels.columns:
-        labels = labels.withColumn("label_value", F.lit(None).cast("string"))
-    valued = F.when(F.col("label_value").isNotNull(), F.struct("label_type", "label_value"))
-    per_node = (labels.select("page_id", "pos", "label_type", "label_value").repartition("page_id").groupBy("page_id", "pos")
+    per_node = (_with_values(labels).select("page_id", "pos", "label_type", "label_value").repartition("page_id").groupBy("page_id", "pos")
                 .agg(F.array_sort(F.collect_set("label_type")).alias("label_types"),
-                     F.array_sort(F.collect_set(valued)).alias("label_values")))
+                     F.array_sort(F.collect_set(_valued())).alias("label_values")))
     return nodes.repartition("page_id").join(per_node, ["page_id", "pos"], "left")
 
 
-def prune(nodes: DataFrame) -> DataFrame:
-    """Nodes that stay, from nodes with ``label_types``.
+def _outline(nodes: DataFrame) -> list[Column]:
+    """What of a node decides about cutting: short columns only."""
+    return ["page_id", "pos", "end_pos", "kind", "tag", F.col("seq").isNotNull().alias("shown")]
+
+
+def labelled_outline(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``page_id, pos, end_pos, kind, tag, shown, label_types, label_values`` of every node, and of labels without one (null ``kind``).
+
+    Nodes and labels are united and put together by position: one exchange of short rows.
+    """
+    of_node = nodes.select(*_outline(nodes), F.lit(None).cast("string").alias("label_type"), F.lit(None).cast("string").alias("label_value"))
+    of_label = _with_values(labels).select("page_id", "pos", *[F.lit(None).cast(t).alias(c) for c, t in (
+        ("end_pos", "int"), ("kind", "string"), ("tag", "string"), ("shown", "boolean"))], "label_type", "label_value")
+    types = F.array_sort(F.collect_set("label_type"))
+    return of_node.union(of_label).repartition("page_id").groupBy("page_id", "pos").agg(
+        *[F.max(c).alias(c) for c in ("end_pos", "kind", "tag", "shown")],
+        F.when(F.size(types) > 0, types).alias("label_types"), F.array_sort(F.collect_set(_valued())).alias("label_values"))
+
+
+def with_gone(rows: DataFrame) -> DataFrame:
+    """Rows with ``gone``, from rows with ``label_types``.
 
     A node is *free* when neither it nor anything above or below it is labelled.  The outermost
     free nodes of the body are where the page is cut: a structural one stays whole, any other
@@ -41,35 +67,66 @@ def prune(nodes: DataFrame) -> DataFrame:
     stays as it is.
     """
     labelled = F.col("label_types").isNotNull()
-    solid = (F.col("kind") == "E") | F.col("seq").isNotNull()
+    solid = (F.col("kind") == "E") | F.col("shown")
     body = F.min(F.when((F.col("kind") == "E") & (F.col("tag") == "body"), F.struct("pos", "end_pos"))).over(_page())
-    rows = (nodes.withColumn("body", body)
+    rows = (rows.withColumn("body", body)
             .withColumn("in_body", F.coalesce(F.col("pos").between(F.col("body.pos"), F.col("body.end_pos")), F.lit(False)))
             .withColumn("below", inside(labelled & F.col("in_body")))
             .withColumn("above", holds(labelled))
-            .withColumn("free", F.col("in_body") & solid & ~labelled & ~F.col("below") & ~F.col("above"))
+            .withColumn("free", F.col("in_body") & F.coalesce(solid, F.lit(False)) & ~labelled & ~F.col("below") & ~F.col("above"))
             .withColumn("cut", F.col("free") & ~inside(F.col("free"))))
-    goes = F.col("cut") & ~((F.col("kind") == "E") & is_structural(F.col("tag")))
-    return (rows.withColumn("gone", goes | inside(goes)).where("not gone")
-            .drop("body", "in_body", "below", "above", "free", "cut", "gone"))
+    goes = F.col("cut") & ~((F.col("kind") == "E") & F.coalesce(is_structural(F.col("tag")), F.lit(False)))
+    return (rows.withColumn("gone", goes | inside(goes)).drop("body", "in_body", "below", "above", "free", "cut"))
+
+
+def prune(nodes: DataFrame) -> DataFrame:
+    """Nodes that stay, from nodes with ``label_types``; see :func:`with_gone`."""
+    outline = with_gone(nodes.select(*_outline(nodes), "label_types"))
+    return nodes.join(outline.where("gone").select("page_id", "pos"), ["page_id", "pos"], "left_anti").select(*nodes.columns)
+
+
+def _digest(of: Column) -> Column:
+    """Number, sum and exclusive-or of hashed labels, those of rows that meet ``of``: equal for equal sets of labels in any order."""
+    hashes = F.when(of, F.transform("label_types", lambda t: F.xxhash64("pos", t)))
+    total = F.aggregate(hashes, F.lit(0).cast("long"), lambda s, h: s + F.shiftrightunsigned(h, 24))
+    mixed = F.aggregate(hashes, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(h))
+    none = F.lit(0).cast("long")
+    return F.struct(F.coalesce(F.sum(F.when(hashes.isNotNull(), F.size(hashes))), none).alias("n"),
+                    F.coalesce(F.sum(total), none).alias("total"), F.coalesce(F.bit_xor(mixed), none).alias("mixed"))
+
+
+def cuts(outline: DataFrame, mark: bool = False) -> DataFrame:
+    """``page_id, first, stays, labels_kept``: one row per page, from :func:`labelled_outline`.
+
+    ``stays`` has an entry for each position from ``first`` on: whether the node stays, or with ``mark`` a struct of that
+    and its labels.  ``labels_kept`` compares the digest of all labels with that of the labels on nodes that stay.
+    """
+    is_node, pos = F.col("kind").isNotNull(), F.col("pos")
+    entry = F.struct((~F.col("gone")).alias("stay"), "label_types", "label_values") if mark else ~F.col("gone")
+    before = F.last(F.when(is_node, pos), ignorenulls=True).over(earlier())
+    gap = F.array_repeat(F.when(F.lit(False), entry), F.coalesce(pos - before - 1, F.lit(0)))  # numbers without a node
+    rows = with_gone(outline).withColumn("entries", F.when(is_node, F.concat(gap, F.array(entry))))
+    listed = F.array_sort(F.collect_list(F.when(is_node, F.struct("pos", "entries"))))
+    pages = rows.groupBy("page_id").agg(F.min(F.when(is_node, pos)).alias("first"), listed.alias("listed"),
+                                        _digest(F.lit(True)).alias("all_labels"), _digest(is_node & ~F.col("gone")).alias("kept_labels"))
+    return pages.select("page_id", "first", F.flatten(F.col("listed.entries")).alias("stays"),
+                        (F.col("all_labels") == F.col("kept_labels")).alias("labels_kept"))
 
 
 def lost_labels(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Labels on one side only, as ``(page_id, pos, label_type, side)``."""
+    """Labels on one side only, as ``(page_id, pos, label_type, side)``; only pages whose digests differ are compared."""
+    wrong = verify_prune(before, after).where("not labels_kept").select("page_id")
     columns = ["page_id", "pos", "label_type"]
-    left, right = (f.select("page_id", "pos", F.explode("label_types").alias("label_type")) for f in (before, after))
+    left, right = (f.join(wrong, "page_id", "left_semi").select("page_id", "pos", F.explode("label_types").alias("label_type")) for f in (before, after))
     return (left.exceptAll(right).select(*columns, F.lit("lost").alias("side"))
             .unionByName(right.exceptAll(left).select(*columns, F.lit("new").alias("side"))))
 
 
 def verify_prune(before: DataFrame, after: DataFrame) -> DataFrame:
-    """``(page_id, labels_kept)``: does every label of the page survive, and no other appear?"""
-    def side(frame: DataFrame, sign: int) -> DataFrame:
-        return frame.select("page_id", "pos", F.explode_outer("label_types").alias("label_type"), F.lit(sign).alias("sign"))
-    both = side(before, 1).unionByName(side(after, -1))
-    balance = both.groupBy("page_id", "pos", "label_type").agg(F.sum("sign").alias("balance"))
-    return balance.groupBy("page_id").agg(
-        F.bool_and(F.col("label_type").isNull() | (F.col("balance") == 0)).alias("labels_kept"))
+    """``(page_id, labels_kept)``: does every label of the page survive, and no other appear?  One short row per page and side is compared."""
+    old, new = (f.groupBy("page_id").agg(_digest(F.lit(True)).alias(name)) for f, name in ((before, "old"), (after, "new")))
+    same = F.col("old").eqNullSafe(F.col("new")) | (F.coalesce("old.n", F.lit(0)) + F.coalesce("new.n", F.lit(0)) == 0)
+    return old.join(new, "page_id", "full").select("page_id", same.alias("labels_kept"))
 
 
 def _escape(text: Column, quote: bool = False) -> Column:
@@ -82,41 +139,58 @@ def _escape(text: Column, quote: bool = False) -> Column:
         F.concat(F.lit('"'), F.replace(out, F.lit('"'), F.lit("&quot;")), F.lit('"')))
 
 
-def render_html(nodes: DataFrame, mark: bool = False) -> DataFrame:
-    """``(page_id, clean_html)`` from nodes.
+def render_html(nodes: DataFrame, cut: DataFrame | None = None, mark: bool = False) -> DataFrame:
+    """``(page_id, clean_html)`` from nodes, without those that do not stay by ``cut`` (see :func:`cuts`).
 
     Every element gives an opening and a closing chunk; sorting by (position, closing, depth)
     restores the nesting.  A closing chunk sorts after all that starts inside its interval, the
-    innermost first.  ``mark`` writes node numbers and labels as ``data-`` attributes, and a
+    innermost first.  ``mark`` writes node numbers and the labels in ``cut`` as ``data-`` attributes, and a
     label's value as ``data-<label>``.
     """
     element = F.col("kind") == "E"
     void = F.col("tag").isin(sorted(VOID_TAGS))
     entries = F.transform(F.map_entries("attrs"), lambda e: F.concat(
         F.lit(" "), e["key"], F.lit("="), _escape(e["value"], quote=True)))
-    marks = F.lit("")
-    if mark:
-        marks = F.concat(F.lit(' data-node="'), F.col("node_idx").cast("string"), F.lit('"'),
-                         F.coalesce(F.concat(F.lit(' data-label="'), F.array_join("label_types", " "), F.lit('"')), F.lit("")),
-                         F.coalesce(F.array_join(F.transform("label_values", lambda v: F.concat(
-                             F.lit(" data-"), v["label_type"], F.lit("="), _escape(v["label_value"], quote=True))), ""), F.lit("")))
-    open_tag = F.concat(F.lit("<"), F.col("tag"), F.array_join(entries, ""), marks,
-                        F.when(void, F.lit("/>")).otherwise(F.lit(">")))
+    number = F.concat(F.lit(' data-node="'), F.col("node_idx").cast("string"), F.lit('"')) if mark else F.lit("")
+    head = F.concat(F.lit("<"), F.col("tag"), F.array_join(entries, ""), number)
+    tail = F.when(void, F.lit("/>")).otherwise(F.lit(">"))
     raw = F.col("owner.tag").isin("script", "style")
     words = F.when(raw, F.col("text")).otherwise(_escape(F.col("text")))
-    if mark:
-        words = F.when(F.col("seq").isNotNull() & (F.col("kind") == "T"), F.concat(
-            F.lit('<span data-seq="'), F.col("seq").cast("string"), F.lit('"'), marks, F.lit(">"), words,
-            F.lit("</span>"))).otherwise(words)
-    for kind, (head, tail) in _SPECIAL.items():
-        words = F.when(F.col("kind") == kind, F.concat(F.lit(head), F.col("text"), F.lit(tail))).otherwise(words)
+    for kind, (opens, closes) in _SPECIAL.items():
+        words = F.when(F.col("kind") == kind, F.concat(F.lit(opens), F.col("text"), F.lit(closes))).otherwise(words)
+    in_span = F.col("seq").isNotNull() & (F.col("kind") == "T") if mark else F.lit(False)
+    span = F.concat(F.lit('<span data-seq="'), F.col("seq").cast("string"), F.lit('"'), number)
+
+    def chunk(at: Column, closing: int, *text: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(closing).alias("closing"), (-F.col("pos")).alias("inner"),
+                        *[t.cast("string").alias(n) for n, t in zip(("chunk", "after_labels"), text)])
+
+    if mark:  # labels go in between
+        opening = chunk(F.col("pos"), 0, F.when(element, head).when(in_span, span).otherwise(words),
+                        F.when(element, tail).when(in_span, F.concat(F.lit(">"), words, F.lit("</span>"))))
+    else:
+        opening = chunk(F.col("pos"), 0, F.when(element, F.concat(head, tail)).otherwise(words))
+    closing = chunk(F.col("end_pos"), 1, F.concat(F.lit("</"), F.col("tag"), F.lit(">")), *[F.lit(None)] * mark)
+    chunks = F.when(element & ~void, F.array(opening, closing)).otherwise(F.array(opening))
+    pages = (nodes.where("kind <> 'R'").select("page_id", F.inline(chunks)).groupBy("page_id")
+             .agg(F.array_sort(F.collect_list(F.struct("at", "closing", "inner", "chunk", *["after_labels"] * mark))).alias("chunks")))
+    if cut is None:
+        return pages.select("page_id", F.array_join(F.col("chunks.chunk"), "").alias("clean_html"))
 
-    def chunk(at: Column, closing: int, text: Column) -> Column:
-        return F.struct(at.alias("at"), F.lit(closing).alias("closing"), (-F.col("pos")).alias("inner"), text.alias("chunk"))
+    def entry(c: Column) -> Column:
+        return F.get("stays", -c["inner"] - F.col("first"))
 
-    opening = chunk(F.col("pos"), 0, F.when(element, open_tag).otherwise(words))
-    closing = chunk(F.col("end_pos"), 1, F.concat(F.lit("</"), F.col("tag"), F.lit(">")))
-    chunks = F.when(element & ~void, F.array(opening, closing)).otherwise(F.array(opening))
-    return (nodes.where("kind <> 'R'").select("page_id", F.inline(chunks)).groupBy("page_id")
-            .agg(F.array_sort(F.collect_list(F.struct("at", "closing", "inner", "chunk"))).alias("chunks"))
-            .select("page_id", F.array_join(F.col("chunks.chunk"), "").alias("clean_html")))
+    kept = F.filter("chunks", lambda c: F.coalesce(entry(c)["stay"] if mark else entry(c), F.lit(False)))
+    if mark:
+        kept = F.transform(kept, lambda c: F.when(c["after_labels"].isNull(), c["chunk"]).otherwise(
+            F.concat(c["chunk"], _label_attributes(entry(c)), c["after_labels"])))
+    else:
+        kept = F.transform(kept, lambda c: c["chunk"])
+    return pages.join(cut, "page_id").select("page_id", F.array_join(kept, "").alias("clean_html"))
+
+
+def _label_attributes(entry: Column) -> Column:
+    values = F.transform(entry["label_values"], lambda v: F.concat(
+        F.lit(" data-"), v["label_type"], F.lit("="), _escape(v["label_value"], quote=True)))
+    return F.concat(F.coalesce(F.concat(F.lit(' data-label="'), F.array_join(entry["label_types"], " "), F.lit('"')), F.lit("")),
+                    F.coalesce(F.array_join(values, ""), F.lit("")))

@@ -71,12 +71,12 @@ def kept_nodes(nodes: DataFrame, found: DataFrame) -> DataFrame:
 
 def clean_html(nodes: DataFrame, found: DataFrame, mark: bool = False) -> DataFrame:
     """``(page_id, clean_html)`` after pruning; ``mark`` keeps the labels in the markup."""
-    return prune.render_html(kept_nodes(nodes, found), mark)
+    return prune.render_html(nodes, prune.cuts(prune.labelled_outline(nodes, found), mark), mark)
 
 
 def check_prune(nodes: DataFrame, found: DataFrame) -> DataFrame:
-    before = prune.label_nodes(nodes, found)
-    return prune.verify_prune(before, prune.prune(before))
+    """``(page_id, labels_kept)`` by the digests that the pruning pass carries; a label on no node at all is a lost one."""
+    return prune.cuts(prune.labelled_outline(nodes, found)).select("page_id", "labels_kept")
 
 
 def write_clean_html(clean: DataFrame, path: str) -> None:
