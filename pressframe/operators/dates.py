@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressframe.functions.dates import PUBLICATION_WORDS, has_text_date, text_dates
@@ -11,8 +13,12 @@ from pressframe.operators.tree import inside
 POINTS = 5
 
 
+def _holds_word(low: Column) -> Column:
+    return reduce(Column.__or__, [F.contains(low, F.lit(word)) for word in PUBLICATION_WORDS])
+
+
 def _says_published(text: Column) -> Column:
-    return F.lower(text).rlike("|".join(PUBLICATION_WORDS))
+    return _holds_word(F.lower(text))
 
 
 def dated_texts(nodes: DataFrame) -> DataFrame:
@@ -28,22 +34,22 @@ def dated_texts(nodes: DataFrame) -> DataFrame:
 
 
 def _ends_of_words(pieces: DataFrame) -> DataFrame:
-    """``ends``: for each piece of page text, where the first publication word that starts in it or after it at once ends.
+    """``page_id, pos, ends``: for each piece of page text, where the first publication word that starts in it or after it at once ends.
 
     A word may run over several pieces, at most one for each of its characters; so a piece is read together with the
-    beginnings of as many pieces after it.
+    beginnings of as many pieces after it.  Of the texts only their ends enter the window.
     """
     longest = max(map(len, PUBLICATION_WORDS))
     in_order = Window.partitionBy("page_id").orderBy("pos")
-    following = [(F.substring(F.lead("low", k).over(in_order), 1, longest), F.lead("pos", k).over(in_order)) for k in range(1, longest)]
-    rows = pieces.withColumns({f"{name}_{k}": c for k, pair in enumerate(following, 1) for name, c in zip(("low", "pos"), pair)})
-    words = "|".join(PUBLICATION_WORDS)
-    so_far, steps = F.substring("low", -longest, longest), []
+    rows = pieces.select("page_id", "pos", _holds_word(F.col("low")).alias("own"), F.substring("low", 1, longest - 1).alias("head"),
+                         F.substring("low", 1 - longest, longest - 1).alias("tail"))
+    rows = rows.withColumns({f"{name}_{k}": F.lead(name, k).over(in_order) for k in range(1, longest) for name in ("head", "pos")})
+    so_far, steps = F.col("tail"), []
     for k in range(1, longest):
-        so_far = F.concat(so_far, F.coalesce(f"low_{k}", F.lit("")))
-        steps.append(F.when(so_far.rlike(words), F.col(f"pos_{k}")))
-    ends = F.when(F.col("low").rlike(words), F.col("pos")).when(so_far.rlike(words), F.coalesce(*steps))
-    return rows.select(*pieces.columns, ends.alias("ends"))
+        so_far = F.concat(so_far, F.coalesce(f"head_{k}", F.lit("")))
+        steps.append(F.when(_holds_word(so_far), F.col(f"pos_{k}")))
+    ends = F.when(F.col("own"), F.col("pos")).when(_holds_word(so_far), F.coalesce(*steps))
+    return rows.select("page_id", "pos", ends.alias("ends"))
 
 
 def near_publication_words(nodes: DataFrame, asking: DataFrame) -> DataFrame:
@@ -55,7 +61,7 @@ def near_publication_words(nodes: DataFrame, asking: DataFrame) -> DataFrame:
     """
     pieces = nodes.where("kind = 'T'").select("page_id", "pos", F.lower("text").alias("low"))
     pieces = _ends_of_words(pieces.join(asking.select("page_id").distinct(), "page_id", "left_semi"))
-    rows = pieces.drop("low").join(asking, ["page_id", "pos"], "left")
+    rows = pieces.join(asking, ["page_id", "pos"], "left")
     piece = F.struct(F.col("pos").alias("at"), F.col("ends").alias("ends"), F.lit(None).cast("int").alias("asks"))
     question = F.struct(F.col("parent").alias("at"), F.lit(None).cast("int").alias("ends"), F.col("pos").alias("asks"))
     events = rows.select("page_id", "parent_end", F.inline(F.when(F.col("parent").isNotNull(), F.array(piece, question)).otherwise(F.array(piece))))

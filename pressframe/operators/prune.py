@@ -39,78 +39,82 @@ def label_nodes(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     return nodes.repartition("page_id").join(per_node, ["page_id", "pos"], "left")
 
 
-def _outline(nodes: DataFrame) -> list[Column]:
-    """What of a node decides about cutting: short columns only."""
-    return ["page_id", "pos", "end_pos", "kind", "tag", F.col("seq").isNotNull().alias("shown")]
+# What of a node decides about cutting, as bits of one number.
+ELEMENT, SHOWN, STRUCTURAL, BODY = 1, 2, 4, 8
 
 
-def labelled_outline(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """``page_id, pos, end_pos, kind, tag, shown, label_types, label_values`` of every node, and of labels without one (null ``kind``).
+def _traits() -> Column:
+    element, tag = F.col("kind") == "E", F.col("tag")
+    bits = {ELEMENT: element, SHOWN: F.col("seq").isNotNull(), STRUCTURAL: element & is_structural(tag), BODY: element & (tag == "body")}
+    return sum([F.when(test, bit).otherwise(0) for bit, test in bits.items()], F.lit(0))
 
-    Nodes and labels are united and put together by position: one exchange of short rows.
+
+def _has(bit: int) -> Column:
+    return F.col("traits").bitwiseAND(bit) != 0
+
+
+def labelled_outline(nodes: DataFrame, labels: DataFrame, mark: bool = False) -> DataFrame:
+    """``page_id, pos, end_pos, traits, n, total, mixed`` of every node, and of labels without one (null ``end_pos``).
+
+    ``n, total, mixed`` are the number, sum and exclusive-or of the node's hashed labels.  Nodes and labels are united and put together
+    by position: one exchange of short numbers.  With ``mark`` also ``label_types`` and ``label_values``.
     """
-    of_node = nodes.select(*_outline(nodes), F.lit(None).cast("string").alias("label_type"), F.lit(None).cast("string").alias("label_value"))
-    of_label = _with_values(labels).select("page_id", "pos", *[F.lit(None).cast(t).alias(c) for c, t in (
-        ("end_pos", "int"), ("kind", "string"), ("tag", "string"), ("shown", "boolean"))], "label_type", "label_value")
+    texts = ["label_type", "label_value"] if mark else []
+    h = F.xxhash64("pos", "label_type")
+    of_node = nodes.select("page_id", "pos", "end_pos", _traits().alias("traits"), F.lit(None).cast("long").alias("h"), *[F.lit(None).cast("string").alias(c) for c in texts])
+    of_label = _with_values(labels).select("page_id", "pos", *[F.lit(None).cast("int").alias(c) for c in ("end_pos", "traits")], h.alias("h"), *texts)
     types = F.array_sort(F.collect_set("label_type"))
+    lists = [F.when(F.size(types) > 0, types).alias("label_types"), F.array_sort(F.collect_set(_valued())).alias("label_values")] if mark else []
     return of_node.union(of_label).repartition("page_id").groupBy("page_id", "pos").agg(
-        *[F.max(c).alias(c) for c in ("end_pos", "kind", "tag", "shown")],
-        F.when(F.size(types) > 0, types).alias("label_types"), F.array_sort(F.collect_set(_valued())).alias("label_values"))
+        F.max("end_pos").alias("end_pos"), F.max("traits").alias("traits"), *_digest(F.col("h")), *lists)
 
 
-def with_gone(rows: DataFrame) -> DataFrame:
-    """Rows with ``gone``, from rows with ``label_types``.
+def _digest(h: Column) -> list[Column]:
+    """Number, sum and exclusive-or of hashes: equal for equal labels in any order."""
+    none = F.lit(0).cast("long")
+    return [F.count(h).alias("n"), F.coalesce(F.sum(F.shiftrightunsigned(h, 24)), none).alias("total"), F.coalesce(F.bit_xor(h), none).alias("mixed")]
+
+
+def with_gone(rows: DataFrame, labelled: Column) -> DataFrame:
+    """Rows with ``gone``, from rows with ``traits``.
 
     A node is *free* when neither it nor anything above or below it is labelled.  The outermost
     free nodes of the body are where the page is cut: a structural one stays whole, any other
     goes with its subtree.  A body without labels is itself free and structural, so that page
     stays as it is.
     """
-    labelled = F.col("label_types").isNotNull()
-    solid = (F.col("kind") == "E") | F.col("shown")
-    body = F.min(F.when((F.col("kind") == "E") & (F.col("tag") == "body"), F.struct("pos", "end_pos"))).over(_page())
-    rows = (rows.withColumn("body", body)
-            .withColumn("in_body", F.coalesce(F.col("pos").between(F.col("body.pos"), F.col("body.end_pos")), F.lit(False)))
+    body = F.first(F.when(_has(BODY), F.struct("pos", "end_pos")), ignorenulls=True).over(earlier())
+    rows = rows.withColumn("above", holds(labelled)).withColumn("body", body)
+    is_body = F.col("body").isNull() & _has(BODY)
+    rows = (rows.withColumn("in_body", F.coalesce(is_body | (F.col("pos") <= F.col("body.end_pos")), F.lit(False)))
             .withColumn("below", inside(labelled & F.col("in_body")))
-            .withColumn("above", holds(labelled))
-            .withColumn("free", F.col("in_body") & F.coalesce(solid, F.lit(False)) & ~labelled & ~F.col("below") & ~F.col("above"))
+            .withColumn("free", F.coalesce(F.col("in_body") & (_has(ELEMENT) | _has(SHOWN)) & ~labelled & ~F.col("below") & ~F.col("above"), F.lit(False)))
             .withColumn("cut", F.col("free") & ~inside(F.col("free"))))
-    goes = F.col("cut") & ~((F.col("kind") == "E") & F.coalesce(is_structural(F.col("tag")), F.lit(False)))
-    return (rows.withColumn("gone", goes | inside(goes)).drop("body", "in_body", "below", "above", "free", "cut"))
+    goes = F.col("cut") & ~_has(STRUCTURAL)
+    return rows.withColumn("gone", goes | inside(goes)).drop("above", "body", "in_body", "below", "free", "cut")
 
 
 def prune(nodes: DataFrame) -> DataFrame:
     """Nodes that stay, from nodes with ``label_types``; see :func:`with_gone`."""
-    outline = with_gone(nodes.select(*_outline(nodes), "label_types"))
-    return nodes.join(outline.where("gone").select("page_id", "pos"), ["page_id", "pos"], "left_anti").select(*nodes.columns)
-
-
-def _digest(of: Column) -> Column:
-    """Number, sum and exclusive-or of hashed labels, those of rows that meet ``of``: equal for equal sets of labels in any order."""
-    hashes = F.when(of, F.transform("label_types", lambda t: F.xxhash64("pos", t)))
-    total = F.aggregate(hashes, F.lit(0).cast("long"), lambda s, h: s + F.shiftrightunsigned(h, 24))
-    mixed = F.aggregate(hashes, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(h))
-    none = F.lit(0).cast("long")
-    return F.struct(F.coalesce(F.sum(F.when(hashes.isNotNull(), F.size(hashes))), none).alias("n"),
-                    F.coalesce(F.sum(total), none).alias("total"), F.coalesce(F.bit_xor(mixed), none).alias("mixed"))
+    outline = nodes.select("page_id", "pos", "end_pos", _traits().alias("traits"), F.col("label_types").isNotNull().alias("labelled"))
+    gone = with_gone(outline, F.col("labelled")).where("gone").select("page_id", "pos")
+    return nodes.join(gone, ["page_id", "pos"], "left_anti").select(*nodes.columns)
 
 
 def cuts(outline: DataFrame, mark: bool = False) -> DataFrame:
-    """``page_id, first, stays, labels_kept``: one row per page, from :func:`labelled_outline`.
+    """``page_id, stays, labels_kept``: one row per page, from :func:`labelled_outline`.
 
-    ``stays`` has an entry for each position from ``first`` on: whether the node stays, or with ``mark`` a struct of that
-    and its labels.  ``labels_kept`` compares the digest of all labels with that of the labels on nodes that stay.
+    ``stays`` lists the positions in order, each as twice the number and one if the node stays; with ``mark`` they are structs
+    of that and the labels.  ``labels_kept`` compares the digest of all labels with that of the labels on nodes that stay.
     """
-    is_node, pos = F.col("kind").isNotNull(), F.col("pos")
-    entry = F.struct((~F.col("gone")).alias("stay"), "label_types", "label_values") if mark else ~F.col("gone")
-    before = F.last(F.when(is_node, pos), ignorenulls=True).over(earlier())
-    gap = F.array_repeat(F.when(F.lit(False), entry), F.coalesce(pos - before - 1, F.lit(0)))  # numbers without a node
-    rows = with_gone(outline).withColumn("entries", F.when(is_node, F.concat(gap, F.array(entry))))
-    listed = F.array_sort(F.collect_list(F.when(is_node, F.struct("pos", "entries"))))
-    pages = rows.groupBy("page_id").agg(F.min(F.when(is_node, pos)).alias("first"), listed.alias("listed"),
-                                        _digest(F.lit(True)).alias("all_labels"), _digest(is_node & ~F.col("gone")).alias("kept_labels"))
-    return pages.select("page_id", "first", F.flatten(F.col("listed.entries")).alias("stays"),
-                        (F.col("all_labels") == F.col("kept_labels")).alias("labels_kept"))
+    is_node, kept = F.col("end_pos").isNotNull(), F.col("end_pos").isNotNull() & ~F.col("gone")
+    code = F.col("pos").cast("long") * 2 + F.when(F.col("gone"), 0).otherwise(1)
+    entry = F.struct(code.alias("code"), "label_types", "label_values") if mark else code
+    sums = [F.sum(F.col(c)).alias(f"all_{c}") for c in ("n", "total")] + [F.sum(F.when(kept, F.col(c))).alias(f"kept_{c}") for c in ("n", "total")]
+    mixed = [F.bit_xor("mixed").alias("all_mixed"), F.bit_xor(F.when(kept, F.col("mixed"))).alias("kept_mixed")]
+    pages = with_gone(outline, F.col("n") > 0).groupBy("page_id").agg(F.array_sort(F.collect_list(F.when(is_node, entry))).alias("stays"), *sums, *mixed)
+    same = [F.col(f"all_{c}") == F.coalesce(f"kept_{c}", F.lit(0)) for c in ("n", "total", "mixed")]
+    return pages.select("page_id", "stays", (same[0] & same[1] & same[2]).alias("labels_kept"))
 
 
 def lost_labels(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -124,9 +128,15 @@ def lost_labels(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def verify_prune(before: DataFrame, after: DataFrame) -> DataFrame:
     """``(page_id, labels_kept)``: does every label of the page survive, and no other appear?  One short row per page and side is compared."""
-    old, new = (f.groupBy("page_id").agg(_digest(F.lit(True)).alias(name)) for f, name in ((before, "old"), (after, "new")))
+    sums = ["n", "total", "mixed"]
+
+    def side(frame: DataFrame, name: str) -> DataFrame:
+        rows = frame.select("page_id", "pos", F.explode_outer("label_types").alias("label_type"))
+        h = F.when(F.col("label_type").isNotNull(), F.xxhash64("pos", "label_type"))
+        return rows.groupBy("page_id").agg(*_digest(h)).select("page_id", F.struct(*sums).alias(name))
+
     same = F.col("old").eqNullSafe(F.col("new")) | (F.coalesce("old.n", F.lit(0)) + F.coalesce("new.n", F.lit(0)) == 0)
-    return old.join(new, "page_id", "full").select("page_id", same.alias("labels_kept"))
+    return side(before, "old").join(side(after, "new"), "page_id", "full").select("page_id", same.alias("labels_kept"))
 
 
 def _escape(text: Column, quote: bool = False) -> Column:
@@ -177,13 +187,25 @@ def render_html(nodes: DataFrame, cut: DataFrame | None = None, mark: bool = Fal
     if cut is None:
         return pages.select("page_id", F.array_join(F.col("chunks.chunk"), "").alias("clean_html"))
 
+    first = F.col("stays")[0]["code"] if mark else F.col("stays")[0]
+
     def entry(c: Column) -> Column:
-        return F.get("stays", -c["inner"] - F.col("first"))
+        return F.get("stays", -c["inner"] - F.shiftright(first, 1).cast("int"))
+
+    def stays(c: Column) -> Column:
+        """By the place its number should have; where numbers are missing, by search."""
+        wanted, found = -c["inner"].cast("long") * 2, entry(c)["code"] if mark else entry(c)
+        return F.when(F.shiftright(found, 1) == -c["inner"], found == wanted + 1).otherwise(
+            F.exists("stays", lambda x: (x["code"] if mark else x) == wanted + 1))
 
-    kept = F.filter("chunks", lambda c: F.coalesce(entry(c)["stay"] if mark else entry(c), F.lit(False)))
+    kept = F.filter("chunks", stays)
     if mark:
+        def labels(c: Column) -> Column:
+            return F.when(F.shiftright(entry(c)["code"], 1) == -c["inner"], entry(c)).otherwise(
+                F.get(F.filter("stays", lambda x: F.shiftright(x["code"], 1) == -c["inner"]), 0))
+
         kept = F.transform(kept, lambda c: F.when(c["after_labels"].isNull(), c["chunk"]).otherwise(
-            F.concat(c["chunk"], _label_attributes(entry(c)), c["after_labels"])))
+            F.concat(c["chunk"], _label_attributes(labels(c)), c["after_labels"])))
     else:
         kept = F.transform(kept, lambda c: c["chunk"])
     return pages.join(cut, "page_id").select("page_id", F.array_join(kept, "").alias("clean_html"))

@@ -71,7 +71,7 @@ def kept_nodes(nodes: DataFrame, found: DataFrame) -> DataFrame:
 
 def clean_html(nodes: DataFrame, found: DataFrame, mark: bool = False) -> DataFrame:
     """``(page_id, clean_html)`` after pruning; ``mark`` keeps the labels in the markup."""
-    return prune.render_html(nodes, prune.cuts(prune.labelled_outline(nodes, found), mark), mark)
+    return prune.render_html(nodes, prune.cuts(prune.labelled_outline(nodes, found, mark), mark), mark)
 
 
 def check_prune(nodes: DataFrame, found: DataFrame) -> DataFrame:
