@@ -77,7 +77,8 @@ def row_keys() -> list[Column]:
 def without(docs: DataFrame, dropped: DataFrame, once: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, whose key is not in ``dropped(did, th)``; of rows with a key in ``once`` one stays.
 
-    Only rows that a fixed-size filter cannot rule out are exchanged, the others go straight through.
+    Which one follows from the rows, so reruns agree.  Only rows that a fixed-size filter cannot rule out are exchanged, the others go
+    straight through.
     """
     from .filters import bit_filter, passing_rows
 
@@ -88,5 +89,5 @@ def without(docs: DataFrame, dropped: DataFrame, once: DataFrame | None = None)
     marked = passing_rows(keyed.withColumn("key", F.xxhash64(*keys)), "key", wanted)
     near = marked.where("maybe").join(dropped.select(*keys).distinct(), keys, "left_anti")
     if once is not None:
-        near = near.dropDuplicates(keys)
+        near = near.groupBy(*keys).agg(F.min_by("row", F.to_json("row")).alias("row"))
     return marked.where("not maybe").select("row.*").union(near.select("row.*"))

@@ -11,11 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import Stages
 
-_BINS = 4096
+#: With more constraints than this the curvature is not solved on the driver but bounded by its diagonal.
+SOLVED_CONSTRAINTS = 1000
+#: Rates beyond exp of this mean that the targets contradict each other.
+_FAR = 200.0
 
 
 def word_count(text: Column) -> Column:
@@ -47,35 +51,68 @@ def weighted_targets(sources: DataFrame, weights: Sequence[float] = (5, 2, 1), m
     return rows.select("cell", F.col("source_size").cast("long").alias("source_size"), target.alias("target"))
 
 
-def balance(cells: DataFrame, targets: DataFrame, stages: Stages, tolerance: float = 1e-9, steps: int = 60) -> DataFrame:
+def _newton_move(member: DataFrame, at: DataFrame, lam: DataFrame) -> DataFrame:
+    """``constraint, held, move``: the Newton step with the whole curvature, tokens shared by each two constraints, solved on the driver."""
+    weighted = member.join(at.select("cell", "exponent"), "cell").withColumn("now", F.col("tokens") * F.exp("exponent"))
+    both = weighted.select("cell", "constraint", "now").join(member.select("cell", F.col("constraint").alias("other")), "cell")
+    shared = both.groupBy("constraint", "other").agg(F.sum("now").alias("now")).collect()
+    target = {r.constraint: r.target for r in lam.where("target > 0").select("constraint", "target").collect()}
+    held = {r.constraint: r.now for r in shared if r.constraint == r.other}
+    names = [c for c in sorted(held) if c in target]
+    place = {c: i for i, c in enumerate(names)}
+    curvature, gap = np.zeros((len(names), len(names))), np.array([target[c] - held[c] for c in names])
+    for r in shared:
+        if r.constraint in place and r.other in place:
+            curvature[place[r.constraint], place[r.other]] = r.now
+    move = np.linalg.lstsq(curvature, gap, rcond=1e-12)[0] if names else gap
+    # What no step can change: sums of targets that the cells tie together, such as all sources and all languages.
+    if np.abs(gap - curvature @ move).max(initial=0.0) > 1e-6 * max(target.values(), default=0.0):
+        raise ValueError("no rates meet all targets: they contradict each other")
+    move *= min(1.0, 2.0 / max(np.abs(move).max(initial=0.0), 1e-300))
+    rows = [(c, float(held[c]), float(move[place[c]]) if c in place else -2.0) for c in held]
+    return member.sparkSession.createDataFrame(rows, "constraint string, held double, move double")
+
+
+def balance(cells: DataFrame, targets: DataFrame, stages: Stages, tolerance: float = 1e-9, steps: int = 400) -> DataFrame:
     """Rates ``cell, rate`` that meet token targets.
 
     ``cells(cell, tokens, constraints)``: tokens of a cell and the array of constraint names it counts
     for.  ``targets(constraint, target)``.  The dual ``sum tokens * exp(sum of multipliers) - sum target *
-    multiplier`` is lowered by Newton steps whose curvature is the diagonal times the largest number of
-    constraints on a cell: the exact Newton step where constraints do not overlap, a safe bound where they do.
+    multiplier`` is lowered by Newton steps until every target is met.  Without overlap the curvature is its diagonal; where cells count
+    for several constraints, the whole curvature is summed in Spark and solved on the driver, up to ``SOLVED_CONSTRAINTS``; beyond,
+    the diagonal times the largest number of constraints on a cell bounds it.
     Constraints without tokens, and cells without constraints, keep rate 1; a target of 0 gives rate 0.
+    Raises ValueError when the targets cannot be met together, or not within ``steps``.
     """
     member = cells.where("tokens > 0").select("cell", "tokens", F.explode("constraints").alias("constraint"))
     overlap = cells.agg(F.max(F.size("constraints"))).first()[0] or 1
-    lam = stages.write(targets.select("constraint", "target", F.lit(0.0).alias("multiplier")), "multipliers-0")
+    solved = overlap > 1 and targets.count() <= SOLVED_CONSTRAINTS
+    # The multiplier of a zero target falls without end; its rate is 0 from the start.
+    lam = stages.write(targets.select("constraint", "target", F.when(F.col("target") > 0, 0.0).otherwise(-800.0).alias("multiplier")), "multipliers-0")
     for step in range(1, steps + 1):
-        # A multiplier of a zero target falls without end; the rate is cut to 0 below.
         at = member.join(lam, "constraint").groupBy("cell", "tokens").agg(F.sum("multiplier").alias("exponent"))
-        held = (member.select("cell", "constraint").join(at, "cell").groupBy("constraint")
-                .agg(F.sum(F.col("tokens") * F.exp("exponent")).alias("held")))
-        move = F.when(F.col("held") > 0, (F.col("target") / F.col("held") - 1) / overlap).otherwise(0.0)
-        move = F.least(F.greatest(move, F.lit(-2.0)), F.lit(2.0))
-        last, lam = lam, stages.write(
-            lam.join(held, "constraint", "left").select("constraint", "target", (F.col("multiplier") + move).alias("multiplier"),
-                                                        F.coalesce(F.abs(move), F.lit(0.0)).alias("moved")), f"multipliers-{step}")
+        if solved:
+            found = _newton_move(member, at, lam)
+        else:
+            held = (member.select("cell", "constraint").join(at, "cell").groupBy("constraint")
+                    .agg(F.sum(F.col("tokens") * F.exp("exponent")).alias("held")))
+            found = lam.join(held, "constraint").select(
+                "constraint", "held", F.when(F.col("held") > 0, (F.col("target") / F.col("held") - 1) / overlap).otherwise(0.0).alias("move"))
+            found = found.withColumn("move", F.least(F.greatest("move", F.lit(-2.0)), F.lit(2.0)))
+        counts = F.col("target") > 0
+        lam = stages.write(lam.join(found, "constraint", "left").select(
+            "constraint", "target", (F.col("multiplier") + F.when(counts, F.coalesce("move", F.lit(0.0))).otherwise(0.0)).alias("multiplier"),
+            F.when(counts, F.abs(F.coalesce(F.col("held") / F.col("target") - 1, F.lit(0.0)))).otherwise(0.0).alias("off")), f"multipliers-{step}")
         stages.drop(f"multipliers-{step - 1}")
-        moved = lam.where("target > 0").agg(F.max("moved")).first()[0] or 0.0
-        lam = lam.drop("moved")
-        if moved < tolerance:
+        state = lam.agg(F.max("off").alias("off"), F.max(F.when(F.col("target") > 0, F.abs("multiplier"))).alias("far")).first()
+        lam = lam.drop("off")
+        if (state.off or 0.0) < tolerance:
             break
-    exponent = F.sum(F.when(F.col("target") > 0, F.col("multiplier")).otherwise(F.lit(-800.0)))
-    rates = member.join(lam, "constraint").groupBy("cell").agg(F.exp(exponent).alias("rate"))
+        if state.far > _FAR:
+            raise ValueError("no rates meet all targets: they contradict each other")
+    else:
+        raise ValueError(f"targets are not met after {steps} steps; the worst is off by a share of {state.off:.2g}")
+    rates = member.join(lam, "constraint").groupBy("cell").agg(F.exp(F.sum("multiplier")).alias("rate"))
     return cells.select("cell").join(rates, "cell", "left").select("cell", F.coalesce("rate", F.lit(1.0)).alias("rate"))
 
 

@@ -36,3 +36,43 @@ def test_short_cut_sees_two_small_gains():
     scores = np.array([[0, 7, -20], [0, 7, -20], [0, -20, 7], [0, -20, 7]], float)
     path, _ = label_words(scores, np.zeros(4, int), 1, 20.0)
     assert path.tolist() == best_path(scores, 20.0).tolist() == [1, 1, 2, 2]
+
+
+def test_overlapping_constraints_are_met_or_refused(spark):
+    from pressframe.llm import mixing
+
+    cells = spark.createDataFrame([("a", 100.0, ["x", "p"]), ("b", 300.0, ["x", "q"]), ("c", 50.0, ["y", "p"]), ("d", 80.0, ["y", "q"]), ("e", 9.0, []), ("f", 0.0, ["x"])],
+                                  "cell string, tokens double, constraints array<string>")
+    tokens = {r.cell: r.tokens for r in cells.collect()}
+
+    def met(wanted, solved, tolerance=1e-6):
+        targets = spark.createDataFrame(list(wanted.items()), "constraint string, target double")
+        mixing.SOLVED_CONSTRAINTS, before = solved, mixing.SOLVED_CONSTRAINTS
+        try:
+            rate = {r.cell: r.rate for r in mixing.balance(cells, targets, Stages(spark, "overlap"), tolerance=tolerance).collect()}
+        finally:
+            mixing.SOLVED_CONSTRAINTS = before
+        return rate, {c: sum(tokens[r.cell] * rate[r.cell] for r in cells.collect() if c in r.constraints) for c in wanted}
+
+    wanted = {"x": 500.0, "y": 100.0, "p": 250.0, "q": 350.0}
+    rate, held = met(wanted, 1000)
+    assert all(abs(held[c] / wanted[c] - 1) < 1e-5 for c in wanted) and rate["e"] == 1.0
+    # An exponential tilt: the odds ratio of the four cells is what it was.
+    assert abs(rate["a"] * rate["d"] / rate["b"] / rate["c"] - 1) < 1e-4
+    bounded, _ = met({"x": 500.0, "y": 100.0}, 0, 1e-3)
+    assert abs(bounded["a"] - 1.25) < 2e-3 and abs(bounded["c"] - 100 / 130) < 2e-3
+    assert met({"x": 0.0, "y": 100.0}, 1000)[0]["a"] < 1e-300
+    with pytest.raises(ValueError):
+        met({"x": 500.0, "y": 100.0, "p": 250.0, "q": 3500.0}, 1000)
+
+
+def test_of_repeated_rows_always_the_same_one_stays(spark):
+    from pyspark.sql import functions as F
+
+    from pressframe.llm.common import row_keys, without
+
+    rows = [(1, "same text", f"lang{i}", f"src{i % 3}") for i in range(50)] + [(2, "other", "en", "src")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    once = docs.select(*row_keys()).groupBy("did", "th").count().where("count > 1")
+    found = {tuple(sorted(tuple(r) for r in without(docs.repartition(n).orderBy(F.rand(n)), once.where("false"), once=once).collect())) for n in (1, 3, 7)}
+    assert len(found) == 1 and len(next(iter(found))) == 2
