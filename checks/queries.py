@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from pressframe.functions import boilerplate as bp, urls
 from pressframe.functions.text import attr
 from pressframe.operators import content, dates, head, links, navigation, prune, tree
-from pressframe.plans import articles, discovery
-from pressframe.sources import pages as src
+from pressframe.plans import articles, discovery, increments
+from pressframe.sources import pages as src, runs
 from pressframe.sources.dom import flatten_dom
 
 QUERIES: dict = {}
@@ -672,3 +672,67 @@ def extraction_errors(spark, sf):
         "CASE WHEN page_id % 10 = 3 THEN NULL WHEN page_id % 10 = 4 THEN '<a href=\"#top\">x</a>' ELSE html END"))
     nodes = src.write_stage(flatten_dom(pages).select("page_id", "kind", "tag", "text", "attrs"), "errors")
     return src.page_errors(nodes, pages).unionByName(discovery.link_errors(pages, nodes))
+
+
+# Two increments of a crawl: every site's listing shows five of its eight stories, then five again; stories land in
+# between, the first of them twice, and one page in neither list.
+def _increment(first: int, stories: str) -> str:
+    site = "concat('https://n', c_custkey, '.example.com/news/')"
+    story = "concat('https://n', c_custkey, '.example.com/news/2024/acme-wins-deal-', j)"
+    link = "concat('<li><a href=\"/2024/acme-wins-deal-', j, '\">Deal ', j, '</a></li>')"
+    return f"""SELECT c_custkey * 100 + {first} AS page_id, {site} AS url,
+concat('<ul>', array_join(transform(sequence({first}, {first} + 4), j -> {link}), ''), '</ul>') AS html FROM customer UNION ALL
+SELECT c_custkey * 100 + 10 + j + {first} * 10 AS page_id, {story} AS url,
+concat('<head><meta property=\"og:title\" content=\"Deal ', j, ' of ', c_name, '\"/></head><body><article><p>It was won.</p></article></body>') AS html
+FROM (SELECT c_custkey, c_name, explode(array({stories})) AS j FROM customer)"""
+
+
+def two_increments(spark, sf):
+    """Both increments in a new state folder; the second one is broken off after its frontier, and repeated."""
+    import uuid
+
+    pages = [build.spread(build.rows(spark, sf, _increment(*p))) for p in ((0, "0, 1, 2, 9"), (3, "0, 3, 4, 5"))]
+    state = f"{src.work_folder(spark)}/state-{uuid.uuid4().hex}"
+    seeds = build.rows(spark, sf, "SELECT c_custkey AS site_id, concat('https://n', c_custkey, '.example.com/news/') AS base_url, 1 AS more FROM customer")
+    seeds.write.parquet(f"{state}/seeds")
+    seeds = src.read_seeds(spark, f"{state}/seeds")
+    increments.run_increment(state, "day-1", seeds, pages[0], html=False)
+    runs.write_run(build.rows(spark, sf, "SELECT 'https://half.example.com/' AS url, c_custkey AS site_id FROM customer"), f"{state}/frontier", "day-2", commit=False)
+    increments.run_increment(state, "day-2", seeds, pages[1], html=False)
+    increments.run_increment(state, "day-2", seeds, pages[1], html=False)
+    return state
+
+
+STORIES = "SELECT c_custkey, c_name, unnest(range(0, 8)) AS j FROM customer"
+
+
+@query("pipeline_articles", f"""SELECT CASE WHEN j < 3 THEN 'day-1' ELSE 'day-2' END AS run, c_custkey * 100 + 10 + j + CASE WHEN j < 3 THEN 0 ELSE 30 END AS page_id,
+'https://n' || CAST(c_custkey AS STRING) || '.example.com/news/2024/acme-wins-deal-' || CAST(j AS STRING) AS url, 'Deal ' || CAST(j AS STRING) || ' of ' || c_name AS title,
+CAST(1 AS BIGINT) AS n_content FROM ({STORIES}) WHERE j < 6""")
+def pipeline_articles(spark, sf):
+    return runs.read_runs(spark, f"{two_increments(spark, sf)}/records").select("run", "page_id", "url", "title", "n_content")
+
+
+@query("pipeline_open_links", f"""SELECT 'day-2' AS run, c_custkey AS site_id, 'https://n' || CAST(c_custkey AS STRING) || '.example.com/news/2024/acme-wins-deal-' || CAST(j AS STRING) AS url
+FROM ({STORIES}) WHERE j >= 6""")
+def pipeline_open_links(spark, sf):
+    return increments.open_links(spark, two_increments(spark, sf)).select("run", "site_id", "url")
+
+
+@query("committed_runs", """SELECT c_custkey AS page_id, CAST(j AS BIGINT) AS url_no, 'u' || CAST(c_custkey AS STRING) AS url, CASE WHEN c_custkey % 2 = 0 THEN 'a' ELSE 'b' END AS run,
+CASE WHEN c_custkey % 2 = 0 THEN 'before' ELSE 'after' END AS seen FROM (SELECT c_custkey, unnest(range(0, 2)) AS j FROM customer)""")
+def committed_runs(spark, sf):
+    """Two runs of links: the second fails half-way, is not seen, is repeated twice, and leaves the first alone."""
+    import uuid
+
+    links = build.rows(spark, sf, "SELECT c_custkey AS page_id, explode(sequence(0L, 1L)) AS url_no, concat('u', c_custkey) AS url FROM customer")
+    path = f"{build.src.work_folder(spark)}/links-{uuid.uuid4().hex}"
+    even, odd = links.where("page_id % 2 = 0"), links.where("page_id % 2 = 1")
+    discovery.write_links(even, path, buckets=8, run="a")
+    runs.write_run(odd.withColumn("bucket", F.lit(0).cast("long")).where("url_no = 0"), path, "b", partition_by=("bucket",), commit=False)
+    before = src.write_stage(runs.read_runs(spark, path).select("page_id", "url_no", "run"), "before")
+    for _ in range(2):
+        discovery.write_links(odd, path, buckets=8, run="b")
+    seen = before.withColumn("seen", F.lit("before"))
+    return (runs.read_runs(spark, path).join(seen, ["page_id", "url_no", "run"], "left")
+            .select("page_id", "url_no", "url", "run", F.coalesce("seen", F.lit("after")).alias("seen")))

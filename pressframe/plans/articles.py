@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pressframe.operators import content, dates, head, prune
 from pressframe.sources.pages import write_stage
+from pressframe.sources.runs import write_run
 
 
 def article_parts(nodes: DataFrame, as_of: Column | None = None) -> dict[str, DataFrame]:
@@ -79,7 +80,11 @@ def check_prune(nodes: DataFrame, found: DataFrame) -> DataFrame:
     return prune.cuts(prune.labelled_outline(nodes, found)).select("page_id", "labels_kept")
 
 
-def write_clean_html(clean: DataFrame, path: str) -> None:
-    """One parquet row per page; tasks write their own files.  What ``path`` held before is replaced, so a
-    run that failed can be repeated."""
-    clean.select("page_id", "clean_html").write.mode("overwrite").parquet(path)
+def write_clean_html(clean: DataFrame, path: str, run: str | None = None) -> None:
+    """One parquet row per page; tasks write their own files.  With ``run`` a committed run of the table (see ``read_runs``); without,
+    what ``path`` held before is replaced.  Either way a run that failed can be repeated."""
+    rows = clean.select("page_id", "clean_html")
+    if run is None:
+        rows.write.mode("overwrite").parquet(path)
+    else:
+        write_run(rows, path, run)

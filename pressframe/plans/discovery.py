@@ -8,6 +8,7 @@ from pressframe.operators import links
 from pressframe.operators.navigation import crawl_cut, load_more_controls, next_controls
 from pressframe.sources.dom import flatten_dom, link_rows
 from pressframe.sources.pages import write_stage
+from pressframe.sources.runs import write_run
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -94,17 +95,20 @@ def link_errors(pages: DataFrame, nodes: DataFrame) -> DataFrame:
             .select("page_id", "url", F.lit("links").alias("stage"), F.lit("no usable link").alias("error")))
 
 
-def write_links(found: DataFrame, path: str, buckets: int = 64, slices: int = 16) -> None:
+def write_links(found: DataFrame, path: str, buckets: int = 64, slices: int = 16, run: str | None = None) -> None:
     """Keep article links for the second stage, in folders by a hash of the page.
 
     Each folder is written by up to ``slices`` tasks, so its size does not rest on one of them; both
-    numbers follow the size of the crawl.  What ``path`` held before is replaced, so a run that failed can be repeated; give
-    each run a folder of its own.
+    numbers follow the size of the crawl.  With ``run`` the links become a committed run of the table (see ``read_runs``), which
+    can be repeated and leaves other runs alone; without, they replace what ``path`` held before.
     """
     slice_no = F.pmod(F.xxhash64("page_id", "url_no"), F.lit(slices))
-    (found.withColumn("bucket", F.pmod(F.xxhash64("page_id"), F.lit(buckets)))
-     .repartition(F.col("bucket"), slice_no).sortWithinPartitions("page_id", "url_no")
-     .write.mode("overwrite").partitionBy("bucket").parquet(path))
+    placed = (found.withColumn("bucket", F.pmod(F.xxhash64("page_id"), F.lit(buckets)))
+              .repartition(F.col("bucket"), slice_no).sortWithinPartitions("page_id", "url_no"))
+    if run is None:
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    else:
+        write_run(placed, path, run, partition_by=("bucket",))
 
 
 def fetched(found: DataFrame, pages: DataFrame) -> DataFrame:
