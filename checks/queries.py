@@ -462,7 +462,7 @@ def load_more_controls(spark, sf):
 FROM (SELECT page_id, url, CAST({NEXT_RULES}[next_case + 1] AS BIGINT) AS rule, {NEXT_HREFS}[next_case + 1] AS href FROM ({t.CONTROLS})) WHERE rule > 0""")
 def next_controls(spark, sf):
     pages = build.control_pages(spark, sf)
-    nodes = src.write_stage(flatten_dom(pages), "controls")
+    nodes = discovery.listing_nodes(pages)
     found = navigation.next_controls(nodes, pages.select("page_id", F.col("url").alias("base_url")))
     return found.select("page_id", *long("rule"), "href", "next_url")
 
@@ -494,8 +494,38 @@ CASE WHEN NOT ok.has_all THEN array_to_string(list_transform(range(1, ok.n_years
 false AS client_side FROM y LEFT JOIN ok USING (page_id)""")
 def nav_plan(spark, sf):
     pages = build.year_pages(spark, sf)
-    selectors = navigation.year_selectors(navigation.year_options(flatten_dom(pages)))
-    plan = navigation.nav_plan(pages, selectors, discovery.discover_groups(pages))
+    nodes = discovery.listing_nodes(pages)
+    selectors = navigation.year_selectors(navigation.year_options(nodes))
+    plan = navigation.nav_plan(pages, selectors, discovery.discover_groups(pages, nodes))
+    return plan.select("page_id", "mode", F.array_join("years", "|").alias("years"), "client_side")
+
+
+# Options with elements inside, closed or not, one of them split in two, one around a comment, and text of the select itself.
+NESTED_OPTIONS = """SELECT p_partkey AS page_id, p_partkey % 3 AS k, concat('<select>no year<option><span>2024</span></option>', CASE p_partkey % 3
+WHEN 0 THEN '<option value="all"><b>All</b> <i>Years</i>' WHEN 1 THEN 'between' ELSE '<option>20<!-- x --><em>19</em></option>2018' END,
+'<option><font>20<u>23</u></font><option> 2022 <small></small></select><p>2021</p>') AS html FROM part"""
+
+
+@query("nested_options", f"""SELECT page_id, CASE k WHEN 0 THEN '2024|All Years|2023|2022' WHEN 1 THEN '2024|2023|2022' ELSE '2024|2019|2023|2022' END AS options,
+k = 0 AS has_all FROM ({NESTED_OPTIONS})""")
+def nested_options(spark, sf):
+    nodes = discovery.listing_nodes(build.spread(build.rows(spark, sf, NESTED_OPTIONS)))
+    found = navigation.year_selectors(navigation.year_options(nodes))
+    return found.select("page_id", F.array_join("options", "|").alias("options"), "has_all")
+
+
+# Listings with their news list open, hidden in part, and hidden for the most part, below a year selector or none.
+LISTED = """SELECT p_partkey AS page_id, p_size % 6 AS n, p_partkey % 2 = 0 AS has_years, concat('https://l', p_partkey, '.example.com/') AS url, concat(
+IF(p_partkey % 2 = 0, '<select><option>2024<option>2023</select>', ''), '<ul>', array_join(transform(sequence(0, 4), j -> concat('<li',
+IF(j < p_size % 6, ' class="hidden"', ''), '><a href="/2024/p0/acme-wins-deal-', j, '">Deal ', j, '</a></li>')), ''), '</ul>') AS html FROM part"""
+
+
+@query("nav_plan_lists", """SELECT p_partkey AS page_id, CASE WHEN p_partkey % 2 = 0 THEN 'years' ELSE 'plain' END AS mode, CASE WHEN p_partkey % 2 = 0 THEN '2024|2023' END AS years,
+p_size % 6 > 3 AS client_side FROM part""")
+def nav_plan_lists(spark, sf):
+    pages = build.spread(build.rows(spark, sf, LISTED))
+    nodes = discovery.listing_nodes(pages)
+    plan = navigation.nav_plan(pages, navigation.year_selectors(navigation.year_options(nodes)), discovery.discover_groups(pages, nodes))
     return plan.select("page_id", "mode", F.array_join("years", "|").alias("years"), "client_side")
 
 

@@ -129,16 +129,23 @@ def next_controls(nodes: DataFrame, base: DataFrame | None = None) -> DataFrame:
 
 
 def year_options(nodes: DataFrame) -> DataFrame:
-    """Options with their select: ``(page_id, select_pos, pos, option_text, option_value)``."""
-    element = F.col("kind") == "E"
-    rows = nodes.where((element & F.col("tag").isin("select", "option"))
-                       | ((F.col("kind") == "T") & (F.col("owner.tag") == "option"))).select(
-        "page_id", "pos", "end_pos", "parent", "kind", "tag", "text", attr("value").alias("option_value"))
-    opened = F.last(F.when(F.col("tag") == "select", F.struct("pos", "end_pos")), ignorenulls=True).over(
-        Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
-    option = F.when(F.col("kind") == "T", F.col("parent")).otherwise(F.col("pos"))
-    placed = rows.withColumn("opened", opened).where("pos <= opened.end_pos and coalesce(tag, '') <> 'select'")
-    return (placed.groupBy("page_id", F.col("opened.pos").alias("select_pos"), option.alias("pos"))
+    """Options with their select: ``(page_id, select_pos, pos, option_text, option_value)``.
+
+    A text belongs to the last option opened before it, if that is still open, however deep it lies in there; an
+    option without an end tag ends where the next one starts.
+    """
+    element, words = F.col("kind") == "E", F.col("kind") == "T"
+    rows = nodes.where((element & F.col("tag").isin("select", "option")) | words).select(
+        "page_id", "pos", "end_pos", "kind", "tag", "text", attr("value").alias("option_value"))
+    before = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+
+    def last_opened(tag: str) -> Column:
+        return F.last(F.when(F.col("tag") == tag, F.struct("pos", "end_pos")), ignorenulls=True).over(before)
+
+    placed = rows.withColumns({"opened": last_opened("select"), "within": last_opened("option")}).where("pos <= opened.end_pos and coalesce(tag, '') <> 'select'")
+    option = F.when(F.col("tag") == "option", F.col("pos")).when(F.col("pos") <= F.col("within.end_pos"), F.col("within.pos"))
+    placed = placed.withColumn("option", option).where("option > opened.pos")
+    return (placed.groupBy("page_id", F.col("opened.pos").alias("select_pos"), F.col("option").alias("pos"))
             .agg(F.array_sort(F.collect_list(F.when(F.col("kind") == "T", F.struct("pos", "text")))).alias("pieces"),
                  F.max("option_value").alias("option_value"))
             .select("page_id", "select_pos", "pos", strip(F.array_join(F.col("pieces.text"), "")).alias("option_text"),

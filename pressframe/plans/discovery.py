@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressframe.operators import links
 from pressframe.operators.navigation import crawl_cut, load_more_controls, next_controls
-from pressframe.sources.dom import flatten_dom, link_rows
+from pressframe.sources.dom import flatten_dom, link_rows, listing_rows
 from pressframe.sources.pages import write_stage
 from pressframe.sources.runs import write_run
 
@@ -16,9 +16,17 @@ def page_links(pages: DataFrame) -> DataFrame:
     return links.anchors(flatten_dom(pages, keep=link_rows))
 
 
-def discover_groups(pages: DataFrame) -> DataFrame:
-    """The news list of each page, or no row."""
-    return links.news_groups(links.link_groups(page_links(pages)))
+def listing_nodes(pages: DataFrame) -> DataFrame:
+    """One walk over listing pages for all that is asked of them, written once: links, hiding elements, controls and options.
+
+    ``discover_groups``, ``load_more_controls``, ``next_controls`` and ``year_options`` branch over it.
+    """
+    return write_stage(flatten_dom(pages, keep_of_page=listing_rows), "listings")
+
+
+def discover_groups(pages: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """The news list of each page, or no row; from ``nodes`` where the pages have been read already."""
+    return links.news_groups(links.link_groups(page_links(pages) if nodes is None else links.anchors(nodes)))
 
 
 def discover_links(pages: DataFrame, base_url: str = "url", mode: str = "prefix") -> DataFrame:
@@ -63,11 +71,11 @@ def discover_crawl(crawl: DataFrame, max_pages: int | None = None, dedup: bool =
         rows = rows.withColumn("year_no", year_order())
     key = F.to_json(F.struct("site_id", "year_no", "year", "page_no", F.xxhash64("html").alias("version")), {"ignoreNullFields": "false"})
     pages = rows.withColumn("page_id", key)
-    found = discover_groups(pages).select("page_id", "urls", links.is_client_side().alias("client_side"))
+    nodes = listing_nodes(pages) if follow else None
+    found = discover_groups(pages, nodes).select("page_id", "urls", links.is_client_side().alias("client_side"))
     short = pages.select("page_id", "site_id", "base_url", "year", "year_no", "page_no").dropDuplicates(["page_id"])
     lists = short.join(found, "page_id", "left")
     if follow:
-        nodes = flatten_dom(pages)
         seen = load_more_controls(nodes).select("page_id").union(next_controls(nodes).select("page_id")).distinct()
         lists = lists.join(seen.withColumn("has_control", F.lit(True)), "page_id", "left").withColumn("has_control", F.coalesce("has_control", F.lit(False)))
     if options is not None:

@@ -70,7 +70,7 @@ _RAW_TAGS = ("script", "style")
 
 class _Node:
     __slots__ = ("pos", "end", "up", "depth", "idx", "seq", "own_no", "kind", "tag", "attrs", "text",
-                 "length", "strings", "text_at", "path", "size")
+                 "length", "strings", "text_at", "path", "size", "in_option")
 
     def __init__(self, pos, up, kind, tag=None, attrs=None, text=None):
         self.pos = self.end = pos
@@ -78,6 +78,7 @@ class _Node:
         self.kind, self.tag, self.attrs, self.text = kind, tag, attrs, text
         self.idx = self.seq = self.own_no = self.text_at = self.path = None
         self.length = self.strings = 0
+        self.in_option = False
 
 
 class _PageReader(HTMLParser):
@@ -230,6 +231,7 @@ class _PageReader(HTMLParser):
         node, parent = self._add(kind, text=text), self.stack[-1]
         if kind == "T":
             node.own_no, parent.strings = parent.strings, parent.strings + 1
+            node.in_option = bool(self.open_names.get("option"))
         if bare:
             node.idx, node.seq = self.next_idx, self.next_seq
             self.next_idx, self.next_seq = self.next_idx + 1, self.next_seq + 1
@@ -456,13 +458,35 @@ def link_rows(node: _Node) -> bool:
             or "hidden" in node.attrs.get("class", "").lower())
 
 
-def flatten_dom(pages: DataFrame, keep: Callable[[_Node], bool] | None = None) -> DataFrame:
+# Elements that page controls are made of, and those whose first own string names a control.
+CONTROL_TAGS = frozenset("a button div i li span select option".split())
+SPEAKING_TAGS = frozenset("a button div li span".split())
+
+
+def listing_rows(nodes: list[_Node]) -> list[_Node]:
+    """What listings are asked for, of the nodes of one page: links, what hides them, paging controls with two elements around icons,
+    and options with all their text."""
+    kept = set()
+    for n in nodes:
+        if n.kind == "E":
+            css = n.attrs.get("class", "")
+            if n.tag in CONTROL_TAGS or link_rows(n) or "aria-label" in n.attrs or "next" in css or "right" in css:
+                kept.add(n.pos)
+                if n.tag in ("span", "i"):
+                    kept.update(up.pos for up in (n.up, n.up.up) if up is not None)
+        elif n.kind == "R" or n.kind == "T" and (n.in_option or n.own_no == 0 and n.up.tag in SPEAKING_TAGS):
+            kept.add(n.pos)
+    return [n for n in nodes if n.pos in kept]
+
+
+def flatten_dom(pages: DataFrame, keep: Callable[[_Node], bool] | None = None,
+                keep_of_page: Callable[[list[_Node]], list[_Node]] | None = None) -> DataFrame:
     """``pages(page_id, html[, charset])`` to ``dom_nodes``.
 
     ``html`` is text or bytes.  Bytes are read in the character set :func:`decode_page` finds, ``charset`` being the one sent
     with the page; a text's bytes are UTF-8.  What does not fit becomes U+FFFD.
     ``keep`` is a row filter pushed into the stage: rows it rejects are never built, while
-    positions stay those of the whole page.  A page that cannot be read, from its first byte on, gives one row of kind
+    positions stay those of the whole page; ``keep_of_page`` is one that sees all nodes of a page at once.  A page that cannot be read, from its first byte on, gives one row of kind
     ``R`` with the reason in ``text``.
     """
     binary = pages.schema["html"].dataType.simpleString() == "binary"
@@ -481,6 +505,8 @@ def flatten_dom(pages: DataFrame, keep: Callable[[_Node], bool] | None = None) -
                     nodes = reader.read(decode_page(html, charset) if binary else html.decode("utf-8", "replace"))
                     if keep is not None:
                         nodes = [n for n in nodes if keep(n)]
+                    if keep_of_page is not None:
+                        nodes = keep_of_page(nodes)
                     for n in nodes:
                         n.size = _emitted(n)
                 except Exception as problem:  # noqa: BLE001 - a page never ends the job
