@@ -413,6 +413,32 @@ def article_tables(spark, sf):
     return cells.select("page_id", table_no, *long("row_no", "col_no"), "is_header", "text")
 
 
+@query("cell_labels", W + """SELECT page_id, 'table_header' AS label_type, CAST(1 AS BIGINT) AS n FROM parts WHERE k % 6 = 1 UNION ALL
+SELECT page_id, 'table_cell', CAST(k % 6 = 1 AS BIGINT) + CAST(NOT is_cut AS BIGINT) FROM parts WHERE k % 6 = 1 OR NOT is_cut""")
+def cell_labels(spark, sf):
+    rows = content.content_rows(flatten_dom(build.article_pages(spark, sf)))
+    return (content.content_labels(rows).where("label_type in ('table_header', 'table_cell')").groupBy("page_id", "label_type")
+            .agg(F.count("*").alias("n")))
+
+
+# A table with spans over rows and columns, spans that are no numbers, a span to the end, a nested table and a row left empty by spans.
+SPANNED = """SELECT p_partkey AS page_id, p_name, concat('<table><tr><td rowspan="2">', p_name, '</td><th colspan="2">b</th></tr>',
+'<tr><td>c</td><td>d<table><tr><td colspan="0">in</td><td rowspan=" 3x">side</td></tr><tr><td>low</td></tr></table></td></tr>',
+'<tr><td colspan="x">e</td><td rowspan="0">f</td><td>g</td></tr><tr></tr><tr><td>h</td><td>i</td></tr></table>') AS html FROM part"""
+GRID = [(1, 1, 1, 2, 1, "p_name"), (1, 1, 2, 1, 2, "'b'"), (1, 2, 2, 1, 1, "'c'"), (1, 2, 3, 1, 1, "'d'"), (1, 3, 1, 1, 1, "'e'"), (1, 3, 2, 0, 1, "'f'"), (1, 3, 3, 1, 1, "'g'"),
+        (1, 4, 1, 1, 1, "'h'"), (1, 4, 3, 1, 1, "'i'"), (2, 1, 1, 1, 1, "'in'"), (2, 1, 2, 3, 1, "'side'"), (2, 2, 1, 1, 1, "'low'")]
+
+
+@query("table_grid", "SELECT page_id, CAST(c[1] AS BIGINT) AS table_no, CAST(c[2] AS BIGINT) AS grid_row, CAST(c[3] AS BIGINT) AS grid_col, CAST(c[4] AS BIGINT) AS row_span, "
+       "CAST(c[5] AS BIGINT) AS col_span, text = 'b' AS is_header, text FROM (" + " UNION ALL ".join(
+           f"SELECT p_partkey AS page_id, [{', '.join(map(str, cell))}] AS c, {text} AS text FROM part" for *cell, text in GRID) + ")")
+def table_grid(spark, sf):
+    from pyspark.sql import Window
+    cells = content.table_grid(src.write_stage(flatten_dom(build.spread(build.rows(spark, sf, SPANNED))), "spans"))
+    table_no = F.dense_rank().over(Window.partitionBy("page_id").orderBy("table_pos")).cast("bigint").alias("table_no")
+    return cells.select("page_id", table_no, *long("grid_row", "grid_col", "row_span", "col_span"), "is_header", "text")
+
+
 @query("clean_html", W + f"SELECT page_id, {build.article_html(kept=True, prio='coalesce(prio, 0)')} AS clean_html FROM parts LEFT JOIN best USING (page_id)")
 def clean_html(spark, sf):
     nodes = article_nodes(spark, sf)

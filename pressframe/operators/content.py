@@ -5,12 +5,20 @@ One exchange by page, one sort by position; every rule below is a window over th
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from pressframe.functions.boilerplate import bold_test_breaks, boilerplate
 from pressframe.functions.text import attr, strip
 from pressframe.operators.tree import holds, inside
 
+# Ship the code of this module inside the task, so executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Class patterns of a content block, in order of preference; block tags that may
 # hold the content; tags under which no block counts; tags whose text is read.
 CONTENT_CLASSES = ["(article|post|entry).*content", "main-content", "story-content", "news-content"]
@@ -118,9 +126,61 @@ def failing_pages(rows: DataFrame) -> DataFrame:
 
 
 def table_cells(nodes: DataFrame) -> DataFrame:
-    """Tables as rows: ``(page_id, table_pos, row_no, col_no, is_header, text)``.
+    """Tables as rows: ``(page_id, table_pos, row_no, col_no, is_header, text)``, cells numbered as they stand in their row."""
+    return _numbered_cells(nodes).drop("cell_pos")
+
 
-    Each string belongs to its innermost open cell.  Numbering the cells that are open at a
+def table_grid(nodes: DataFrame) -> DataFrame:
+    """``(page_id, table_pos, grid_row, grid_col, row_span, col_span, is_header, text)``: cells where they stand in the grid.
+
+    A cell covers ``col_span`` columns of ``row_span`` rows and pushes later cells of those rows to the next free column.  That
+    depends on all rows above, so it is one fold over the cells in order, with the columns still covered as its state; a table is
+    part of one page, and no task holds more than a batch and that state.
+    """
+    spans = nodes.where((F.col("kind") == "E") & F.col("tag").isin(CELL_TAGS)).select(
+        "page_id", F.col("pos").alias("cell_pos"), *[_span(name, most).alias(column) for name, column, most in (("rowspan", "row_span", 65534), ("colspan", "col_span", 1000))])
+    cells = _numbered_cells(nodes).join(spans, ["page_id", "cell_pos"])
+    order = ["page_id", "table_pos", "row_no", "col_no"]
+    cells = cells.repartition("page_id").sortWithinPartitions(*order).select(*order, "row_span", "col_span", "is_header", "text")
+    key = nodes.schema["page_id"].dataType.simpleString()
+    return cells.mapInArrow(_placed, f"page_id {key}, table_pos int, grid_row int, grid_col int, row_span int, col_span int, is_header boolean, text string")
+
+
+def _span(name: str, most: int) -> Column:
+    """A span as browsers read it: leading digits, one if there are none or zero columns; zero rows mean all that follow."""
+    digits = F.nullif(F.regexp_extract(F.coalesce(attr(name), F.lit("")), r"^\s*\+?([0-9]{1,9})", 1), F.lit("")).cast("int")
+    least = 1 if name == "colspan" else 0
+    return F.least(F.greatest(F.coalesce(digits, F.lit(1)), F.lit(least)), F.lit(most))
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fold: ``covered`` has stretches of columns, ``(first, after, last row)``, that cells of earlier rows cover, ``fresh`` those of this row."""
+    table, row, column, seen, covered, fresh = None, None, 0, 0, [], []
+    for batch in batches:
+        columns = []
+        tables = zip(batch.column(0).cast(pa.binary()).to_pylist() if pa.types.is_string(batch.column(0).type) else batch.column(0).to_pylist(),
+                     batch.column(1).to_pylist())
+        for at, row_no, rows, width in zip(tables, *(batch.column(i).to_pylist() for i in (2, 4, 5))):
+            if at != table:
+                table, row, covered, fresh = at, None, [], []
+            if row_no != row:
+                covered = sorted(s for s in covered + fresh if s[2] >= row_no)
+                row, column, seen, fresh = row_no, 1, 0, []
+            while seen < len(covered) and covered[seen][0] <= column:
+                column, seen = max(column, covered[seen][1]), seen + 1
+            columns.append(column)
+            last = row_no + rows - 1 if rows else 1 << 30
+            if fresh and fresh[-1][1:] == (column, last):  # neighbours that end together are one stretch
+                fresh[-1] = (fresh[-1][0], column + width, last)
+            elif last > row_no:
+                fresh.append((column, column + width, last))
+            column += width
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(columns, pa.int32()), *batch.columns[4:]],
+                                         names=["page_id", "table_pos", "grid_row", "grid_col", "row_span", "col_span", "is_header", "text"])
+
+
+def _numbered_cells(nodes: DataFrame) -> DataFrame:
+    """Each string belongs to its innermost open cell.  Numbering the cells that are open at a
     position gives a level; on one level the last cell opened is the innermost.
     """
     pieces = (F.col("kind") == "T") & F.col("seq").isNotNull()
@@ -161,5 +221,5 @@ def table_cells(nodes: DataFrame) -> DataFrame:
     by_table = Window.partitionBy("page_id", "table_pos").orderBy("tr_pos")
     by_row = Window.partitionBy("page_id", "table_pos", "tr_pos").orderBy("cell_pos")
     joined = F.array_join(F.transform("pieces", lambda p: strip(p["text"])), "")
-    return cells.select("page_id", "table_pos", F.dense_rank().over(by_table).alias("row_no"),
+    return cells.select("page_id", "table_pos", "cell_pos", F.dense_rank().over(by_table).alias("row_no"),
                         F.row_number().over(by_row).alias("col_no"), "is_header", joined.alias("text"))
