@@ -17,7 +17,7 @@ from .quality import score_quality
 from .ranked_search import search
 from .repeats import remove_repeats
 from .secrets import scan_secrets
-from .sql import HOST_RULES, OP12_SQL, OP13_SQL, OP3_SQL
+from .sql import HOST_RULES, OP1_SQL, OP3_SQL, OP12_SQL, OP13_SQL
 from .token_lengths import token_lengths
 
 
@@ -136,6 +136,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_prefix_containment": OP1_SQL,
     "op3_host_reputation": OP3_SQL,
     "op12_ranked_search": OP12_SQL,
     "op13_filter_audit": OP13_SQL,

@@ -106,3 +106,20 @@ p AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM p WHERE score > 0)
 SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 20
 """
+
+#: Contamination: all runs of words of each window length, joined with the windows as text.
+OP1_SQL = r"""
+WITH b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+win AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS s FROM (
+  SELECT item_id, ws, least(len(ws), 13) AS n, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+d AS (SELECT row_number() OVER () AS nr, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents),
+g AS (SELECT nr, i, n, array_to_string(ws[i:i + n - 1], ' ') AS s FROM (
+  SELECT nr, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(ws) >= n)),
+m AS (SELECT nr, i, n, item_id FROM g JOIN win USING (s, n)),
+h AS (SELECT nr, count(DISTINCT p) AS n_hit FROM (SELECT nr, unnest(range(i, i + n)) AS p FROM m) GROUP BY nr),
+t AS (SELECT nr, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT CAST(item_id AS VARCHAR))), ',') AS ids FROM m GROUP BY nr)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN h USING (nr) LEFT JOIN t USING (nr)
+"""
