@@ -25,6 +25,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Texts are long, so few of them travel in one Arrow batch: what a task holds beside the heap, in the JVM and in Python, follows from it.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets the session send at most ``BATCH_ROWS`` rows a batch to Python; a smaller setting stays."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 class Stages:
     """Parquet tables of one operator run, each in a new folder of the shared one.
 
@@ -34,6 +45,7 @@ class Stages:
     """
 
     def __init__(self, spark: SparkSession, operator: str):
+        small_batches(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{operator}-{uuid.uuid4().hex}"
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from .bytewords import Words, slices
-from .common import text_bytes
+from .common import small_batches, text_bytes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -149,6 +149,7 @@ def scan_secrets(docs: DataFrame, keep: Sequence[str] = ("doc_id",), kinds: Sequ
     are scanned row by row; an empty table gives no rows; other columns are not read.  Bytes that are not UTF-8 belong to no secret
     and come back as U+FFFD where a text is redacted; the time of a text grows with its length, whatever it repeats.
     """
+    small_batches(docs.sparkSession)
     chosen = docs.select(*[F.col(c) for c in keep], text_bytes().alias("__bytes"))
     added = f"secret_spans {SPANS}" + ", redacted_text string" * redact
     schema = StructType([*docs.select(*keep).schema, *StructType.fromDDL(added)])
