@@ -357,6 +357,33 @@ def head_date(spark, sf):
     return found.select("page_id", "published_text", "method")
 
 
+# Head dates in many forms, a page for each order; two forms are no date: of these one has another in JSON-LD.
+DATE_FORMS = """SELECT k AS page_id, k % 12 AS form, y, m, d, h, n, second_date, CASE k % 12
+  WHEN 0 THEN concat(y4, m2, d2) WHEN 1 THEN concat(y4, m2, d2, 'T', h2, n2, '07') WHEN 2 THEN concat(h2, ':', n2, ' ', name, ' ', d1, ' ', y4, ' EST')
+  WHEN 3 THEN concat('Friday, ', name, ' ', d1, 'th, ', y4, ' at 3:', n2, ' p.m. ET') WHEN 4 THEN concat(d1, '.', m1, '.', y4)
+  WHEN 5 THEN concat(d1, '/', m1, '/', substring(y4, 3, 2), ' ', h2, ':', n2, ' GMT+3') WHEN 6 THEN concat(name, ' ', y4)
+  WHEN 7 THEN concat('on or about ', name, ' ', d1) WHEN 8 THEN concat(y4, name, d1) WHEN 9 THEN concat(d1, ' ', name, ' ', y4, ' ', h2, 'h', n2)
+  WHEN 10 THEN concat(y4, '-', name, '-', d2, ' 12:', n2, ' AM UTC') ELSE concat('Sun ', name, ' ', d2, ' ', h2, ':', n2, ':09 -0530 ', y4) END AS shown
+FROM (SELECT *, concat(y4, '/', m1, '/', d1) AS second_date FROM (SELECT *, CAST(y AS STRING) AS y4, CAST(m AS STRING) AS m1, CAST(d AS STRING) AS d1,
+  lpad(CAST(m AS STRING), 2, '0') AS m2, lpad(CAST(d AS STRING), 2, '0') AS d2, lpad(CAST(h AS STRING), 2, '0') AS h2, lpad(CAST(n AS STRING), 2, '0') AS n2,
+  substring('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(3 * m - 2 AS INT), 3) AS name
+  FROM (SELECT o_orderkey AS k, year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) AS d, o_orderkey % 24 AS h, o_orderkey % 60 AS n FROM orders) a) b) c"""
+
+
+@query("head_date_forms", f"""SELECT page_id, method, day || ' ' || clock AS published_text FROM (SELECT page_id, CASE WHEN form = 7 THEN 'json_ld' ELSE 'meta' END AS method,
+CASE WHEN form IN (4, 5) AND d <= 12 THEN printf('%04d-%02d-%02d', y, d, m)
+  WHEN form = 6 THEN printf('%04d-%02d-%02d', y, m, least(day(current_date), day(last_day(make_date(y, m, 1))))) ELSE printf('%04d-%02d-%02d', y, m, d) END AS day,
+CASE form WHEN 1 THEN printf('%02d:%02d:07', h, n) WHEN 2 THEN printf('%02d:%02d:00', h, n) WHEN 3 THEN printf('15:%02d:00', n) WHEN 5 THEN printf('%02d:%02d:00-03:00', h, n)
+  WHEN 9 THEN printf('%02d:%02d:00', h, n) WHEN 10 THEN printf('00:%02d:00+00:00', n) WHEN 11 THEN printf('%02d:%02d:09-05:30', h, n) ELSE '00:00:00' END AS clock
+FROM ({DATE_FORMS}) WHERE form <> 8)""")
+def head_date_forms(spark, sf):
+    html = """concat('<head><meta property="article:published_time" content="', shown, '">', CASE WHEN form = 7 THEN
+        concat('<script type="application/ld+json">{"datePublished": "', second_date, '"}</script>') ELSE '' END, '</head>') AS html"""
+    pages = build.spread(build.rows(spark, sf, DATE_FORMS).selectExpr("page_id", html))
+    found = head.head_dates(head.head_facts(flatten_dom(pages)), F.current_timestamp())
+    return found.select("page_id", "published_text", "method")
+
+
 @query("article_date", W + "SELECT page_id, published_text, method FROM dated WHERE method IS NOT NULL")
 def article_date(spark, sf):
     nodes = article_nodes(spark, sf)

@@ -1,20 +1,15 @@
-"""Date reading.  Common shapes are rebuilt from captured groups on the JVM; only free-form
-meta values that do not fit go through an Arrow-batched dateutil call."""
+"""Date reading, on the JVM throughout.  Common shapes are rebuilt from captured groups; a value that fits none
+of them is taken apart: clock and zone, weekday, then up to three numbers or month names whose
+order says which is the year, the month and the day."""
 
 from __future__ import annotations
 
-import sys
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import StringType
 
 from pressframe.functions.text import strip
 
-# Ship the code of this module inside the task, so executors need no installed package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # The three text shapes, in the order they are tried.
 DATE_PATTERNS = [
     r"\d{4}-\d{2}-\d{2}",
@@ -96,28 +91,6 @@ def has_text_date(text: Column) -> Column:
     return text.rlike(r"\d[-/]\d|[a-z] \d") & text.rlike("|".join(DATE_PATTERNS))
 
 
-def _read_free_form(text: pd.Series, as_of: pd.Series) -> pd.Series:
-    """dateutil on the few values the ISO rule left over; null in, null out."""
-    from dateutil import parser
-
-    readers = {}  # one for each day of reference, as a rule one in all
-
-    def read(value, day):
-        if value is None:
-            return None
-        if day not in readers:
-            info = parser.parserinfo()
-            info._year, info._century = day.year, day.year // 100 * 100
-            readers[day] = parser.parser(info), day.to_pydatetime().replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None)
-        reader, midnight = readers[day]
-        try:
-            return str(reader.parse(value, default=midnight))
-        except (ValueError, OverflowError, TypeError):
-            return None
-
-    return pd.Series([read(v, pd.Timestamp(d)) for v, d in zip(text, as_of)], dtype=object)
-
-
 def _named_month(value: Column) -> Column:
     """Mail dates (RFC 2822) and dates with a named month, as canonical text; null for other shapes."""
     months = _month_number()
@@ -134,8 +107,148 @@ def _named_month(value: Column) -> Column:
     return F.coalesce(F.when(F.try_to_timestamp(mail).isNotNull(), mail), plain)
 
 
-def _free_form(text: Column, as_of: Column) -> Column:
-    return F.pandas_udf(_read_free_form, StringType())(text, as_of)
+_WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+_JUMPS = ["at", "on", "and", "ad", "m", "t", "of", "st", "nd", "rd", "th", " ", ".", ",", ";", "-", "/", "'"]
+_UTC = ["UTC", "GMT", "Z", "z"]
+_SPACES = r"[\s\h\x1c-\x1f\x85\x{2028}\x{2029}]+"
+_MONTH_WORD = "(?i:" + "|".join(sorted({*MONTH_NAMES, *(m[:3] for m in MONTH_NAMES), "Sept"}, key=len, reverse=True)) + ")"
+_DAY_WORD = "(?i:" + "|".join(f"{d}|{d[:3]}" for d in _WEEKDAYS) + ")"
+_CLOCK = (r"(?<![\d:.])(\d{1,2}):(\d{1,2})(?::(\d{1,2})(?:[.,](\d{1,9}))?)?(?![\d:])"
+          r"(?: ?([aApP])(?:\.? ?[mM])?\.?(?![a-zA-Z]))?")
+_ZONE_NAME = rf"(?!(?:{_MONTH_WORD}|{_DAY_WORD})(?![a-zA-Z]))(?:[A-Z]{{1,5}}|z)(?![a-zA-Z])"
+_OFFSET = r"[+-](?:\d{4}|\d{1,2}:\d{2}|\d{1,2})(?![\d:])(?: \([A-Z]{3,5}\))?"
+#: Digits without separators, clocks by letters and numbers with a decimal, in plainer shapes.
+_PLAINER = [
+    (_SPACES, " "),
+    (r"(?<![\d.:])(\d{4})(\d\d)(\d\d)[tT ]?(\d\d)(\d\d)(\d\d)(?!\d)", "$1-$2-$3 $4:$5:$6"),
+    (r"(?<![\d.:])(\d{4})(\d\d)(\d\d)[tT ]?(\d\d)(\d\d)(?![\d.])", "$1-$2-$3 $4:$5"),
+    (r"(?<![\d.:])(\d{4})(\d\d)(\d\d)(?![\d.])", "$1-$2-$3"),
+    (r"^(\d\d)(\d\d)(\d\d)(?![\d.])", "$1/$2/$3"),
+    (r"(?i)(?<![\d:.])(\d{1,2}) ?h(?:ours?)? ?(\d{1,2})(?: ?m(?:inutes?)?)?(?![a-z\d])", "$1:$2"),
+    (r"(?<![\d:.])(\d{1,2}) ?([aApP])(?:\.?[mM])?\.?(?![a-zA-Z])", "$1:00 $2m"),
+]
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _number(text: Column) -> Column:
+    return text.try_cast("int")
+
+
+def _clock_text(value: Column) -> Column:
+    """``HH:mm:ss[.ffffff]`` of the clock in a text, midnight without one, null for a clock that cannot be."""
+    hour, minute, second, fraction, half = (_group(value, _CLOCK, i) for i in range(1, 6))
+    late = F.lower(half) == "p"
+    hour, minute, second = _number(hour), _number(minute), _number(F.coalesce(second, F.lit("0")))
+    possible = (hour <= F.when(half.isNull(), 23).otherwise(12)) & (minute <= 59) & (second <= 59)
+    hour = F.when(half.isNull(), hour).when(late & (hour < 12), hour + 12).when(~late & (hour == 12), 0).otherwise(hour)
+    micro = F.rpad(F.substring(F.coalesce(fraction, F.lit("")), 1, 6), 6, "0")
+    text = F.concat_ws(":", *[F.lpad(x.cast("string"), 2, "0") for x in (hour, minute, second)])
+    text = F.concat(text, F.when(micro == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micro)))
+    return F.when(~value.rlike(_CLOCK), F.lit("00:00:00")).when(possible, text)
+
+
+def _zone_text(zone: Column) -> Column:
+    """``+hh:mm`` of a zone's name and offset, empty where neither gives one, null for an offset of a day or more.
+
+    An offset written onto a name counts the other way ("GMT+3" is three hours behind); next to a name of UTC, one set apart counts nothing.
+    """
+    name, inside = _group(zone, r"^,? ?([A-Za-z]+)", 1), _group(zone, r"\(([A-Z]+)\)", 1)
+    sign, offset = _group(zone, r"([+-])", 1), _group(zone, r"[+-]([\d:]+)", 1)
+    joined = zone.rlike("[A-Za-z][+-]")
+    hours = F.when(F.length(offset) == 4, F.when(offset.contains(":"), F.substring(offset, 1, 1)).otherwise(F.substring(offset, 1, 2))).otherwise(
+        F.substring_index(offset, ":", 1))
+    minutes = F.when(F.length(offset) >= 4, F.substring(offset, -2, 2)).otherwise("0")
+    total = _number(hours) * 60 + _number(minutes)
+    behind = (sign == "-") != joined
+    universal = F.coalesce(F.when(~joined, name), inside).isin(_UTC)
+    total = F.when(F.coalesce(universal, F.lit(False)), 0).otherwise(total)
+    text = F.concat(F.when(behind & (total > 0), "-").otherwise("+"), F.lpad(F.floor(total / 60).cast("string"), 2, "0"), F.lit(":"),
+                    F.lpad((total % 60).cast("string"), 2, "0"))
+    return (F.when(offset.isNotNull(), F.when(total < 24 * 60, text))
+            .when(name.isin(_UTC), F.lit("+00:00")).otherwise(F.lit("")))
+
+
+def _members(rest: Column) -> Column:
+    """Numbers and month names in order, as structs of number and kind: month, year (by its digits) or open; null if other words are there."""
+    marked = F.regexp_replace(rest, r"(?<=[-/.])(\d{3,})|(\d{3,})(?=[-/.])", "#$1$2")  # beside a separator, three digits make a year
+    months = _month_number()
+
+    def member(token: Column) -> Column:
+        digits = token.rlike(r"^#?\d")
+        number = F.when(digits, _number(F.ltrim(token, F.lit("#")))).otherwise(F.try_element_at(months, F.initcap(token)))
+        kind = (F.when(digits, F.when(token.startswith("#") | (number > 100), "y").otherwise("d"))
+                .when(number.isNotNull(), "m").when(F.lower(token).isin(_JUMPS), "").otherwise("?"))
+        return F.struct(number.alias("n"), kind.alias("kind"))
+
+    def known(found: Column) -> Column:
+        return F.when(~F.exists(found, lambda x: x["kind"] == "?"), F.filter(found, lambda x: x["kind"] != ""))
+
+    tokens = F.regexp_extract_all(marked, F.lit(r"(#?\d+|[A-Za-z]+|[^A-Za-z\d])"), F.lit(1))
+    stuck = rest.rlike(rf"(?:3[2-9]|[4-9]\d|\d{{3,}})(?={_MONTH_WORD})") | rest.rlike(r"(?<![\d.,])(?=[\d.]{6}(?![\d.]))\d+\.\d+(?!\d)")
+    return F.when(~rest.contains("#") & ~stuck, _let(F.transform(tokens, member), known))
+
+
+def _order(found: Column) -> Column:
+    """Which member is what, as letters in their order; null when there are too many or two of a kind."""
+    kinds = F.array_join(F.transform(found, lambda x: x["kind"]), "")
+    first, second = F.get(found, F.lit(0))["n"], F.get(found, F.lit(1))["n"]
+    months, years = F.length(kinds) - F.length(F.replace(kinds, F.lit("m"))), F.length(kinds) - F.length(F.replace(kinds, F.lit("y")))
+    count, named = F.size(found), months + years
+    lone = F.array_join(F.transform(found, lambda x: F.when(x["kind"] == "m", "m").when(x["n"] > 31, "y").otherwise("d")), "")
+    return (F.when((count > 3) | (months > 1) | (years > 1), None)
+            .when((count == named) | ((count == 3) & (named == 2)), kinds)
+            .when((count == 1) | ((count == 2) & (months == 1)), lone)
+            .when(count == 2, F.when(first > 31, "ym").when(second > 31, "my").otherwise("md"))
+            .when(kinds.startswith("m"), F.when(second > 31, "myd").otherwise("mdy"))
+            .when(F.substring(kinds, 2, 1) == "m", F.when(first > 31, "ymd").otherwise("dmy"))
+            .when(kinds.endswith("m"), F.when(second > 31, "dym").otherwise("ydm"))
+            .otherwise(F.when((first > 31) | kinds.startswith("y"), "ymd").when(first > 12, "dmy").otherwise("mdy")))
+
+
+def _day_of(found: Column, order: Column, weekday: Column, as_of: Column) -> Column:
+    """The date; what is missing comes from ``as_of``, a weekday without a day is the next one."""
+    year, month, day = (F.get(found, F.instr(order, x) - 1)["n"] for x in "ymd")
+    plain = F.exists(found, lambda x: x["kind"] == "y")
+    year = F.coalesce(F.when(plain, year).otherwise(_near_year(year, as_of)), F.year(as_of))
+    month = F.coalesce(month, F.month(as_of))
+    first = _date(year, month, F.lit(1))
+    last = F.least(F.dayofmonth(as_of), F.dayofmonth(F.last_day(first)))
+    number = F.array_position(F.array(*[F.lit(d[:3]) for d in _WEEKDAYS]), F.initcap(F.substring(weekday, 1, 3))).cast("int") - 1
+    some = F.date_add(first, last - 1)
+    ahead = F.when(weekday.isNull(), 0).otherwise(F.pmod(number - F.weekday(some), F.lit(7)))
+    return F.when(F.instr(order, "d") == 0, F.date_add(some, ahead)).when(order.isNotNull(), _date(year, month, day))
+
+
+def _free_form(value: Column, as_of: Column) -> Column:
+    """Canonical text of a date in any order of its parts, null if something in it is no part of a date."""
+    for shape, plainer in _PLAINER:
+        value = F.regexp_replace(value, shape, plainer)
+
+    def apart(text: Column) -> Column:
+        beside = F.regexp_extract(text, _CLOCK + rf"((?:,? ?{_ZONE_NAME})?(?: ?{_OFFSET})?)", 6)
+        without = F.regexp_replace(text, _CLOCK + rf"(?:,? ?{_ZONE_NAME})?(?: ?{_OFFSET})?", " ")
+        has_clock = text.rlike(_CLOCK)
+        at_end = rf"((?: {_ZONE_NAME}(?: ?{_OFFSET})?| {_OFFSET}))$"
+        late = F.when(has_clock & (beside == ""), F.regexp_extract(without, at_end, 1)).otherwise(F.lit(""))
+        without = F.when(late == "", without).otherwise(F.regexp_replace(without, at_end, ""))
+        weekday = rf"(?<![a-zA-Z])({_DAY_WORD})(?![a-zA-Z])"
+        rest = F.regexp_replace(without, weekday, "")
+        for mark in (r"(?<![\d.,])(\d+)\.\d+(?![\d.])", r"(?<![\d.,])(\d\d+),\d+(?![\d.,])"):
+            rest = F.when(rest.rlike(r"(?<![\d.,])(?=[\d.]{6}(?![\d.]))\d+\.\d+(?!\d)"), rest).otherwise(F.regexp_replace(rest, mark, "$1"))
+        return F.struct(_clock_text(text).alias("clock"), _zone_text(F.concat(beside, late)).alias("zone"), has_clock.alias("has_clock"),
+                        text.rlike(rf"[aApP]\.M\.? ?{_ZONE_NAME}").alias("two_zones"),  # the M of "A.M." counts as one
+                        _group(without, weekday, 1).alias("weekday"), _members(rest).alias("found"))
+
+    def together(parts: Column) -> Column:
+        there = parts["has_clock"] | parts["weekday"].isNotNull() | (F.size(parts["found"]) > 0)
+        day = _let(_order(parts["found"]), lambda order: _day_of(parts["found"], order, parts["weekday"], as_of))
+        return F.when(there & ~parts["two_zones"], F.concat(day.cast("string"), F.lit(" "), parts["clock"], parts["zone"]))
+
+    return F.when(value.isNotNull(), _let(_let(value, apart), together))
 
 
 def published_text(value: Column, as_of: Column) -> Column:

@@ -108,7 +108,7 @@ def head_dates(facts: DataFrame, as_of: Column) -> DataFrame:
     rows = F.concat(metas, F.when(F.col("json_ld.date_published").isNotNull(), F.array(ld)).otherwise(F.array()))
     read = facts.select("page_id", F.inline(rows)).where("value is not null")
     read = read.withColumn("published_text", published_text(F.col("value"), as_of))
-    # Unread values are left to the aggregate: a filter here would run the reader a second time.
+    # Unread values are left to the aggregate: a filter here would read the dates a second time.
     best = F.min(F.when(F.col("published_text").isNotNull(), F.struct("prio", "pos", "published_text", "method")))
     return (read.groupBy("page_id").agg(best.alias("best")).where("best is not null")
             .select("page_id", "best.pos", "best.published_text",

@@ -65,3 +65,8 @@ def test_tag_filters_reach_the_stored_table(spark, pages_of):
 def test_no_nested_loops(spark, name, no_broadcast):
     text = plan(QUERIES[name](spark, SF))
     assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("name", ["head_date", "head_date_forms", "article_date"])
+def test_dates_are_read_without_python(spark, name):
+    assert "EvalPython" not in plan(QUERIES[name](spark, SF))

@@ -92,3 +92,32 @@ def test_published_text_agrees_with_dateutil(spark):
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i int, v string").orderBy("i")
     got = [r[0] for r in frame.select(dates.published_text(F.col("v"), F.lit(AS_OF))).collect()]
     assert got == [str(d) if (d := by_dateutil(v)) else None for v in texts]
+
+
+FREE_FORMS = [
+    "20240105", "20240105T101112", "20240105101112", "202401051011", "20240105T1011", "240105", "Jan 5, 2024 10:30 AM EST", "10:30 AM, 5 January 2024",
+    "10:30 January 5 2024 EST", "Fri Jan 05 10:00:00 UTC 2024", "Friday, January 5th, 2024 at 3:07 pm", "Jan 2024", "2024", "31", "Friday", "Fri, March 2024",
+    "5.1.2024", "13.1.2024", "2024/01/05", "2024-Jan-05", "05-Jan-24", "Jan-05-2024", "1/2/76", "1/2/75", "Mar 15,2021", "10:00 GMT+3 Jan 5 2024",
+    "Jan 5 2024 10:00 GMT +0300", "Jan 5 2024 10:00 -0500 (EST)", "Jan 5 2024 10:00 -05:00", "Jan 5 2024 10:00 +5", "Jan 5 2024 10:00+9999", "Jan 5 2024 13:00 pm",
+    "Jan 5 2024 12:15 AM", "5Jan2024", "2024Jan5", "the 5th of Jan 2024", "5th of Jan 2024", "5th Jan 2024 10h30", "99-01-01", "0012-05-06", "Jan 0012 5",
+    "2024-01-05t10:11:12z", "2024-01-05T10:11:12.5+0100", "-", ", ", "2024-01-05 EST", "Jan 5 2024 10:00 est", "5 fevrier 2024", "Updated: Jan 5 2024",
+    "2024-01-05+02:00", "1704448800", "99999999999999999999", "May May 2024", "32 Jan 2024", "Jan 32", "2024 2023", "Sept. 5, 2024", "Sept 5 '24", "5/2024", "2024/5", "5/6",
+    "31/6", "Tues 5 Jan 2024", "2003-09-25 10:36:28.123456789", "24:00 Jan 5 2020", "#5 Jan 2020", "05.2024", "Jan 5 2024 10:00 p.m.", "feb 29", "Feb 2023",
+    "Jan 5, 2024, 10:30 A.M. ET", "Jan 5, 2024, 10:30 a.m. ET", "10:30, EST Jan 5 2024", "5 January, 2024 | 10:30", "January 5, 2024 10:30AM (ET)", "5 Jan 2024"]
+SHAPES = ["%Y%m%d", "%Y%m%dT%H%M%S", "%A, %B %d, %Y", "%d %b %Y %I:%M %p", "%I:%M %p, %B %d, %Y", "%H:%M %d-%b-%Y", "%d.%m.%Y", "%d/%m/%y", "%m-%d-%y %H:%M:%S",
+          "%b %d %H:%M:%S EST %Y", "%d %B %Y %H:%M GMT", "%a %b %d %H:%M:%S %Y", "%Y.%m.%d", "%Y/%m/%d %H:%M", "%b %Y", "%B %dth %Y at %I%p", "%y%m%d", "%d %b"]
+
+
+def test_free_forms_agree_with_dateutil(spark):
+    def plain(text):
+        try:
+            return str(d) if (d := by_dateutil(text)) else None
+        except ValueError:  # an offset of a day or more
+            return None
+
+    rng = random.Random(3)
+    days = [datetime.datetime(rng.randint(1975, 2075), rng.randint(1, 12), rng.randint(1, 28), rng.randint(0, 23), rng.randint(0, 59), rng.randint(0, 59)) for _ in range(60)]
+    texts = FREE_FORMS + [d.strftime(shape) for d in days for shape in SHAPES]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i int, v string").orderBy("i")
+    got = [r[0] for r in frame.select(dates.published_text(F.col("v"), F.lit(AS_OF))).collect()]
+    assert [(v, g) for v, g in zip(texts, got)] == [(v, plain(v)) for v in texts]
