@@ -28,7 +28,7 @@ def _month_number() -> Column:
     names = {name[:3]: i for i, name in enumerate(MONTH_NAMES, 1)}
     names.update({name: i for i, name in enumerate(MONTH_NAMES, 1)})
     names["Sept"] = 9
-    return F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.expr("map(" + ", ".join(f"'{name}', {i}" for name, i in names.items()) + ")")
 
 
 _DAY_MONTH = (r"^(?:(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),? )?(\d{1,2}) ([A-Z][a-z]{2,8}) (\d{4})"
@@ -104,7 +104,7 @@ def _named_month(value: Column) -> Column:
         F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2)))
     mail = F.concat(day(1, 2, 3, _DAY_MONTH).cast("string"), F.lit(" "), F.coalesce(clock, F.lit("00:00:00")), F.coalesce(zone, F.lit("")))
     plain = F.concat(day(2, 1, 3, _MONTH_DAY).cast("string"), F.lit(" 00:00:00"))
-    return F.coalesce(F.when(F.try_to_timestamp(mail).isNotNull(), mail), plain)
+    return F.coalesce(_let(mail, lambda m: F.when(F.try_to_timestamp(m).isNotNull(), m)), plain)
 
 
 _WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
@@ -188,82 +188,94 @@ def _members(rest: Column) -> Column:
         return F.when(~F.exists(found, lambda x: x["kind"] == "?"), F.filter(found, lambda x: x["kind"] != ""))
 
     tokens = F.regexp_extract_all(marked, F.lit(r"(#?\d+|[A-Za-z]+|[^A-Za-z\d])"), F.lit(1))
-    stuck = rest.rlike(rf"(?:3[2-9]|[4-9]\d|\d{{3,}})(?={_MONTH_WORD})") | rest.rlike(r"(?<![\d.,])(?=[\d.]{6}(?![\d.]))\d+\.\d+(?!\d)")
+    stuck = rest.rlike(rf"(?:3[2-9]|[4-9]\d|\d{{3,}})(?={_MONTH_WORD})")
     return F.when(~rest.contains("#") & ~stuck, _let(F.transform(tokens, member), known))
 
 
 def _order(found: Column) -> Column:
     """Which member is what, as letters in their order; null when there are too many or two of a kind."""
-    kinds = F.array_join(F.transform(found, lambda x: x["kind"]), "")
     first, second = F.get(found, F.lit(0))["n"], F.get(found, F.lit(1))["n"]
-    months, years = F.length(kinds) - F.length(F.replace(kinds, F.lit("m"))), F.length(kinds) - F.length(F.replace(kinds, F.lit("y")))
-    count, named = F.size(found), months + years
     lone = F.array_join(F.transform(found, lambda x: F.when(x["kind"] == "m", "m").when(x["n"] > 31, "y").otherwise("d")), "")
-    return (F.when((count > 3) | (months > 1) | (years > 1), None)
-            .when((count == named) | ((count == 3) & (named == 2)), kinds)
-            .when((count == 1) | ((count == 2) & (months == 1)), lone)
-            .when(count == 2, F.when(first > 31, "ym").when(second > 31, "my").otherwise("md"))
-            .when(kinds.startswith("m"), F.when(second > 31, "myd").otherwise("mdy"))
-            .when(F.substring(kinds, 2, 1) == "m", F.when(first > 31, "ymd").otherwise("dmy"))
-            .when(kinds.endswith("m"), F.when(second > 31, "dym").otherwise("ydm"))
-            .otherwise(F.when((first > 31) | kinds.startswith("y"), "ymd").when(first > 12, "dmy").otherwise("mdy")))
+
+    def of(kinds: Column) -> Column:
+        unclear = F.length(kinds) - F.length(F.regexp_replace(kinds, "d", ""))
+        return (F.when((F.length(kinds) > 3) | kinds.rlike("m.?m|y.?y"), None)
+                .when((unclear == 0) | ((F.length(kinds) == 3) & (unclear == 1)), kinds)
+                .when((F.length(kinds) == 1) | ((F.length(kinds) == 2) & kinds.contains("m")), lone)
+                .when(F.length(kinds) == 2, F.when(first > 31, "ym").when(second > 31, "my").otherwise("md"))
+                .when(kinds.startswith("m"), F.when(second > 31, "myd").otherwise("mdy"))
+                .when(F.substring(kinds, 2, 1) == "m", F.when(first > 31, "ymd").otherwise("dmy"))
+                .when(kinds.endswith("m"), F.when(second > 31, "dym").otherwise("ydm"))
+                .otherwise(F.when((first > 31) | kinds.startswith("y"), "ymd").when(first > 12, "dmy").otherwise("mdy")))
+
+    return _let(F.array_join(F.transform(found, lambda x: x["kind"]), ""), of)
 
 
 def _day_of(found: Column, order: Column, weekday: Column, as_of: Column) -> Column:
     """The date; what is missing comes from ``as_of``, a weekday without a day is the next one."""
     year, month, day = (F.get(found, F.instr(order, x) - 1)["n"] for x in "ymd")
-    plain = F.exists(found, lambda x: x["kind"] == "y")
-    year = F.coalesce(F.when(plain, year).otherwise(_near_year(year, as_of)), F.year(as_of))
-    month = F.coalesce(month, F.month(as_of))
-    first = _date(year, month, F.lit(1))
-    last = F.least(F.dayofmonth(as_of), F.dayofmonth(F.last_day(first)))
-    number = F.array_position(F.array(*[F.lit(d[:3]) for d in _WEEKDAYS]), F.initcap(F.substring(weekday, 1, 3))).cast("int") - 1
-    some = F.date_add(first, last - 1)
-    ahead = F.when(weekday.isNull(), 0).otherwise(F.pmod(number - F.weekday(some), F.lit(7)))
-    return F.when(F.instr(order, "d") == 0, F.date_add(some, ahead)).when(order.isNotNull(), _date(year, month, day))
+    year = _let(year, lambda y: F.when(F.exists(found, lambda x: x["kind"] == "y"), y).otherwise(_near_year(y, as_of)))
+    names = F.split(F.lit(",".join(d[:3] for d in _WEEKDAYS)), ",")
+    number = F.array_position(names, F.initcap(F.substring(weekday, 1, 3))).cast("int") - 1
+
+    def without_day(first: Column) -> Column:
+        some = F.date_add(first, F.least(F.dayofmonth(as_of), F.dayofmonth(F.last_day(first))) - 1)
+        return _let(some, lambda x: F.when(weekday.isNull(), x).otherwise(F.date_add(x, F.pmod(number - F.weekday(x), F.lit(7)))))
+
+    parts = F.struct(F.coalesce(year, F.year(as_of)).alias("y"), F.coalesce(month, F.month(as_of)).alias("m"), day.alias("d"))
+    return _let(parts, lambda p: F.when(F.instr(order, "d") == 0, _let(_date(p["y"], p["m"], F.lit(1)), without_day))
+                .when(order.isNotNull(), _date(p["y"], p["m"], p["d"])))
 
 
 def _free_form(value: Column, as_of: Column) -> Column:
     """Canonical text of a date in any order of its parts, null if something in it is no part of a date."""
     for shape, plainer in _PLAINER:
         value = F.regexp_replace(value, shape, plainer)
+    beside, at_end = rf"((?:,? ?{_ZONE_NAME})?(?: ?{_OFFSET})?)", rf"((?: {_ZONE_NAME}(?: ?{_OFFSET})?| {_OFFSET}))$"
+    weekday, short = rf"(?<![a-zA-Z])({_DAY_WORD})(?![a-zA-Z])", r"(?<![\d.,])(?=[\d.]{6}(?![\d.]))\d+\.\d+(?!\d)"
+
+    def without_clock(text: Column) -> Column:
+        return F.struct(text.alias("text"), F.regexp_extract(text, _CLOCK + beside, 6).alias("zone"),
+                        F.regexp_replace(text, _CLOCK + beside, " ").alias("rest"))
+
+    def without_zone(x: Column) -> Column:
+        looks = x["text"].rlike(_CLOCK) & (x["zone"] == "")
+        return F.struct(x["text"].alias("text"), F.when(looks, F.regexp_extract(x["rest"], at_end, 1)).otherwise(x["zone"]).alias("zone"),
+                        F.when(looks, F.regexp_replace(x["rest"], at_end, "")).otherwise(x["rest"]).alias("rest"))
+
+    def apart(x: Column) -> Column:
+        rest = F.regexp_replace(x["rest"], weekday, "")
+        whole = _let(rest, lambda r: F.when(~r.rlike(short), F.regexp_replace(
+            F.regexp_replace(r, r"(?<![\d.,])(\d+)\.\d+(?![\d.])", "$1"), r"(?<![\d.,])(\d\d+),\d+(?![\d.,])", "$1")))
+        return F.struct(_clock_text(x["text"]).alias("clock"), _let(x["zone"], _zone_text).alias("zone"), x["text"].rlike(_CLOCK).alias("has_clock"),
+                        # The M of "A.M." counts as a zone.
+                        x["text"].rlike(rf"[aApP]\.M\.? ?{_ZONE_NAME}").alias("two_zones"),
+                        _group(x["rest"], weekday, 1).alias("weekday"), _let(whole, _members).alias("found"))
+
+    def together(x: Column) -> Column:
+        there = x["has_clock"] | x["weekday"].isNotNull() | (F.size(x["found"]) > 0)
+        day = _let(_order(x["found"]), lambda order: _day_of(x["found"], order, x["weekday"], as_of))
+        return F.when(there & ~x["two_zones"], F.concat(day.cast("string"), F.lit(" "), x["clock"], x["zone"]))
 
-    def apart(text: Column) -> Column:
-        beside = F.regexp_extract(text, _CLOCK + rf"((?:,? ?{_ZONE_NAME})?(?: ?{_OFFSET})?)", 6)
-        without = F.regexp_replace(text, _CLOCK + rf"(?:,? ?{_ZONE_NAME})?(?: ?{_OFFSET})?", " ")
-        has_clock = text.rlike(_CLOCK)
-        at_end = rf"((?: {_ZONE_NAME}(?: ?{_OFFSET})?| {_OFFSET}))$"
-        late = F.when(has_clock & (beside == ""), F.regexp_extract(without, at_end, 1)).otherwise(F.lit(""))
-        without = F.when(late == "", without).otherwise(F.regexp_replace(without, at_end, ""))
-        weekday = rf"(?<![a-zA-Z])({_DAY_WORD})(?![a-zA-Z])"
-        rest = F.regexp_replace(without, weekday, "")
-        for mark in (r"(?<![\d.,])(\d+)\.\d+(?![\d.])", r"(?<![\d.,])(\d\d+),\d+(?![\d.,])"):
-            rest = F.when(rest.rlike(r"(?<![\d.,])(?=[\d.]{6}(?![\d.]))\d+\.\d+(?!\d)"), rest).otherwise(F.regexp_replace(rest, mark, "$1"))
-        return F.struct(_clock_text(text).alias("clock"), _zone_text(F.concat(beside, late)).alias("zone"), has_clock.alias("has_clock"),
-                        text.rlike(rf"[aApP]\.M\.? ?{_ZONE_NAME}").alias("two_zones"),  # the M of "A.M." counts as one
-                        _group(without, weekday, 1).alias("weekday"), _members(rest).alias("found"))
-
-    def together(parts: Column) -> Column:
-        there = parts["has_clock"] | parts["weekday"].isNotNull() | (F.size(parts["found"]) > 0)
-        day = _let(_order(parts["found"]), lambda order: _day_of(parts["found"], order, parts["weekday"], as_of))
-        return F.when(there & ~parts["two_zones"], F.concat(day.cast("string"), F.lit(" "), parts["clock"], parts["zone"]))
-
-    return F.when(value.isNotNull(), _let(_let(value, apart), together))
+    for step in (without_clock, without_zone, apart, together):
+        value = _let(value, step)
+    return value
 
 
 def published_text(value: Column, as_of: Column) -> Column:
     """Canonical ``yyyy-MM-dd HH:mm:ss[.ffffff][+hh:mm]`` text of a free-form date, null if unreadable."""
-    value = strip(value)
-    day, minute, second = (_group(value, _ISO, i) for i in (1, 2, 3))
-    fraction, zone = _group(value, _ISO, 4), _group(value, _ISO, 5)
-    zone = F.when(zone == "Z", F.lit("+00:00")).when(
-        F.length(zone) == 5, F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2))).otherwise(zone)
-    fraction = F.when(fraction.cast("int") > 0, F.concat(F.lit("."), F.rpad(fraction, 6, "0")))
-    text = F.concat(day, F.lit(" "), F.coalesce(minute, F.lit("00:00")), F.lit(":"), F.coalesce(second, F.lit("00")),
-                    F.coalesce(fraction, F.lit("")), F.coalesce(zone, F.lit("")))
-    fast = F.when((F.substring(day, 1, 4) != "0000") & F.try_to_timestamp(text).isNotNull(), text)
-    fast = F.coalesce(fast, _named_month(value))
-    return F.coalesce(fast, _free_form(F.when(fast.isNull(), value), as_of))
+    def common(value: Column) -> Column:
+        day, minute, second = (_group(value, _ISO, i) for i in (1, 2, 3))
+        fraction, zone = _group(value, _ISO, 4), _group(value, _ISO, 5)
+        zone = F.when(zone == "Z", F.lit("+00:00")).when(
+            F.length(zone) == 5, F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2))).otherwise(zone)
+        fraction = F.when(fraction.cast("int") > 0, F.concat(F.lit("."), F.rpad(fraction, 6, "0")))
+        text = F.concat(day, F.lit(" "), F.coalesce(minute, F.lit("00:00")), F.lit(":"), F.coalesce(second, F.lit("00")),
+                        F.coalesce(fraction, F.lit("")), F.coalesce(zone, F.lit("")))
+        iso = _let(text, lambda t: F.when((F.substring(t, 1, 4) != "0000") & F.try_to_timestamp(t).isNotNull(), t))
+        return F.coalesce(iso, _named_month(value), F.when(value.isNotNull(), _free_form(value, as_of)))
+
+    return _let(strip(value), common)
 
 
 def published_instant(text: Column) -> Column:
