@@ -174,7 +174,7 @@ def _zone_text(zone: Column) -> Column:
 
 def _members(rest: Column) -> Column:
     """Numbers and month names in order, as structs of number and kind: month, year (by its digits) or open; null if other words are there."""
-    marked = F.regexp_replace(rest, r"(?<=[-/.])(\d{3,})|(\d{3,})(?=[-/.])", "#$1$2")  # beside a separator, three digits make a year
+    marked = F.regexp_replace(rest, r"(?<=[-/.])(\d{3,}+)|(?<!\d)(\d{3,}+)(?=[-/.])", "#$1$2")  # beside a separator, three digits make a year
     months = _month_number()
 
     def member(token: Column) -> Column:
@@ -188,7 +188,7 @@ def _members(rest: Column) -> Column:
         return F.when(~F.exists(found, lambda x: x["kind"] == "?"), F.filter(found, lambda x: x["kind"] != ""))
 
     tokens = F.regexp_extract_all(marked, F.lit(r"(#?\d+|[A-Za-z]+|[^A-Za-z\d])"), F.lit(1))
-    stuck = rest.rlike(rf"(?:3[2-9]|[4-9]\d|\d{{3,}})(?={_MONTH_WORD})")
+    stuck = rest.rlike(rf"(?<!\d)(?:3[2-9]|[4-9]\d|\d{{3,}}+)(?={_MONTH_WORD})")
     return F.when(~rest.contains("#") & ~stuck, _let(F.transform(tokens, member), known))
 
 

@@ -1,5 +1,6 @@
 import datetime
 import random
+import time
 
 from dateutil import parser
 from pyspark.sql import functions as F
@@ -121,3 +122,14 @@ def test_free_forms_agree_with_dateutil(spark):
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i int, v string").orderBy("i")
     got = [r[0] for r in frame.select(dates.published_text(F.col("v"), F.lit(AS_OF))).collect()]
     assert [(v, g) for v, g in zip(texts, got)] == [(v, plain(v)) for v in texts]
+
+
+def test_very_long_values_take_no_time(spark):
+    n = 200_000
+    texts = ["1" * n, "1-" * n, "12." * n, "11,11 " * n, "Jan " * n, "10:30 " * n, "a" * n, "3" * n + "Jan", " 5" * n, "A.M " * n, "+05 " * n]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i int, v string").orderBy("i")
+    start = time.time()
+    got = [r[0] for r in frame.select(dates.published_text(F.col("v"), F.lit(AS_OF))).collect()]
+    want = [None] * len(texts)
+    want[5] = "2026-06-15 10:30:00"  # a clock said again is a clock
+    assert got == want and time.time() - start < 60
