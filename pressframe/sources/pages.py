@@ -17,6 +17,15 @@ SETTINGS = {
     # HotSpot never compiles methods above this size; let Spark split such plans instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
+    # Nodes of pages are a hundredth of their size in a file, so file sizes say nothing about what the driver would have to hold:
+    # a side of a join is sent to all tasks when its rows have been measured, never before.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    # Joins in both branches of a union may come to different numbers of partitions while they run.
+    "spark.sql.unionOutputPartitioning": "false",
+    # Sizes in a shuffle say as little, so a task reads little of it, and the number of tasks goes up with the rows.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8MB",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
 }
 
 
