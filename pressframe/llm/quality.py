@@ -116,67 +116,110 @@ def with_features(docs: DataFrame, *keep: str) -> DataFrame:
     return chosen.mapInArrow(stage, f"{fields}, features array<float>")
 
 
-def fit_pairs(preferred: np.ndarray, rejected: np.ndarray, pairs: int, ridge: float = 1e-3) -> np.ndarray:
-    """Weights with the least mean logistic loss on feature differences, by Newton's method.
+def pair_up(preferred: np.ndarray, rejected: np.ndarray, rounds: int, seed: int = 11) -> np.ndarray:
+    """Differences of preferred and rejected rows.  Every document takes part, ``rounds`` times or more; partners come from fixed permutations."""
+    if not len(preferred) or not len(rejected):
+        return np.zeros((0, len(FEATURES)))
+    rng, longest = np.random.default_rng(seed), max(len(preferred), len(rejected))
+    sides = [np.concatenate([np.resize(rng.permutation(len(x)), longest) for _ in range(rounds)]) for x in (preferred, rejected)]
+    return preferred[sides[0]] - rejected[sides[1]]
+
+
+def pair_rows(known: DataFrame, counts: dict[int, int], spread: np.ndarray, slice_docs: int, pairs: int) -> DataFrame:
+    """``x``: feature differences, in units of ``spread``, of pairs in which every row of ``known(doc_id, features, good)`` takes part.
 
-    Every document takes part; partners come from fixed permutations, ``pairs`` in all or a few more.
+    Documents are dealt by a hash of the id over slices of about ``slice_docs`` of the more frequent class.  Those of the other class form as many
+    groups of that size, or fewer, which slices take in turn; so what a task holds has a fixed bound.
     """
-    rng, rounds = np.random.default_rng(11), max(1, -(-pairs // max(len(preferred), len(rejected))))
-    longest = max(len(preferred), len(rejected))
-    sides = [np.concatenate([np.resize(rng.permutation(len(x)), longest) for _ in range(rounds)]) for x in (preferred, rejected)]
-    x = preferred[sides[0]] - rejected[sides[1]]
-    w = np.zeros(x.shape[1])
+    most = int(counts[1] >= counts[0])
+    slices_, groups = -(-counts[most] // slice_docs), -(-counts[1 - most] // slice_docs)
+    rounds = max(1, -(-pairs // counts[most]))
+    dealt = [F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(n)) for n in (slices_, groups)]
+    of = F.when(F.col("good") == bool(most), F.array(dealt[0])).otherwise(F.sequence(dealt[1], F.lit(slices_ - 1).cast("long"), F.lit(groups).cast("long")))
+
+    def pair(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id")
+        x = table.column("features").combine_chunks().flatten().to_numpy().astype(float).reshape(-1, len(FEATURES)) / spread
+        good = table.column("good").to_numpy()
+        found = pair_up(x[good], x[~good], rounds, 11 + table.column("slice")[0].as_py())
+        ends = pa.array(np.arange(len(found) + 1, dtype=np.int32) * len(FEATURES))
+        return pa.table({"x": pa.ListArray.from_arrays(ends, pa.array(found.ravel()))})
+
+    return known.select("doc_id", "features", "good", F.explode(of).alias("slice")).groupBy("slice").applyInArrow(pair, "x array<double>")
+
+
+def fit_pairs(pairs: DataFrame, ridge: float = 1e-3) -> np.ndarray:
+    """Weights with the least mean logistic loss on the differences ``x``, by Newton's method: a pass over the pairs for each step, of which
+    only sums reach the driver."""
+    n = len(FEATURES)
+    w = np.zeros(n)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
-        slope = x.T @ (p - 1) / len(x) + ridge * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x / len(x) + ridge * np.eye(len(w))
+        def sums(batches: Iterator[pa.RecordBatch], w=w) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(n + n * n + 1)
+            for batch in batches:
+                x = batch.column(0).flatten().to_numpy().reshape(-1, n)
+                p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+                total += np.concatenate([x.T @ (p - 1), ((x * (p * (1 - p))[:, None]).T @ x).ravel(), [len(x)]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["at", "value"])
+
+        total = np.array([r.value for r in pairs.mapInArrow(sums, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).orderBy("at").collect()])
+        slope = total[:n] / total[-1] + ridge * w
+        curve = total[n:-1].reshape(n, n) / total[-1] + ridge * np.eye(n)
         move = np.linalg.solve(curve, slope)
-        w -= move * min(1.0, 5.0 / max(np.abs(move).max(), 1e-12))
+        w = w - move * min(1.0, 5.0 / max(np.abs(move).max(), 1e-12))
         if np.abs(move).max() < 1e-8:
             break
     return w
 
 
+def middle_after(rows: DataFrame, place: int, bins: int = 1024) -> float:
+    """The middle between the ``place``-th smallest ``raw``, counted from 1, and the one after it, exactly.
+
+    Each pass counts the values of the stretch that holds the place in ``bins`` parts and goes on with one of them.
+    """
+    low, high = rows.agg(F.min("raw"), F.max("raw")).first()
+    before = 0
+    while low < high:
+        part = F.least(F.floor((F.col("raw") - low) / (high - low) * bins), F.lit(bins - 1))
+        found = (rows.where(F.col("raw").between(low, high)).groupBy(part.alias("part"))
+                 .agg(F.count("*").alias("n"), F.min("raw").alias("low"), F.max("raw").alias("high")).orderBy("part").collect())
+        for r in found:
+            if before + r.n >= place:
+                low, high = r.low, r.high
+                break
+            before += r.n
+    up_to, after = rows.agg(F.count_if(F.col("raw") <= low), F.min(F.when(F.col("raw") > low, F.col("raw")))).first()
+    return low if up_to > place or after is None else (low + after) / 2
+
+
 def fit_quality(rows: DataFrame, labels: DataFrame, stages: Stages, learn: Column | None = None,
-                fit_docs: int = 20_000, pairs: int = 60_000) -> Column:
+                slice_docs: int = 10_000, pairs: int = 60_000) -> Column:
     """Score of a ``features`` column, learned from ``rows(doc_id, features)`` and ``labels(doc_id, quality)``.
 
-    ``learn`` is a condition on ``doc_id`` that labelled rows must meet.  At most about ``fit_docs`` labelled
-    documents, half of each class and chosen by a hash of the id, are gathered for the fit; the bound does not grow with the corpus.
-    The threshold is the quantile of their scores (each class weighted to its full number) at the share of rejected
-    labels; it is mapped to 0.3.  With labels of one class, or none, every score is 0.5.
+    ``learn`` is a condition on ``doc_id`` that labelled rows must meet.  All labelled documents take part in the pairs (see
+    :func:`pair_rows`; some ``pairs`` in all, or one for each document of the more frequent class) and in the threshold.  It is the quantile
+    of their scores at the share of rejected labels, mapped to 0.3.  With labels of one class, or none, every score is 0.5.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.where(learn) if learn is not None else known
-    known = stages.write(rows.dropDuplicates(["doc_id"]).select("doc_id", "features").join(known, "doc_id"), "labelled")
-    counts = {0: 0, 1: 0} | {r[0]: r[1] for r in known.groupBy((F.col("quality") > 0).cast("int")).count().collect()}
+    known = rows.dropDuplicates(["doc_id"]).select("doc_id", "features").join(known, "doc_id")
+    known = stages.write(known.select("doc_id", "features", (F.col("quality") > 0).alias("good")), "labelled")
+    counts = {0: 0, 1: 0} | {int(r[0]): r[1] for r in known.groupBy("good").count().collect()}
     if not counts[0] or not counts[1]:
+        stages.drop("labelled")
         return F.lit(0.5)
-    share = {q: min(1.0, fit_docs / 2 / counts[q]) for q in (0, 1)}
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < F.when(F.col("quality") > 0, share[1]).otherwise(share[0]) * (1 << 20)
-    sample = known.where(drawn).select((F.col("quality") > 0).alias("good"), "features", "doc_id").orderBy("doc_id").toArrow()
-    stages.drop("labelled")
-    x = np.array(sample.column("features").to_pylist(), float).reshape(-1, len(FEATURES))
-    good = np.array(sample.column("good").to_pylist(), bool)
-    if good.all() or not good.any():
-        return F.lit(0.5)
-    mean, spread = x.mean(0), np.maximum(x.std(0), 1e-6)
-    z = (x - mean) / spread
-    w = fit_pairs(z[good], z[~good], pairs)
-    raw = z @ w
-    weight = np.where(good, 1 / share[1], 1 / share[0])
-    order = np.argsort(raw)
-    below = np.cumsum(weight[order])
-    cut = int(np.clip(np.searchsorted(below, counts[0] / (counts[0] + counts[1]) * below[-1]), 0, len(raw) - 2))
-    threshold = (raw[order[cut]] + raw[order[cut + 1]]) / 2
-    a = w / spread
-    value = F.lit(float(-(mean @ a) - threshold + np.log(THRESHOLD / (1 - THRESHOLD))))
-    for i, slope in enumerate(a):
-        value = value + F.col("features")[i].cast("double") * float(slope)
-    return 1 / (1 + F.exp(-value))
-
-
-def score_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = None, fit_docs: int = 20_000, pairs: int = 60_000) -> DataFrame:
+    each = [F.col("features")[i].cast("double") for i in range(len(FEATURES))]
+    spread = np.maximum(np.array(known.agg(*[F.stddev_pop(c) for c in each]).first(), float), 1e-6)
+    a = fit_pairs(stages.write(pair_rows(known, counts, spread, slice_docs, pairs), "pairs")) / spread
+    raw = F.lit(0.0)
+    for c, slope in zip(each, a):
+        raw = raw + c * float(slope)
+    threshold = middle_after(stages.write(known.select(raw.alias("raw")), "raw"), counts[0])
+    stages.drop("labelled", "pairs", "raw")
+    return 1 / (1 + F.exp(-(raw - threshold + float(np.log(THRESHOLD / (1 - THRESHOLD))))))
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = None, slice_docs: int = 10_000, pairs: int = 60_000) -> DataFrame:
     """``doc_id`` and ``quality_score`` (0 to 1) of every row of ``docs(doc_id, text)``; good from 0.3 on.
 
     See :func:`fit_quality` for the learning.  Defined cases: null and empty texts have features of zero and get a score like
@@ -185,7 +228,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = Non
     """
     stages = Stages(docs.sparkSession, "quality")
     rows = stages.write(with_features(docs, "doc_id"), "features")
-    return rows.select("doc_id", fit_quality(rows, labels, stages, learn, fit_docs, pairs).alias("quality_score"))
+    return rows.select("doc_id", fit_quality(rows, labels, stages, learn, slice_docs, pairs).alias("quality_score"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

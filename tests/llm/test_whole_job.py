@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pressframe.llm.chosen_path import LEAST_PERCENT, TREES, components, least_equal, near_duplicates, trees_for
 from pressframe.llm.common import Stages
@@ -76,3 +77,22 @@ def test_of_repeated_rows_always_the_same_one_stays(spark):
     once = docs.select(*row_keys()).groupBy("did", "th").count().where("count > 1")
     found = {tuple(sorted(tuple(r) for r in without(docs.repartition(n).orderBy(F.rand(n)), once.where("false"), once=once).collect())) for n in (1, 3, 7)}
     assert len(found) == 1 and len(next(iter(found))) == 2
+
+
+def test_quality_is_learned_from_every_label(spark, tmp_path):
+    """As many labelled documents as were rejected lie under the threshold, beyond any number gathered at once, and slices change little."""
+    from pressframe.llm import quality
+    from pressframe.llm.common import Stages
+
+    n, bad = 26_000, 2_503
+    noise = [((F.xxhash64("doc_id", F.lit(i)) % 1000) / 1000).cast("float") for i in range(len(quality.FEATURES) - 1)]
+    good = F.col("doc_id") >= bad
+    spark.range(n).toDF("doc_id").select("doc_id", F.array((noise[0] + good.cast("int")).cast("float"), *noise).alias("features")).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    labels = rows.select("doc_id", good.cast("int").alias("quality"))
+    columns = [quality.fit_quality(rows, labels, Stages(spark, "test-quality"), **how).alias(name) for name, how in (("whole", {}), ("sliced", {"slice_docs": 1_000}))]
+    found = rows.select("doc_id", *columns).toPandas()
+    for name in ("whole", "sliced"):
+        assert (found[name] < quality.THRESHOLD).sum() == bad
+        assert ((found[name] >= quality.THRESHOLD) == (found.doc_id >= bad)).mean() > 0.9
+    assert (found.whole - found.sliced).abs().max() < 0.1
