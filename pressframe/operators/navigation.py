@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressframe.functions.text import attr, strip
@@ -34,33 +36,32 @@ def load_more_controls(nodes: DataFrame) -> DataFrame:
     """``(page_id, rule, pos)``: the first rule that fits, and its first element.
 
     Text rules look at strings (first own string of their parent), the others at elements; a
-    node yields all rules it meets and one filtered minimum picks the winner.
+    node yields all rules it meets and one filtered minimum picks the winner.  Only nodes that meet one, and
+    buttons with the icons that may lie in them, leave the scan.
     """
     element, tag = F.col("kind") == "E", F.col("tag")
     first_own = (F.col("kind") == "T") & (F.col("own_no") == 0)
-    hits = []
+    at = F.when(F.col("kind") == "T", F.col("parent")).otherwise(F.col("pos"))
+    hits, holding, by_icon = [], F.lit(False), []
     for rule, (what, name, value) in enumerate(LOAD_MORE_RULES, 1):
         if what == "text":
             test = first_own & (F.col("owner.tag") == name) & F.col("text").contains(value)
         elif what == "more":
             test = first_own & (F.col("owner.tag") == name) & F.col("text").contains(value) & ~F.col("text").contains("Learn")
         elif what == "icon":
-            test = ((element & (tag == name) & F.col("has_icon"))
-                    | (first_own & (F.col("owner.tag") == name) & F.col("text").contains("More")))
+            test = first_own & (F.col("owner.tag") == name) & F.col("text").contains("More")
+            holding = holding | (element & (tag == name))
+            by_icon.append(F.when(F.col("icon_tag") == name, F.struct(F.lit(rule).alias("rule"), F.col("pos"))))
         elif what == "label":
             test = element & (attr("aria-label") == value)
         else:
             test = element & (tag == name) & _has(what, value)
-        at = F.when(F.col("kind") == "T", F.col("parent")).otherwise(F.col("pos"))
         hits.append(F.when(F.coalesce(test, F.lit(False)), F.struct(F.lit(rule).alias("rule"), at.alias("pos"))))
-    text_tags = sorted({name for what, name, _ in LOAD_MORE_RULES if what in ("text", "icon", "more")})
-    icon = element & (tag == "i") & _has("class", "more")
-    wanted = ((element & (tag.isin("button", "a", "div", "i") | attr("aria-label").isNotNull()))
-              | ((F.col("kind") == "T") & F.col("owner.tag").isin(text_tags)))
-    rows = (nodes.where(F.coalesce(wanted, F.lit(False)))
-            .select("page_id", "pos", "end_pos", "parent", "kind", "tag", "attrs", "text", "own_no", "owner")
-            .withColumn("has_icon", holds(icon)))
-    return (rows.select("page_id", F.least(F.lit(None).cast("struct<rule:int,pos:int>"), *hits).alias("hit"))
+    none = F.lit(None).cast("struct<rule:int,pos:int>")
+    icon = F.coalesce(element & (tag == "i") & _has("class", "more"), F.lit(False))
+    rows = (nodes.select("page_id", "pos", "end_pos", F.least(none, *hits).alias("direct"), icon.alias("icon"), F.when(holding, tag).alias("icon_tag"))
+            .where("direct is not null or icon or icon_tag is not null").withColumn("has_icon", holds(F.col("icon"))))
+    return (rows.select("page_id", F.least(none, "direct", *[F.when(F.col("has_icon"), hit) for hit in by_icon]).alias("hit"))
             .where("hit is not null").groupBy("page_id").agg(F.min("hit").alias("hit"))
             .select("page_id", "hit.rule", "hit.pos"))
 
@@ -75,26 +76,40 @@ def next_controls(nodes: DataFrame, base: DataFrame | None = None) -> DataFrame:
     words = F.col("kind") == "T"
     names = ["li", "a", "span", "i", "button"]
     points = _has("class", "next") | _has("class", "right")
+    css = F.coalesce(attr("class"), F.lit(""))
+    # Attributes are judged before the windows, so flags travel instead of them.
+    flags = {
+        "points": points,
+        "li_next": (tag == "li") & F.translate(css, "PAGE", "page").contains("page") & F.translate(css, "NEXT", "next").contains("next"),
+        "menu_right": (tag == "span") & _has("class", "glyphicon-menu-right"),
+        "arrow": (tag == "span") & (_has("class", "arrow-right") | _has("class", "next-arrow")),
+        "chevron": (tag == "i") & (_has("class", "fa-chevron-right") | _has("class", "fa-arrow-right")),
+        "sr_only": (tag == "span") & _has("class", "sr-only"),
+        "spoken_next": (tag == "span") & (attr("aria-label") == "Next"),
+        "paged": (tag == "a") & _has("href", "page="),
+        "rel_next": _has("rel", "next") | _has("aria-label", "Next"),
+    }
     small = (nodes.where((element & (tag.isin(names) | points))
                          | (words & (F.col("owner.tag") == "span") & F.col("text").contains("Next")))
-             .select("page_id", "pos", "end_pos", "parent", "kind", "tag", "attrs", "own_no"))
+             .select("page_id", "pos", "end_pos", "parent", "kind", "tag", "own_no",
+                     *[F.coalesce(element & flag, F.lit(False)).alias(name) for name, flag in flags.items()]))
+    # A page without an element that a rule could name goes no further.
+    of_page = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    named_at_all = reduce(Column.__or__, [F.col(name) for name in flags if name not in ("points", "rel_next")])
+    small = small.withColumn("named", F.max(named_at_all).over(of_page)).where("named").drop("named")
     rows = (small.withColumn("in_li", inside(element & (tag == "li")))
             .withColumn("in_li_a", inside(element & (tag == "a") & F.col("in_li")))
-            .withColumn("points_below", holds(element & points)))
-    css = F.coalesce(attr("class"), F.lit(""))
-    li_next = (F.translate(css, "PAGE", "page").contains("page") & F.translate(css, "NEXT", "next").contains("next"))
-    span, icon = element & (tag == "span") & F.col("in_li"), element & (tag == "i") & F.col("in_li")
-    paged = element & (tag == "a") & F.col("in_li") & _has("href", "page=")
+            .withColumn("points_below", holds(F.col("points"))))
     own, up = F.col("pos"), F.col("parent")
     rules = [  # (rule, test, element the rule names)
-        (1, element & (tag == "li") & li_next, own),
-        (2, element & (tag == "span") & F.col("in_li_a") & _has("class", "glyphicon-menu-right"), up),
-        (3, span & (_has("class", "arrow-right") | _has("class", "next-arrow")), up),
-        (4, icon & (_has("class", "fa-chevron-right") | _has("class", "fa-arrow-right")), up),
-        (5, span & _has("class", "sr-only") & F.col("next_word"), up),  # one more level up below
-        (6, span & (attr("aria-label") == "Next"), up),
-        (7, paged & F.col("points_below"), own),
-        (8, paged & (_has("rel", "next") | _has("aria-label", "Next")), own),
+        (1, F.col("li_next"), own),
+        (2, F.col("menu_right") & F.col("in_li_a"), up),
+        (3, F.col("arrow") & F.col("in_li"), up),
+        (4, F.col("chevron") & F.col("in_li"), up),
+        (5, F.col("sr_only") & F.col("in_li") & F.col("next_word"), up),  # one more level up below
+        (6, F.col("spoken_next") & F.col("in_li"), up),
+        (7, F.col("paged") & F.col("in_li") & F.col("points_below"), own),
+        (8, F.col("paged") & F.col("in_li") & F.col("rel_next"), own),
     ]
     # First own string of a span (own_no 0), seen from the span by an equi-join.
     spoken = (rows.where("kind = 'T' and own_no = 0")
@@ -102,24 +117,23 @@ def next_controls(nodes: DataFrame, base: DataFrame | None = None) -> DataFrame:
     rows = (rows.where(element).join(spoken, ["page_id", "pos"], "left")
             .withColumn("next_word", F.coalesce("said", F.lit(False))))
     hits = F.array_compact(F.array(*[
-        F.when(F.coalesce(test, F.lit(False)), F.struct(F.lit(rule).alias("rule"), at.alias("pos")))
+        F.when(test, F.struct(F.lit(rule).alias("rule"), at.alias("pos")))
         for rule, test, at in rules]))
     found = rows.select("page_id", F.inline(hits))
-    above = nodes.where(element).select("page_id", "pos", "end_pos", "parent", "tag", "attrs")
+    above = nodes.where(element).select("page_id", "pos", "end_pos", "parent", "tag", attr("href").alias("href"))
     steps = (found.where("rule = 5").join(above.select("page_id", "pos", "parent"), ["page_id", "pos"])
              .select("page_id", "rule", F.col("parent").alias("pos")))
     firsts = (found.where("rule <> 5").unionByName(steps).groupBy("page_id", "rule").agg(F.min("pos").alias("pos")))
-    named = firsts.join(above, ["page_id", "pos"]).select("page_id", "rule", "pos", "end_pos", "tag", "attrs")
+    named = firsts.join(above, ["page_id", "pos"]).select("page_id", "rule", "pos", "end_pos", "tag", "href")
     # At most eight hits per page, so the residual below looks at few pairs.
     inner = (above.where(tag.isin("a", "button"))
-             .select("page_id", F.col("pos").alias("in_pos"), F.col("tag").alias("in_tag"), attr("href").alias("in_href")))
+             .select("page_id", F.col("pos").alias("in_pos"), F.col("tag").alias("in_tag"), F.col("href").alias("in_href")))
     held = (named.where("tag <> 'a'").join(inner, "page_id").where("in_pos > pos and in_pos <= end_pos")
             .groupBy("page_id", "rule", "pos")
             .agg(F.min(F.struct((F.col("in_tag") == "a").alias("link"), "in_pos", "in_href")).alias("in"))
             .select("page_id", "rule", "pos", F.col("in.in_pos").alias("clickable_pos"),
                     F.when(F.col("in.link"), F.col("in.in_href")).alias("href")))
-    direct = named.where("tag = 'a'").select("page_id", "rule", "pos", F.col("pos").alias("clickable_pos"),
-                                             attr("href").alias("href"))
+    direct = named.where("tag = 'a'").select("page_id", "rule", "pos", F.col("pos").alias("clickable_pos"), "href")
     best = (direct.unionByName(held).groupBy("page_id")
             .agg(F.min(F.struct("rule", "pos", "clickable_pos", "href")).alias("hit")).select("page_id", "hit.*"))
     if base is None:
