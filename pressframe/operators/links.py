@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from pressframe.functions import urls
 from pressframe.functions.text import attr
-from pressframe.operators.tree import with_hidden
+from pressframe.operators.tree import hides_itself, with_hidden
 
 URL_FLAGS = ["has_protocol", "has_subdomain", "has_port", "has_query", "has_fragment",
              "has_file_extension", "is_relative_url", "multi_level_path"]
@@ -23,11 +23,11 @@ def _page() -> WindowSpec:
 
 def anchors(nodes: DataFrame) -> DataFrame:
     """All links of a page with both ancestor paths, text and hidden flag."""
-    is_link = (F.col("tag") == "a") & attr("href").isNotNull()
-    narrow = nodes.select("page_id", "pos", "end_pos", "depth", "kind", "tag", "attrs", "text",
-                          "anc_flex", "anc_strict")
-    return with_hidden(narrow.where("kind = 'E'").repartition("page_id"), is_link).select(
-        "page_id", "pos", "anc_flex", "anc_strict", attr("href").alias("href"), "text", "hidden")
+    hides, href = hides_itself(), F.when(F.col("tag") == "a", attr("href"))
+    narrow = (nodes.where((F.col("kind") == "E") & (hides | href.isNotNull()))
+              .select("page_id", "pos", "end_pos", "depth", "kind", "text", "anc_flex", "anc_strict", href.alias("href"), hides.alias("hides")))
+    return with_hidden(narrow.repartition("page_id"), F.col("href").isNotNull(), hides=F.col("hides")).select(
+        "page_id", "pos", "anc_flex", "anc_strict", "href", "text", "hidden")
 
 
 def valid_links(links: DataFrame) -> DataFrame:

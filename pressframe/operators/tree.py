@@ -58,14 +58,14 @@ def hides_itself(attrs: str = "attrs") -> Column:
             | F.coalesce(F.lower(attr("class", attrs)).contains("hidden"), F.lit(False)))
 
 
-def with_hidden(nodes: DataFrame, wanted: Column, levels: int = 3) -> DataFrame:
+def with_hidden(nodes: DataFrame, wanted: Column, levels: int = 3, hides: Column | None = None) -> DataFrame:
     """The wanted elements with a ``hidden`` flag: they or one of ``levels`` nearest ancestors hide.
 
     An element that hides at depth d counts for depths d to d + levels inside its interval.
     So it is repeated once per such depth, and one running maximum per (page, depth) answers
-    the question.  Only wanted and hiding elements take part.
+    the question.  Only wanted and hiding elements take part.  ``hides`` is for nodes that no longer carry their attributes.
     """
-    hides = hides_itself()
+    hides = hides_itself() if hides is None else hides
     roles = F.concat(
         F.when(hides, F.transform(F.sequence(F.lit(0), F.lit(levels)),
                                   lambda k: F.struct((F.col("depth") + k).alias("level"), F.lit(0).alias("role"))))

@@ -70,9 +70,15 @@ def discover_crawl(crawl: DataFrame, max_pages: int | None = None, dedup: bool =
     else:
         rows = rows.withColumn("year_no", year_order())
     key = F.to_json(F.struct("site_id", "year_no", "year", "page_no", F.xxhash64("html").alias("version")), {"ignoreNullFields": "false"})
-    pages = rows.withColumn("page_id", key)
-    nodes = listing_nodes(pages) if follow else None
-    found = discover_groups(pages, nodes).select("page_id", "urls", links.is_client_side().alias("client_side"))
+    # All windows sort by the page, so it goes by a digest of 16 bytes instead of a long text that starts like any other.
+    pages = rows.withColumn("page_id", F.unhex(F.md5(key.cast("binary"))))
+    # Where repeats are looked for, a page that landed twice is read once.
+    once = pages
+    if dedup:
+        same = Window.partitionBy("page_id").orderBy("page_id")
+        once = pages.select("page_id", "html", *[c for c in pages.columns if c == "charset"]).withColumn("nth", F.row_number().over(same)).where("nth = 1").drop("nth")
+    nodes = listing_nodes(once) if follow else None
+    found = discover_groups(once, nodes).select("page_id", "urls", links.is_client_side().alias("client_side"))
     short = pages.select("page_id", "site_id", "base_url", "year", "year_no", "page_no").dropDuplicates(["page_id"])
     lists = short.join(found, "page_id", "left")
     if follow:

@@ -13,3 +13,18 @@ LISTING = "<ul>" + "".join(f'<li><a href="/2023/p0/a-wins-{j}">D</a></li>' for j
 @pytest.mark.parametrize("name", ["date_candidates", "prune_losses", "table_grid"])
 def test_nothing_is_sent_to_all_tasks_by_the_size_of_a_file(spark, name):
     assert "Broadcast" not in QUERIES[name](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_a_listing_without_a_pager_gives_links_only(spark, pages_of):
+    assert discovery.listing_nodes(pages_of(LISTING)).count() == 5
+    with_pager = LISTING + '<ul><li class="page next"><a href="?page=2">n</a></li></ul><button>Load More</button>'
+    assert discovery.listing_nodes(pages_of(with_pager)).count() == 5 + 5 + 2 + 2
+
+
+def test_a_crawl_goes_by_short_keys_and_reads_repeats_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(discovery, "flatten_dom", lambda pages, **how: seen.append(pages) or flatten_dom(pages, **how))
+    rows = [(1, "https://c.example.com/news/", 0, "2023", LISTING)] * 2
+    crawl = spark.createDataFrame(rows, "site_id long, base_url string, page_no int, year string, html string")
+    assert discovery.discover_crawl(crawl, dedup=True).count() == 5
+    assert seen[0].count() == 1 and seen[0].schema["page_id"].dataType.simpleString() == "binary"
