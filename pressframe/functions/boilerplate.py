@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from pressframe.functions.text import END, WS, any_of, strip
@@ -19,6 +21,8 @@ STRICT = ["^forward[S-]*looking[S-]*statements?$", "^safe[S]+harbor[S]+statement
 LENIENT = ["^.*forward[S-]*looking[S-]*statements?.*$", "^.*safe[S]+harbor[S]+statements?.*$",
            "^.*about[S][a-zS]++.*$"]
 HEADER_WORDS = "looking|harbor|about"
+# Letters that also count as an s or an i where case is ignored.
+ODD_LETTERS = "\u017f\u0131\u0130"
 LENIENT_OWNER = "^.*[a-zS]+'?s[S]+safe[S]+harbor[S]+statement.*$"
 OWNER_PHRASE = "s[S]+safe[S]+harbor[S]+statement"
 
@@ -29,8 +33,15 @@ def _regex(*patterns: str) -> str:
     return f"(?diu)(?:{body})"
 
 
-def is_basic(text: Column) -> Column:
-    return any_of(text, BASIC)
+def _may_hold(text: Column, low: Column, words: list[str]) -> Column:
+    """False where none of the words is there in any case.  Plain searches settle most lines many times as fast as a pattern;
+    text with an odd letter is left to that."""
+    return reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in ODD_LETTERS] + [F.contains(low, F.lit(w)) for w in words])
+
+
+def is_basic(text: Column, low: Column | None = None) -> Column:
+    """``low`` is the text in lower case, where that is there already."""
+    return _may_hold(text, F.lower(text) if low is None else low, [p.partition("(")[0] for p in BASIC]) & any_of(text, BASIC)
 
 
 def is_strict_header(text: Column) -> Column:
@@ -54,17 +65,21 @@ def is_bold(tag: Column, css_class: Column, style: Column) -> Column:
 def boilerplate(text: Column, tag: Column, css_class: Column, style: Column) -> tuple[Column, Column]:
     """``(is_boilerplate, is_section_header)``; boilerplate wins over header."""
     basic = is_basic(text)
-    header = is_strict_header(text) | (has_header_phrase(text) & is_bold(tag, css_class, style))
-    return basic, _may_be_header(text) & ~basic & header
+    return basic, is_header(text, tag, css_class, style, may_be_header(text), basic)
 
 
-def _may_be_header(text: Column) -> Column:
+def may_be_header(text: Column, low: Column | None = None) -> Column:
     """Every header holds one of three words, so most lines are settled by this short search."""
-    return F.lower(text).rlike(f"(?iu){HEADER_WORDS}")
+    low = F.lower(text) if low is None else low
+    return _may_hold(text, low, HEADER_WORDS.split("|")) & low.rlike(f"(?iu){HEADER_WORDS}")
+
+
+def is_header(text: Column, tag: Column, css_class: Column, style: Column, may_be: Column, basic: Column) -> Column:
+    """Section header, from what :func:`may_be_header` and :func:`is_basic` say of the line."""
+    return may_be & ~basic & (is_strict_header(text) | (has_header_phrase(text) & is_bold(tag, css_class, style)))
 
 
-def bold_test_breaks(text: Column, tag: Column, css_class: Column, style: Column) -> Column:
-    """Lines on which the test for bold classes finds no single class to look at."""
+def bold_test_breaks(text: Column, tag: Column, css_class: Column, style: Column, may_be: Column, basic: Column) -> Column:
+    """Lines on which the test for bold classes finds no single class to look at; the last two as for :func:`is_header`."""
     by_tag_or_style = is_bold(tag, F.lit(""), style)
-    return (_may_be_header(text) & F.coalesce(css_class != "", F.lit(False)) & ~by_tag_or_style
-            & ~is_basic(text) & has_header_phrase(text))
+    return may_be & F.coalesce(css_class != "", F.lit(False)) & ~by_tag_or_style & ~basic & has_header_phrase(text)

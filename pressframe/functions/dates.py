@@ -63,32 +63,37 @@ def _group(text: Column, regex: str, n: int) -> Column:
 
 
 def text_dates(text: Column, as_of: Column) -> list[Column]:
-    """One DATE column per pattern: the first hit of that pattern in the text, null when it is no date."""
-    iso = r"(\d{4})-(\d{2})-(\d{2})"
-    y, m, d = (_group(text, iso, i) for i in (1, 2, 3))
-    by_iso = _date(y.cast("int"), m.cast("int"), d.cast("int"))
-
-    slashed = r"(\d{1,2})/(\d{1,2})/(\d{2,4})"
-    a, b, c = (_group(text, slashed, i) for i in (1, 2, 3))
-    first, second, third = a.cast("int"), b.cast("int"), c.cast("int")
-    # Month first, unless the first number can only be a day (over 12) or a year (over 31).
-    by_slash = (F.when(first > 31, _date(_full_year(a, as_of), second, third))
+    """One DATE column per pattern: the first hit of that pattern in the text, null when it is no date.
+
+    Each group is looked for once, however often it is used."""
+    def found(regex: str, body: Callable[[Column, Column, Column], Column]) -> Column:
+        groups = F.struct(*[_group(text, regex, i).alias(f"g{i}") for i in (1, 2, 3)])
+        return _let(groups, lambda g: body(g["g1"], g["g2"], g["g3"]))
+
+    def iso(y: Column, m: Column, d: Column) -> Column:
+        return _date(y.cast("int"), m.cast("int"), d.cast("int"))
+
+    def slashed(a: Column, b: Column, c: Column) -> Column:
+        first, second, third = a.cast("int"), b.cast("int"), c.cast("int")
+        # Month first, unless the first number can only be a day (over 12) or a year (over 31).
+        return (F.when(first > 31, _date(_full_year(a, as_of), second, third))
                 .when(first > 12, _date(_full_year(c, as_of), second, first))
                 .otherwise(_date(_full_year(c, as_of), first, second)))
 
-    named = r"((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*) (\d{1,2}),? (\d{4})"
-    month = F.try_element_at(_month_number(), _group(text, named, 1))
-    day, year = _group(text, named, 2).cast("int"), _group(text, named, 3).cast("int")
-    # With a year like 0012 nothing marks the last number as the year, so a "day" over 31 is it.
-    by_name = (F.when((day > 31) & (year <= 100), _date(_near_year(day, as_of), month, year))
-               .otherwise(_date(_near_year(year, as_of), month, day)))
-    return [by_iso, by_slash, by_name]
+    def named(name: Column, d: Column, y: Column) -> Column:
+        month, day, year = F.try_element_at(_month_number(), name), d.cast("int"), y.cast("int")
+        # With a year like 0012 nothing marks the last number as the year, so a "day" over 31 is it.
+        return (F.when((day > 31) & (year <= 100), _date(_near_year(day, as_of), month, year))
+                .otherwise(_date(_near_year(year, as_of), month, day)))
+
+    return [found(r"(\d{4})-(\d{2})-(\d{2})", iso), found(r"(\d{1,2})/(\d{1,2})/(\d{2,4})", slashed),
+            found(r"((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*) (\d{1,2}),? (\d{4})", named)]
 
 
 def has_text_date(text: Column) -> Column:
     """Some pattern is there.  Each holds a digit after a dash, a slash or a word, which is tested
-    first: the full alternation is slow on long text."""
-    return text.rlike(r"\d[-/]\d|[a-z] \d") & text.rlike("|".join(DATE_PATTERNS))
+    first, from the digit back: the full alternation is slow on long text."""
+    return text.rlike(r"\d(?<=\d[-/]\d|[a-z] \d)") & text.rlike("|".join(DATE_PATTERNS))
 
 
 def _named_month(value: Column) -> Column:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from pressframe.functions.boilerplate import bold_test_breaks, boilerplate
+from pressframe.functions import boilerplate as bp
 from pressframe.functions.text import attr, strip
 from pressframe.operators.tree import holds, inside
 
@@ -82,11 +82,13 @@ def content_rows(nodes: DataFrame) -> DataFrame:
     element, text = F.col("kind") == "E", (F.col("kind") == "T") & F.col("seq").isNotNull()
     wanted_tags = sorted({"article", "table", *BLOCK_TAGS, *UNWANTED_TAGS, *TARGET_TAGS, *CELL_TAGS})
     place = (F.col("owner.tag"), F.col("owner.class"), F.col("owner.style"))
-    basic, header = boilerplate(F.col("text"), *place)
-    narrow = nodes.where(text | (element & F.col("tag").isin(wanted_tags))).select(
-        "page_id", "pos", "end_pos", "kind", "tag", "text_len", "attrs",
-        *[F.when(text, flag).alias(name) for name, flag in
-          [("basic", basic), ("header", header), ("breaking", bold_test_breaks(F.col("text"), *place))]])
+    # What several flags look at is worked out in steps, once for each line.
+    lines = nodes.where(text | (element & F.col("tag").isin(wanted_tags))).withColumn("low", F.when(text, F.lower("text")))
+    lines = lines.withColumns({"basic": F.when(text, bp.is_basic(F.col("text"), F.col("low"))),
+                               "may_be": F.when(text, bp.may_be_header(F.col("text"), F.col("low")))})
+    judged = [F.col("text"), *place, F.col("may_be"), F.col("basic")]
+    narrow = lines.select("page_id", "pos", "end_pos", "kind", "tag", "text_len", "attrs", "basic",
+                          *[F.when(text, flag(*judged)).alias(name) for name, flag in [("header", bp.is_header), ("breaking", bp.bold_test_breaks)]])
     is_table = element & (F.col("tag") == "table")
     rows = (_root_rows(narrow)
             .withColumn("in_table", inside(is_table))

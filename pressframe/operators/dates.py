@@ -33,17 +33,23 @@ def dated_texts(nodes: DataFrame) -> DataFrame:
             .where("shows").drop("marks", "shows"))
 
 
+def _word_parts(texts: DataFrame) -> DataFrame:
+    """``page_id, pos, own, head, tail`` of pieces of text: whether a publication word is inside, and as much of both ends as one may share with others."""
+    longest = max(map(len, PUBLICATION_WORDS))
+    low = texts.select("page_id", "pos", F.lower("text").alias("low"))
+    return low.select("page_id", "pos", _holds_word(F.col("low")).alias("own"), F.substring("low", 1, longest - 1).alias("head"),
+                      F.substring("low", 1 - longest, longest - 1).alias("tail"))
+
+
 def _ends_of_words(pieces: DataFrame) -> DataFrame:
     """``page_id, pos, ends``: for each piece of page text, where the first publication word that starts in it or after it at once ends.
 
     A word may run over several pieces, at most one for each of its characters; so a piece is read together with the
-    beginnings of as many pieces after it.  Of the texts only their ends enter the window.
+    beginnings of as many pieces after it (see :func:`_word_parts`).
     """
     longest = max(map(len, PUBLICATION_WORDS))
     in_order = Window.partitionBy("page_id").orderBy("pos")
-    rows = pieces.select("page_id", "pos", _holds_word(F.col("low")).alias("own"), F.substring("low", 1, longest - 1).alias("head"),
-                         F.substring("low", 1 - longest, longest - 1).alias("tail"))
-    rows = rows.withColumns({f"{name}_{k}": F.lead(name, k).over(in_order) for k in range(1, longest) for name in ("head", "pos")})
+    rows = pieces.withColumns({f"{name}_{k}": F.lead(name, k).over(in_order) for k in range(1, longest) for name in ("head", "pos")})
     so_far, steps = F.col("tail"), []
     for k in range(1, longest):
         so_far = F.concat(so_far, F.coalesce(f"head_{k}", F.lit("")))
@@ -55,11 +61,11 @@ def _ends_of_words(pieces: DataFrame) -> DataFrame:
 def near_publication_words(nodes: DataFrame, asking: DataFrame) -> DataFrame:
     """``(page_id, pos)`` of the dated texts in ``asking(page_id, pos, parent, parent_end)`` whose parent holds a publication word.
 
-    Only pages in ``asking`` are read.  Each question stands before its parent's pieces; read from the page's end, the running
+    Of the texts only their ends are exchanged, and only pages in ``asking`` go further.  Each question stands before its parent's pieces; read from the page's end, the running
     minimum of the words' ends says whether one that starts inside the parent also ends there.  That is one
     row for each piece and each question, however the parents nest.
     """
-    pieces = nodes.where("kind = 'T'").select("page_id", "pos", F.lower("text").alias("low"))
+    pieces = _word_parts(nodes.where("kind = 'T'"))
     pieces = _ends_of_words(pieces.join(asking.select("page_id").distinct(), "page_id", "left_semi"))
     rows = pieces.join(asking, ["page_id", "pos"], "left")
     piece = F.struct(F.col("pos").alias("at"), F.col("ends").alias("ends"), F.lit(None).cast("int").alias("asks"))

@@ -112,7 +112,7 @@ def cuts(outline: DataFrame, mark: bool = False) -> DataFrame:
     entry = F.struct(code.alias("code"), "label_types", "label_values") if mark else code
     sums = [F.sum(F.col(c)).alias(f"all_{c}") for c in ("n", "total")] + [F.sum(F.when(kept, F.col(c))).alias(f"kept_{c}") for c in ("n", "total")]
     mixed = [F.bit_xor("mixed").alias("all_mixed"), F.bit_xor(F.when(kept, F.col("mixed"))).alias("kept_mixed")]
-    pages = with_gone(outline, F.col("n") > 0).groupBy("page_id").agg(F.array_sort(F.collect_list(F.when(is_node, entry))).alias("stays"), *sums, *mixed)
+    pages = with_gone(outline, F.col("n") > 0).groupBy("page_id").agg(F.sort_array(F.collect_list(F.when(is_node, entry))).alias("stays"), *sums, *mixed)
     same = [F.col(f"all_{c}") == F.coalesce(f"kept_{c}", F.lit(0)) for c in ("n", "total", "mixed")]
     return pages.select("page_id", "stays", (same[0] & same[1] & same[2]).alias("labels_kept"))
 
@@ -152,8 +152,8 @@ def _escape(text: Column, quote: bool = False) -> Column:
 def render_html(nodes: DataFrame, cut: DataFrame | None = None, mark: bool = False) -> DataFrame:
     """``(page_id, clean_html)`` from nodes, without those that do not stay by ``cut`` (see :func:`cuts`).
 
-    Every element gives an opening and a closing chunk; sorting by (position, closing, depth)
-    restores the nesting.  A closing chunk sorts after all that starts inside its interval, the
+    Nodes meet the cut of their page row by row, in the order of pages, so a task puts its pages together one at a time.  Every element
+    gives an opening and a closing chunk; sorting by (position, closing, depth) restores the nesting.  A closing chunk sorts after all that starts inside its interval, the
     innermost first.  ``mark`` writes node numbers and the labels in ``cut`` as ``data-`` attributes, and a
     label's value as ``data-<label>``.
     """
@@ -162,7 +162,8 @@ def render_html(nodes: DataFrame, cut: DataFrame | None = None, mark: bool = Fal
     entries = F.transform(F.map_entries("attrs"), lambda e: F.concat(
         F.lit(" "), e["key"], F.lit("="), _escape(e["value"], quote=True)))
     number = F.concat(F.lit(' data-node="'), F.col("node_idx").cast("string"), F.lit('"')) if mark else F.lit("")
-    head = F.concat(F.lit("<"), F.col("tag"), F.array_join(entries, ""), number)
+    written = F.when(F.size("attrs") == 0, "").otherwise(F.array_join(entries, ""))
+    head = F.concat(F.lit("<"), F.col("tag"), written, number)
     tail = F.when(void, F.lit("/>")).otherwise(F.lit(">"))
     raw = F.col("owner.tag").isin("script", "style")
     words = F.when(raw, F.col("text")).otherwise(_escape(F.col("text")))
@@ -171,44 +172,40 @@ def render_html(nodes: DataFrame, cut: DataFrame | None = None, mark: bool = Fal
     in_span = F.col("seq").isNotNull() & (F.col("kind") == "T") if mark else F.lit(False)
     span = F.concat(F.lit('<span data-seq="'), F.col("seq").cast("string"), F.lit('"'), number)
 
-    def chunk(at: Column, closing: int, *text: Column) -> Column:
-        return F.struct(at.alias("at"), F.lit(closing).alias("closing"), (-F.col("pos")).alias("inner"),
-                        *[t.cast("string").alias(n) for n, t in zip(("chunk", "after_labels"), text)])
-
     if mark:  # labels go in between
-        opening = chunk(F.col("pos"), 0, F.when(element, head).when(in_span, span).otherwise(words),
-                        F.when(element, tail).when(in_span, F.concat(F.lit(">"), words, F.lit("</span>"))))
+        texts = [F.when(element, head).when(in_span, span).otherwise(words).alias("chunk"),
+                 F.when(element, tail).when(in_span, F.concat(F.lit(">"), words, F.lit("</span>"))).alias("after_labels")]
     else:
-        opening = chunk(F.col("pos"), 0, F.when(element, F.concat(head, tail)).otherwise(words))
-    closing = chunk(F.col("end_pos"), 1, F.concat(F.lit("</"), F.col("tag"), F.lit(">")), *[F.lit(None)] * mark)
-    chunks = F.when(element & ~void, F.array(opening, closing)).otherwise(F.array(opening))
-    pages = (nodes.where("kind <> 'R'").select("page_id", F.inline(chunks)).groupBy("page_id")
-             .agg(F.array_sort(F.collect_list(F.struct("at", "closing", "inner", "chunk", *["after_labels"] * mark))).alias("chunks")))
+        texts = [F.when(element, F.concat(head, tail)).otherwise(words).alias("chunk")]
+    rows = nodes.where("kind <> 'R'").select(
+        "page_id", "pos", "end_pos", *texts, F.when(element & ~void, F.concat(F.lit("</"), F.col("tag"), F.lit(">"))).alias("closes"))
+    shown = []
     if cut is None:
-        return pages.select("page_id", F.array_join(F.col("chunks.chunk"), "").alias("clean_html"))
-
-    first = F.col("stays")[0]["code"] if mark else F.col("stays")[0]
-
-    def entry(c: Column) -> Column:
-        return F.get("stays", -c["inner"] - F.shiftright(first, 1).cast("int"))
-
-    def stays(c: Column) -> Column:
-        """By the place its number should have; where numbers are missing, by search."""
-        wanted, found = -c["inner"].cast("long") * 2, entry(c)["code"] if mark else entry(c)
-        return F.when(F.shiftright(found, 1) == -c["inner"], found == wanted + 1).otherwise(
-            F.exists("stays", lambda x: (x["code"] if mark else x) == wanted + 1))
-
-    kept = F.filter("chunks", stays)
-    if mark:
-        def labels(c: Column) -> Column:
-            return F.when(F.shiftright(entry(c)["code"], 1) == -c["inner"], entry(c)).otherwise(
-                F.get(F.filter("stays", lambda x: F.shiftright(x["code"], 1) == -c["inner"]), 0))
-
-        kept = F.transform(kept, lambda c: F.when(c["after_labels"].isNull(), c["chunk"]).otherwise(
-            F.concat(c["chunk"], _label_attributes(labels(c)), c["after_labels"])))
+        rows = rows.withColumn("kept", F.lit(True)).sortWithinPartitions("page_id")
     else:
-        kept = F.transform(kept, lambda c: c["chunk"])
-    return pages.join(cut, "page_id").select("page_id", F.array_join(kept, "").alias("clean_html"))
+        rows = rows.join(cut, "page_id")
+        first = F.col("stays")[0]["code"] if mark else F.col("stays")[0]
+        wanted, place = F.col("pos").cast("long") * 2, F.get("stays", F.col("pos") - F.shiftright(first, 1).cast("int"))
+        found = place["code"] if mark else place
+        in_place = F.shiftright(found, 1) == F.col("pos")
+        # By the place its number should have; where numbers are missing, by search.
+        rows = rows.withColumn("kept", F.when(in_place, found == wanted + 1).otherwise(
+            F.exists("stays", lambda x: (x["code"] if mark else x) == wanted + 1)))
+        if mark:
+            entry = F.when(in_place, place).otherwise(F.get(F.filter("stays", lambda x: F.shiftright(x["code"], 1) == F.col("pos")), 0))
+            rows = rows.withColumn("shown", F.when(F.col("after_labels").isNull(), F.col("chunk")).otherwise(
+                F.concat("chunk", _label_attributes(entry), "after_labels")))
+            shown = ["after_labels", "shown"]
+
+    def chunk(at: str, closing: int, *text: Column) -> Column:
+        return F.struct(F.col(at).alias("at"), F.lit(closing).alias("closing"), (-F.col("pos")).alias("inner"),
+                        *[t.cast("string").alias(n) for n, t in zip(["chunk", *shown], text)])
+
+    opening = chunk("pos", 0, F.col("chunk"), *map(F.col, shown))
+    closing = chunk("end_pos", 1, F.col("closes"), *[F.lit(None), F.col("closes")][:len(shown)])
+    lists = [F.collect_list(F.when(F.col("kept"), opening)), F.collect_list(F.when(F.col("kept") & F.col("closes").isNotNull(), closing))]
+    pages = rows.groupBy("page_id").agg(F.sort_array(F.concat(*lists)).alias("chunks"))
+    return pages.select("page_id", F.array_join(F.col("chunks")["shown" if shown else "chunk"], "").alias("clean_html"))
 
 
 def _label_attributes(entry: Column) -> Column:

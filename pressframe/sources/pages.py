@@ -26,8 +26,15 @@ SETTINGS = {
     # Sizes in a shuffle say as little, so a task reads little of it, and the number of tasks goes up with the rows.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8MB",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
+    # The same for reading: a task takes two files of a stage table, and those end after so many rows (see write_stage).
+    "spark.sql.files.maxPartitionBytes": "8MB",
+    # Rows in the order of their groups are aggregated as they come, one group at a time, without a table of groups.
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
 }
 
+# Rows of a file of a stage table, and bytes of a part of a file that is read by itself.
+STAGE_FILE_ROWS, STAGE_BLOCK_BYTES = 200_000, 8 << 20
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
@@ -79,12 +86,13 @@ def write_stage(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame once as parquet and read it back.
 
     Several branches can then share the work, each scans only its columns, tag filters reach
-    the scan, and a lost executor costs a re-read instead of a new parse.  ``remove_stages`` clears
+    the scan, and a lost executor costs a re-read instead of a new parse.  Files end after a number of rows, so the tasks that
+    read a table go up with its rows and each holds as much, however few tasks wrote it.  ``remove_stages`` clears
     them when their results have been used.
     """
     spark = frame.sparkSession
     path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.option("maxRecordsPerFile", STAGE_FILE_ROWS).option("parquet.block.size", STAGE_BLOCK_BYTES).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
