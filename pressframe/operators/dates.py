@@ -76,13 +76,15 @@ def near_publication_words(nodes: DataFrame, asking: DataFrame) -> DataFrame:
     return events.where("asks is not null and first_end <= parent_end").select("page_id", F.col("asks").alias("pos"))
 
 
-def text_date_candidates(nodes: DataFrame, as_of: Column | None = None, settled: DataFrame | None = None) -> DataFrame:
+def text_date_candidates(nodes: DataFrame, as_of: Column | None = None, settled: DataFrame | None = None,
+                         dated: DataFrame | None = None) -> DataFrame:
     """``(page_id, pattern_no, pos, day, score)`` for every text node and pattern.
 
-    Pages in ``settled(page_id)`` are left out as soon as their few dated texts are known.
+    Pages in ``settled(page_id)`` are left out as soon as their few dated texts are known.  ``dated`` is the result of
+    :func:`dated_texts`, which is read three times, where it has been written already.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
-    found = dated_texts(nodes)
+    found = dated_texts(nodes) if dated is None else dated
     if settled is not None:
         found = found.join(settled.select("page_id"), "page_id", "left_anti")
     found = found.withColumn("own_word", _says_published(F.col("text")))
@@ -107,6 +109,6 @@ def best_text_dates(found: DataFrame) -> DataFrame:
                     F.col("best.day").cast("timestamp").alias("published_ts"), F.lit("text").alias("method")))
 
 
-def article_dates(nodes: DataFrame, head: DataFrame, as_of: Column | None = None) -> DataFrame:
+def article_dates(nodes: DataFrame, head: DataFrame, as_of: Column | None = None, dated: DataFrame | None = None) -> DataFrame:
     """Date per page: head dates first, page text only for the pages they leave open."""
-    return head.unionByName(best_text_dates(text_date_candidates(nodes, as_of, settled=head)))
+    return head.unionByName(best_text_dates(text_date_candidates(nodes, as_of, settled=head, dated=dated)))

@@ -198,8 +198,9 @@ def render_html(nodes: DataFrame, cut: DataFrame | None = None, mark: bool = Fal
             shown = ["after_labels", "shown"]
 
     def chunk(at: str, closing: int, *text: Column) -> Column:
-        return F.struct(F.col(at).alias("at"), F.lit(closing).alias("closing"), (-F.col("pos")).alias("inner"),
-                        *[t.cast("string").alias(n) for n, t in zip(["chunk", *shown], text)])
+        # Position, closing and depth as one number, which is compared faster than three.
+        place = F.shiftleft(F.col(at).cast("long") * 2 + closing, 31) + ((1 << 31) - 1 - F.col("pos").cast("long"))
+        return F.struct(place.alias("place"), *[t.cast("string").alias(n) for n, t in zip(["chunk", *shown], text)])
 
     opening = chunk("pos", 0, F.col("chunk"), *map(F.col, shown))
     closing = chunk("end_pos", 1, F.col("closes"), *[F.lit(None), F.col("closes")][:len(shown)])

@@ -16,12 +16,13 @@ from pressframe.sources.runs import write_run
 def article_parts(nodes: DataFrame, as_of: Column | None = None) -> dict[str, DataFrame]:
     """The four branches of an article page.
 
-    Facts, dates and content roles are read by several consumers (labels, counts, record), so
+    Facts, dated texts, dates and content roles are read by several consumers (labels, counts, record), so
     each is written once: about one short row per page or per labelled node.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     facts = write_stage(head.head_facts(nodes), "facts")
-    date = write_stage(dates.article_dates(nodes, head.head_dates(facts, as_of), as_of), "dates")
+    dated = write_stage(dates.dated_texts(nodes), "dated")
+    date = write_stage(dates.article_dates(nodes, head.head_dates(facts, as_of), as_of, dated), "dates")
     rows = write_stage(content.content_rows(nodes), "content")
     return {"title": head.titles(head.title_candidates(facts)), "date": date,
             "metadata": head.metadata(facts), "rows": rows}
