@@ -2,7 +2,7 @@
 
 What is cut follows from positions, tags and labels alone.  Those narrow rows go through the windows and end as one short row per
 page: a flag for every position, its labels, and digests of the labels before and after the cut.  Texts and
-attributes are rendered beside that, page by page, and meet it as one row per page.
+attributes are rendered beside that, node by node, and meet that row by page.
 """
 
 from __future__ import annotations
