@@ -1,7 +1,7 @@
 """Words of Arrow text batches as numpy arrays: no Python object per word.
 
-A batch is cut into slices of about a megabyte (a longer document is a slice of its own), so
-memory follows the slice and not the batch.  Words get 64-bit polynomial hashes over a
+A batch is cut into slices of about 128 kB (a longer document is a slice of its own), so
+memory follows the slice and not the batch: a pass holds some ten numbers for each byte of it.  Words get 64-bit polynomial hashes over a
 random byte table; windows of any length follow from one running sum.
 """
 
@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import numpy as np
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 17
+#: Longest table of powers that a worker keeps; it is 8 bytes a power.
+KEPT_POWERS = 1 << 20
 _BASE = 6364136223846793005
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -23,7 +25,7 @@ def _powers(base: int, n: int) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if size <= SLICE_BYTES * 4:
+        if size <= KEPT_POWERS:
             _POWERS[base] = have
     return have[:n]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,13 +28,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 #: Texts are long, so few of them travel in one Arrow batch: what a task holds beside the heap, in the JVM and in Python, follows from it.
 BATCH_ROWS = 2000
+#: A batch ends with the row that reaches so many bytes, whatever its rows hold beside the text.
+BATCH_BYTES = 1 << 20
+
+
+def _size(setting: str) -> int:
+    """Bytes, or a number, as Spark's settings write it: ``2000``, ``64m``, ``67108864b``."""
+    number, unit = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", setting.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lets the session send at most ``BATCH_ROWS`` rows a batch to Python; a smaller setting stays."""
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
-        spark.conf.set(setting, str(BATCH_ROWS))
+    """Lets the session send at most ``BATCH_ROWS`` rows and some ``BATCH_BYTES`` a batch to Python; smaller settings stay."""
+    for setting, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        setting = f"spark.sql.execution.arrow.{setting}"
+        if not 0 < _size(spark.conf.get(setting)) <= most:
+            spark.conf.set(setting, str(most))
 
 
 class Stages:

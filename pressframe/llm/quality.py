@@ -122,7 +122,9 @@ def pair_up(preferred: np.ndarray, rejected: np.ndarray, rounds: int, seed: int
         return np.zeros((0, len(FEATURES)))
     rng, longest = np.random.default_rng(seed), max(len(preferred), len(rejected))
     sides = [np.concatenate([np.resize(rng.permutation(len(x)), longest) for _ in range(rounds)]) for x in (preferred, rejected)]
-    return preferred[sides[0]] - rejected[sides[1]]
+    found = preferred[sides[0]]
+    found -= rejected[sides[1]]
+    return found
 
 
 def pair_rows(known: DataFrame, counts: dict[int, int], spread: np.ndarray, slice_docs: int, pairs: int) -> DataFrame:

@@ -92,3 +92,46 @@ def test_empty_documents(spark, no_docs):
 def test_run_gives_the_rows_of_the_stages(spark):
     first = Counter(tuple(r) for r in corpus_pipeline.run(spark, SF).collect())
     assert first and first == Counter(tuple(r) for r in corpus_pipeline.run(spark, SF).collect())
+
+
+def test_python_gets_few_bytes_at_a_time(spark):
+    """A batch ends at about a megabyte, whatever its rows hold; a smaller setting stays."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from pressframe.llm.common import BATCH_BYTES, small_batches
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "64m")
+        small_batches(spark)
+        found = spark.range(0, 1000, 1, 1).select(F.repeat(F.lit("0123456789"), 1000).alias("text")).mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in found) == 1000 and max(r.size for r in found) < 1.1 * BATCH_BYTES
+        spark.conf.set(setting, "100k")
+        small_batches(spark)
+        assert spark.conf.get(setting) == "100k"
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_memory_of_a_text_pass_does_not_follow_the_batch():
+    """Many short texts in one batch are worked on in small slices."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from pressframe.llm import bytewords, quality
+
+    column = pa.array([b"some words of a short text, Number %d\n" % i * 20 for i in range(3000)], pa.binary())
+    tracemalloc.start()
+    try:
+        n = sum(len(quality.text_features(data, offsets)) for _, _, data, offsets in bytewords.slices(column))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 3000 and most < 24e6, most
