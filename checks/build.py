@@ -137,7 +137,8 @@ def odd_crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = f"""concat('<ul>', array_join(transform(sequence(0, 4), j -> {link}), ''), '</ul>',
                IF(has_control, '<button>Load More</button>', ''))"""
     frame = rows(spark, sf_dir, t.ODD_CRAWL).selectExpr("site_id", "base_url", "page_no", "year", f"{html} AS html")
-    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism)
+    # By columns: dealt out in turns, rows would be sorted first.
+    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, "site_id", "year", "page_no")
 
 
 def crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

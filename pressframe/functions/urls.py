@@ -52,14 +52,16 @@ _SPLIT_LIMIT = -1
 
 def url_path(url: Column) -> Column:
     """URL without scheme and host, in lower case."""
-    return F.regexp_replace(F.lower(url), r"^https?://[^/]+", "")
+    low = F.lower(url)
+    return F.when(low.startswith("http"), F.regexp_replace(low, r"^https?://[^/]+", "")).otherwise(low)
 
 
 def is_social(url: Column) -> Column:
     low = F.lower(url)
     hosts = "|".join(SOCIAL)
+    # No other letters are c, o or m in lower case, so a plain search spares most relative links the pattern.
     return (low.contains("/x.com") | low.contains("www.x.com")
-            | url.rlike(rf"(?iu)(?:{hosts})\.com(?:/|{END})"))
+            | (low.contains(".com") & url.rlike(rf"(?iu)(?:{hosts})\.com(?:/|{END})")))
 
 
 def is_typical(href: Column, text: Column | None = None, mode: str = "full") -> Column:
@@ -67,10 +69,25 @@ def is_typical(href: Column, text: Column | None = None, mode: str = "full") ->
     path = url_path(href)
     if mode == "path":
         return path.rlike("(?iu)^/(?:" + "|".join(LEGACY_PATHS) + rf")(?:/|{END})")
-    exact = path.isin([f"/{s}{tail}" for s in SECTION_PATHS for tail in ("", "/")])
-    words = F.split(F.regexp_replace(F.lower(text), f"[{WS}-]+", "-"), "-", _SPLIT_LIMIT)
+    return is_section(path) | is_section_text(text, text_words(text))
+
+
+def is_section(path: Column) -> Column:
+    return path.isin([f"/{s}{tail}" for s in SECTION_PATHS for tail in ("", "/")])
+
+
+def text_words(text: Column) -> Column:
+    low = F.lower(text)
+    # Most texts hold single blanks only, and need no pattern for them.
+    runs = low.rlike("[^ -~]") | low.contains("  ") | low.contains(" -") | low.contains("- ") | low.contains("--")
+    dashed = F.when(runs, F.regexp_replace(low, f"[{WS}-]+", "-")).otherwise(F.replace(low, F.lit(" "), F.lit("-")))
+    return F.split(dashed, "-", _SPLIT_LIMIT)
+
+
+def is_section_text(text: Column, words: Column) -> Column:
+    """Is a link's short text one for a usual site section, by its ``text_words``?"""
     short = (F.size(words) <= 4) & F.exists(words, lambda w: w.isin(SECTION_WORDS))
-    return exact | F.coalesce((text != "") & short, F.lit(False))
+    return F.coalesce((text != "") & short, F.lit(False))
 
 
 def url_flags(url: Column) -> dict[str, Column]:
@@ -95,9 +112,9 @@ def url_flags(url: Column) -> dict[str, Column]:
 def slug(url: Column) -> Column:
     """Last path segment, or the one before it when the last is a file; null when there is none."""
     clean = F.rtrim(F.substring_index(F.substring_index(url, "?", 1), "#", 1), F.lit("/"))
-    parts = F.split(clean, "/", _SPLIT_LIMIT)
-    last = F.element_at(parts, -1)
-    return F.when(last.rlike(_EXTENSION), F.try_element_at(parts, F.lit(-2))).otherwise(last)
+    last = F.substring_index(clean, "/", -1)
+    before = F.when(clean.contains("/"), F.substring_index(F.substring_index(clean, "/", -2), "/", 1))
+    return F.when(last.contains(".") & last.rlike(_EXTENSION), before).otherwise(last)
 
 
 def slug_length(url: Column) -> Column:
@@ -134,7 +151,10 @@ def verb_forms() -> list[str]:
 
 def has_verb(url: Column) -> Column:
     """Does the slug hold at least two words, one of them a verb form?"""
-    words = slug_words(url)
+    return words_have_verb(slug_words(url))
+
+
+def words_have_verb(words: Column) -> Column:
     # A membership test per word is one hash look-up; arrays_overlap would walk all forms per row.
     hit = F.exists(words, lambda w: w.isin(verb_forms()))
     return F.coalesce((F.size(words) > 1) & hit, F.lit(False))

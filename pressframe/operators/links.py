@@ -51,21 +51,27 @@ def link_groups(links: DataFrame) -> DataFrame:
     shared = F.count("*").over(Window.partitionBy("page_id", "href")) > 1
     hidden = F.col("hidden") if "hidden" in links.columns else F.lit(None).cast("boolean")
     flags = urls.url_flags(href)
+    # Words are found before they are looked up: a look-up of each word in the expression that finds them would find them anew.
     facts = unique.select(
-        "page_id", "pos", "anc_flex", "anc_strict", "href", hidden.alias("hidden"), shared.alias("shared"),
-        urls.slug_length(href).alias("slug_len"), urls.has_verb(href).alias("verb"),
-        urls.is_typical(href, F.col("text")).alias("typical"),
+        "page_id", "pos", "anc_flex", "anc_strict", "href", "text", hidden.alias("hidden"), shared.alias("shared"),
+        urls.slug_length(href).alias("slug_len"), urls.slug_words(href).alias("slug_words"),
+        urls.is_section(urls.url_path(href)).alias("section"), urls.text_words(F.col("text")).alias("text_words"),
         *[flags[name].alias(name) for name in URL_FLAGS])
+    facts = facts.select(
+        "page_id", "pos", "anc_flex", "anc_strict", "href", "hidden", "shared", "slug_len", *URL_FLAGS,
+        urls.words_have_verb(F.col("slug_words")).alias("verb"),
+        (F.col("section") | urls.is_section_text(F.col("text"), F.col("text_words"))).alias("typical"))
     counts = [F.count_if(F.col(name)).alias(f"{name}_count") for name in URL_FLAGS]
     groups = facts.groupBy("page_id", F.col("anc_flex").alias("ancestry")).agg(
         F.min("pos").alias("first_pos"),
         F.size(F.collect_set("anc_strict")).cast("long").alias("num_unique_strict_ancestry"),
-        F.array_sort(F.collect_list(F.struct("pos", "href", "hidden"))).alias("links"),
+        F.sort_array(F.collect_list(F.struct("pos", "href", "hidden"))).alias("links"),
         F.count("*").alias("url_count"),
+        F.count_if(F.col("hidden")).alias("hidden_count"),
         F.bool_or("shared").alias("non_excl_url"),
         F.count_if(F.col("typical")).alias("num_typical_url"),
         F.avg("slug_len").alias("last_path_mean_length"),
-        F.array_sort(F.collect_list("slug_len")).alias("slug_lengths"),
+        F.sort_array(F.collect_list("slug_len")).alias("slug_lengths"),
         F.count_if(F.col("verb")).alias("urls_with_verbs"),
         *counts)
     n = F.col("url_count")
@@ -73,7 +79,7 @@ def link_groups(links: DataFrame) -> DataFrame:
     return (groups
             .withColumn("group_id", F.row_number().over(_page().orderBy("first_pos")) - 1)
             .withColumn("urls", F.col("links.href"))
-            .withColumn("url_set", F.array_sort("urls"))
+            .withColumn("url_set", F.sort_array("urls"))
             .withColumn("twin_group", F.count("*").over(same_set) > 1)
             # The link filter lets no social link through, so these two need no second test.
             .withColumn("is_social_media_num", F.lit(0).cast("long"))
@@ -120,7 +126,7 @@ def news_groups(groups: DataFrame) -> DataFrame:
 
 
 def hidden_share() -> Column:
-    return F.size(F.filter("links", lambda a: a["hidden"])) / F.size("links")
+    return F.col("hidden_count") / F.col("url_count")
 
 
 def is_client_side() -> Column:

@@ -42,7 +42,7 @@ def load_more_controls(nodes: DataFrame) -> DataFrame:
     element, tag = F.col("kind") == "E", F.col("tag")
     first_own = (F.col("kind") == "T") & (F.col("own_no") == 0)
     at = F.when(F.col("kind") == "T", F.col("parent")).otherwise(F.col("pos"))
-    hits, holding, by_icon = [], F.lit(False), []
+    direct, holding, by_icon = F, F.lit(False), []
     for rule, (what, name, value) in enumerate(LOAD_MORE_RULES, 1):
         if what == "text":
             test = first_own & (F.col("owner.tag") == name) & F.col("text").contains(value)
@@ -56,10 +56,10 @@ def load_more_controls(nodes: DataFrame) -> DataFrame:
             test = element & (attr("aria-label") == value)
         else:
             test = element & (tag == name) & _has(what, value)
-        hits.append(F.when(F.coalesce(test, F.lit(False)), F.struct(F.lit(rule).alias("rule"), at.alias("pos"))))
+        direct = direct.when(test, F.lit(rule))  # the rules stand in their order, so the first that fits is the least
     none = F.lit(None).cast("struct<rule:int,pos:int>")
     icon = F.coalesce(element & (tag == "i") & _has("class", "more"), F.lit(False))
-    rows = (nodes.select("page_id", "pos", "end_pos", F.least(none, *hits).alias("direct"), icon.alias("icon"), F.when(holding, tag).alias("icon_tag"))
+    rows = (nodes.select("page_id", "pos", "end_pos", F.when(direct.isNotNull(), F.struct(direct.alias("rule"), at.alias("pos"))).alias("direct"), icon.alias("icon"), F.when(holding, tag).alias("icon_tag"))
             .where("direct is not null or icon or icon_tag is not null").withColumn("has_icon", holds(F.col("icon"))))
     return (rows.select("page_id", F.least(none, "direct", *[F.when(F.col("has_icon"), hit) for hit in by_icon]).alias("hit"))
             .where("hit is not null").groupBy("page_id").agg(F.min("hit").alias("hit"))

@@ -67,8 +67,7 @@ def with_hidden(nodes: DataFrame, wanted: Column, levels: int = 3, hides: Column
     """
     hides = hides_itself() if hides is None else hides
     roles = F.concat(
-        F.when(hides, F.transform(F.sequence(F.lit(0), F.lit(levels)),
-                                  lambda k: F.struct((F.col("depth") + k).alias("level"), F.lit(0).alias("role"))))
+        F.when(hides, F.array(*[F.struct((F.col("depth") + k).alias("level"), F.lit(0).alias("role")) for k in range(levels + 1)]))
         .otherwise(F.array()),
         F.when(wanted, F.array(F.struct(F.col("depth").alias("level"), F.lit(1).alias("role"))))
         .otherwise(F.array()))

@@ -19,9 +19,10 @@ def page_links(pages: DataFrame) -> DataFrame:
 def listing_nodes(pages: DataFrame) -> DataFrame:
     """One walk over listing pages for all that is asked of them, written once: links, hiding elements, controls and options.
 
-    ``discover_groups``, ``load_more_controls``, ``next_controls`` and ``year_options`` branch over it.
+    ``discover_groups``, ``load_more_controls``, ``next_controls`` and ``year_options`` branch over it.  Rows marked ``plain``, links of pages
+    without a pager, lie in files of their own, as only the first of these needs them.
     """
-    return write_stage(flatten_dom(pages, keep_of_page=listing_rows), "listings")
+    return write_stage(flatten_dom(pages, keep_of_page=listing_rows, mark=True), "listings", apart="plain")
 
 
 def discover_groups(pages: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -37,7 +38,8 @@ def discover_links(pages: DataFrame, base_url: str = "url", mode: str = "prefix"
 
 def year_order() -> Column:
     """Numbered years newest first, then other names in order, then pages without a year."""
-    number = F.expr("try_cast(year as int)")
+    # A text without a digit is no number; a cast would find that out by an exception.
+    number = F.when(F.col("year").cast("string").rlike("[0-9]"), F.expr("try_cast(year as int)"))
     return F.struct(F.when(number.isNotNull(), 0).when(F.col("year").isNotNull(), 1).otherwise(2).alias("kind"),
                     F.coalesce(-number, F.lit(0)).alias("place"), F.coalesce("year", F.lit("")).alias("name"))
 
@@ -79,10 +81,12 @@ def discover_crawl(crawl: DataFrame, max_pages: int | None = None, dedup: bool =
         once = pages.select("page_id", "html", *[c for c in pages.columns if c == "charset"]).withColumn("nth", F.row_number().over(same)).where("nth = 1").drop("nth")
     nodes = listing_nodes(once) if follow else None
     found = discover_groups(once, nodes).select("page_id", "urls", links.is_client_side().alias("client_side"))
-    short = pages.select("page_id", "site_id", "base_url", "year", "year_no", "page_no").dropDuplicates(["page_id"])
+    # Pages rarely land twice, so nothing is won by looking for repeats on both sides of the exchange.
+    short = pages.select("page_id", "site_id", "base_url", "year", "year_no", "page_no").repartition("page_id").dropDuplicates(["page_id"])
     lists = short.join(found, "page_id", "left")
     if follow:
-        seen = load_more_controls(nodes).select("page_id").union(next_controls(nodes).select("page_id")).distinct()
+        asked = nodes.where("not plain")
+        seen = load_more_controls(asked).select("page_id").union(next_controls(asked).select("page_id")).distinct()
         lists = lists.join(seen.withColumn("has_control", F.lit(True)), "page_id", "left").withColumn("has_control", F.coalesce("has_control", F.lit(False)))
     if options is not None:
         place = options.groupBy("site_id", F.col("option_text").alias("year")).agg(F.min("pos").alias("pos"))

@@ -34,6 +34,7 @@ SETTINGS = {
 
 # Rows of a file of a stage table, and bytes of a part of a file that is read by itself.
 STAGE_FILE_ROWS, STAGE_BLOCK_BYTES = 200_000, 8 << 20
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -82,17 +83,28 @@ def remove_stages(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def write_stage(frame: DataFrame, name: str) -> DataFrame:
+def write_stage(frame: DataFrame, name: str, apart: str | None = None) -> DataFrame:
     """Write a frame once as parquet and read it back.
 
     Several branches can then share the work, each scans only its columns, tag filters reach
     the scan, and a lost executor costs a re-read instead of a new parse.  Files end after a number of rows, so the tasks that
-    read a table go up with its rows and each holds as much, however few tasks wrote it.  ``remove_stages`` clears
+    read a table go up with its rows and each holds as much, however few tasks wrote it.  Rows that differ in ``apart``, a flag,
+    go to files of their own, so who asks for one kind does not read the other.  ``remove_stages`` clears
     them when their results have been used.
     """
     spark = frame.sparkSession
     path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    frame.write.option("maxRecordsPerFile", STAGE_FILE_ROWS).option("parquet.block.size", STAGE_BLOCK_BYTES).parquet(path)
+    writer = frame.write.option("maxRecordsPerFile", STAGE_FILE_ROWS).option("parquet.block.size", STAGE_BLOCK_BYTES)
+    if apart is None:
+        writer.parquet(path)
+    else:
+        # A task keeps a file open for each value of the flag, or null, instead of sorting its rows by it.
+        before = spark.conf.get(_OPEN_FILES)
+        spark.conf.set(_OPEN_FILES, "3")
+        try:
+            writer.partitionBy(apart).parquet(path)
+        finally:
+            spark.conf.set(_OPEN_FILES, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
