@@ -19,10 +19,10 @@ def page_links(pages: DataFrame) -> DataFrame:
 def listing_nodes(pages: DataFrame) -> DataFrame:
     """One walk over listing pages for all that is asked of them, written once: links, hiding elements, controls and options.
 
-    ``discover_groups``, ``load_more_controls``, ``next_controls`` and ``year_options`` branch over it.  Rows marked ``plain``, links of pages
-    without a pager, lie in files of their own, as only the first of these needs them.
+    ``discover_groups``, ``load_more_controls``, ``next_controls`` and ``year_options`` branch over it.  Rows lie in files of their own by what
+    they are kept for (see ``listing_rows``), as only the first of these needs them all.
     """
-    return write_stage(flatten_dom(pages, keep_of_page=listing_rows, mark=True), "listings", apart="plain")
+    return write_stage(flatten_dom(pages, keep_of_page=listing_rows, mark=True), "listings", apart="asked")
 
 
 def discover_groups(pages: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -85,8 +85,9 @@ def discover_crawl(crawl: DataFrame, max_pages: int | None = None, dedup: bool =
     short = pages.select("page_id", "site_id", "base_url", "year", "year_no", "page_no").repartition("page_id").dropDuplicates(["page_id"])
     lists = short.join(found, "page_id", "left")
     if follow:
-        asked = nodes.where("not plain")
-        seen = load_more_controls(asked).select("page_id").union(next_controls(asked).select("page_id")).distinct()
+        # Rows of pages that could not be read are marked by nothing, and hold no control.
+        seen = (load_more_controls(nodes.where("asked in ('control', 'pager')")).select("page_id")
+                .union(next_controls(nodes.where("asked = 'pager'")).select("page_id")).distinct())
         lists = lists.join(seen.withColumn("has_control", F.lit(True)), "page_id", "left").withColumn("has_control", F.coalesce("has_control", F.lit(False)))
     if options is not None:
         place = options.groupBy("site_id", F.col("option_text").alias("year")).agg(F.min("pos").alias("pos"))

@@ -88,8 +88,8 @@ def write_stage(frame: DataFrame, name: str, apart: str | None = None) -> DataFr
 
     Several branches can then share the work, each scans only its columns, tag filters reach
     the scan, and a lost executor costs a re-read instead of a new parse.  Files end after a number of rows, so the tasks that
-    read a table go up with its rows and each holds as much, however few tasks wrote it.  Rows that differ in ``apart``, a flag,
-    go to files of their own, so who asks for one kind does not read the other.  ``remove_stages`` clears
+    read a table go up with its rows and each holds as much, however few tasks wrote it.  Rows that differ in ``apart``, a column of few
+    values, go to files of their own, so who asks for one kind does not read the other.  ``remove_stages`` clears
     them when their results have been used.
     """
     spark = frame.sparkSession
@@ -98,9 +98,9 @@ def write_stage(frame: DataFrame, name: str, apart: str | None = None) -> DataFr
     if apart is None:
         writer.parquet(path)
     else:
-        # A task keeps a file open for each value of the flag, or null, instead of sorting its rows by it.
+        # A task keeps a file open for each of up to so many values, instead of sorting its rows by them.
         before = spark.conf.get(_OPEN_FILES)
-        spark.conf.set(_OPEN_FILES, "3")
+        spark.conf.set(_OPEN_FILES, "4")
         try:
             writer.partitionBy(apart).parquet(path)
         finally:
