@@ -133,9 +133,9 @@ def year_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def odd_crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Years that are no numbers or null, a page landed twice, a hole in the numbering, and load-more controls."""
-    link = "concat('<li><a href=\"/', coalesce(year, 'none'), '/p', page_no, '/acme-wins-deal-', slot, '-', j, '\">Deal ', j, '</a></li>')"
-    html = f"""concat('<ul>', array_join(transform(sequence(0, 4), j -> {link}), ''), '</ul>',
-               IF(has_control, '<button>Load More</button>', ''))"""
+    start = "'<li><a href=\"/', coalesce(year, 'none'), '/p', page_no, '/acme-wins-deal-', slot"
+    items = ", ".join(f"{start}, '-{j}\">Deal {j}</a></li>'" for j in range(5))
+    html = f"concat('<ul>', {items}, '</ul>', IF(has_control, '<button>Load More</button>', ''))"
     frame = rows(spark, sf_dir, t.ODD_CRAWL).selectExpr("site_id", "base_url", "page_no", "year", f"{html} AS html")
     # By columns: dealt out in turns, rows would be sorted first.
     return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, "site_id", "year", "page_no")

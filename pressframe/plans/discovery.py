@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressframe.operators import links
 from pressframe.operators.navigation import crawl_cut, load_more_controls, next_controls
-from pressframe.sources.dom import flatten_dom, link_rows, listing_rows
+from pressframe.sources.dom import CONTROL, PAGER, flatten_dom, link_rows, listing_rows
 from pressframe.sources.pages import write_stage
 from pressframe.sources.runs import write_run
 
@@ -71,7 +71,9 @@ def discover_crawl(crawl: DataFrame, max_pages: int | None = None, dedup: bool =
         rows = rows.withColumn("year_no", F.struct(F.lit(0).alias("kind"), F.col("year_no").cast("int").alias("place"), F.coalesce("year", F.lit("")).alias("name")))
     else:
         rows = rows.withColumn("year_no", year_order())
-    key = F.to_json(F.struct("site_id", "year_no", "year", "page_no", F.xxhash64("html").alias("version")), {"ignoreNullFields": "false"})
+    # Each part comes with its length, so different parts give different keys; nulls have none.
+    parts = [F.col(c).cast("string") for c in ("site_id", "year_no.kind", "year_no.place", "year_no.name", "year", "page_no")]
+    key = F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in [*parts, F.xxhash64("html").cast("string")]])
     # All windows sort by the page, so it goes by a digest of 16 bytes instead of a long text that starts like any other.
     pages = rows.withColumn("page_id", F.unhex(F.md5(key.cast("binary"))))
     # Where repeats are looked for, a page that landed twice is read once.
@@ -86,8 +88,8 @@ def discover_crawl(crawl: DataFrame, max_pages: int | None = None, dedup: bool =
     lists = short.join(found, "page_id", "left")
     if follow:
         # Rows of pages that could not be read are marked by nothing, and hold no control.
-        seen = (load_more_controls(nodes.where("asked in ('control', 'pager')")).select("page_id")
-                .union(next_controls(nodes.where("asked = 'pager'")).select("page_id")).distinct())
+        seen = (load_more_controls(nodes.where(F.col("asked").isin(CONTROL, PAGER))).select("page_id")
+                .union(next_controls(nodes.where(F.col("asked") == PAGER)).select("page_id")).distinct())
         lists = lists.join(seen.withColumn("has_control", F.lit(True)), "page_id", "left").withColumn("has_control", F.coalesce("has_control", F.lit(False)))
     if options is not None:
         place = options.groupBy("site_id", F.col("option_text").alias("year")).agg(F.min("pos").alias("pos"))

@@ -23,10 +23,10 @@ def test_questions_about_controls_do_not_read_plain_links(spark, pages_of):
     pages = pages_of(LISTING, LISTING + "<button>Load More</button>", LISTING + PAGER, '<p class="more">x</p>', None)
     nodes = discovery.listing_nodes(pages)
     found = {(r.page_id, r.asked): r["count"] for r in nodes.groupBy("page_id", "asked").count().collect()}
-    assert found == {(0, "link"): 5, (1, "link"): 5, (1, "control"): 2, (2, "pager"): 5 + 5 + 2, (3, "control"): 1, (4, None): 1}
+    assert found == {(0, dom.LINK): 5, (1, dom.LINK): 5, (1, dom.CONTROL): 2, (2, dom.PAGER): 5 + 5 + 2, (3, dom.CONTROL): 1, (4, None): 1}
     folders = {file.split("/")[-2] for file in nodes.inputFiles()}
-    assert folders == {"asked=link", "asked=control", "asked=pager", "asked=__HIVE_DEFAULT_PARTITION__"}
-    for ask, kept in ((navigation.load_more_controls, "asked in ('control', 'pager')"), (navigation.next_controls, "asked = 'pager'")):
+    assert folders == {"asked=0", "asked=1", "asked=2", "asked=__HIVE_DEFAULT_PARTITION__"}
+    for ask, kept in ((navigation.load_more_controls, f"asked in ({dom.CONTROL}, {dom.PAGER})"), (navigation.next_controls, f"asked = {dom.PAGER}")):
         some = nodes.where(kept)
         assert "PartitionFilters: [" in plan(some) and "PartitionFilters: []" not in plan(some)
         assert len(ask(some).collect()) > 0 and sorted(map(repr, ask(some).collect())) == sorted(map(repr, ask(nodes).collect()))
@@ -69,3 +69,12 @@ def test_a_year_need_not_be_a_number(spark):
     frame = spark.createDataFrame([("2023",), (" 2022 ",), ("Older",), ("2023a",), ("",), (None,)], "year string")
     found = [tuple(r[0]) for r in frame.select(discovery.year_order()).collect()]
     assert found == [(0, -2023, "2023"), (0, -2022, " 2022 "), (1, 0, "Older"), (1, 0, "2023a"), (1, 0, ""), (2, 0, "")]
+
+
+def test_keys_of_pages_tell_odd_crawls_apart(spark):
+    """Nulls, empty texts and digits that could belong to the part before or after; the same page landed twice is one."""
+    rows = [(site, "https://c.example.com/news/", page, year, LISTING) for site, page, year in (
+        ("1", 1, "2023"), ("11", 1, "2023"), ("1", 11, "2023"), ("1", 1, None), ("1", 1, ""), (None, 1, "2023"), ("1", None, "2023"), ("-", 1, "1:2"), ("-1", 1, ":2"), ("1", 1, "2023"))]
+    crawl = spark.createDataFrame(rows, "site_id string, base_url string, page_no int, year string, html string")
+    found = discovery.discover_crawl(crawl).groupBy("site_id", "page_no", "year").count().collect()
+    assert len(found) == 9 and {r["count"] for r in found} == {5}
